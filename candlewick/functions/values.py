@@ -21,7 +21,20 @@ def volume_or_zero(value: Column | str) -> Column:
 
 
 def double_text(value: Column | str) -> Column:
-    return _col(value).cast("double").cast("string")
+    """Double as text: plain digits from 1e-4 up to 1e16, exponent form outside, always the shortest exact digits."""
+    number = _col(value).cast("double")
+    text = number.cast("string")
+    digits = F.regexp_replace(text.try_cast("decimal(38,22)").cast("string"), "0+$", "")
+    plain = F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
+    exponent = F.regexp_replace(F.regexp_replace(F.lower(text), "\\.0e", "e"), "e(?!-)", "e+")
+    exponent = F.regexp_replace(exponent, "e([+-])(\\d)$", "e$10$2")
+    size = F.abs(number)
+    return (
+        F.when(((size >= 1e-3) & (size < 1e7)) | (number == 0), text)
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .when(F.isnan(number) | (size == float("inf")), F.replace(F.lower(text), F.lit("infinity"), F.lit("inf")))
+        .otherwise(exponent)
+    )
 
 
 def format_symbol(symbol: Column | str, exchange: Column | str, contract: Column | str | int | None = None) -> Column:

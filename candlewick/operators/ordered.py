@@ -29,7 +29,7 @@ from candlewick.session import shared_dir
 
 # Upper bound for the carried states of all partitions together, which are chained on the driver and broadcast.
 STATE_BYTES = 128 * 1024 * 1024
-BATCH_ROWS = 32_768
+BATCH_ROWS = 16_384
 
 _PART = "__scan_part"
 _VALUE = "__scan_value"
@@ -122,9 +122,10 @@ class Indicator:
 class _Series:
     """Feeds sorted batches through the indicators and keeps the state of the series at hand."""
 
-    def __init__(self, indicators: Sequence[Indicator], width: int, state: State | None = None, continues: bool = False):
+    def __init__(self, indicators: Sequence[Indicator], width: int, history: int, state: State | None = None,
+                 continues: bool = False):
         self.indicators = indicators
-        self.history = max(ind.history for ind in indicators)
+        self.history = history
         self.averages = sum(ind.averages for ind in indicators)
         self.width = width
         self.continues = continues
@@ -217,13 +218,15 @@ def _value_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _summaries(indicators: Sequence[Indicator], key_count: int):
     """Pass one: batches of (keys, value, part) to one row on the partition's last series."""
-    averages = sum(ind.averages for ind in indicators)
-    batch_rows = max(BATCH_ROWS, max(ind.history for ind in indicators))
+    carrying = [ind for ind in indicators if ind.averages]
+    averages = sum(ind.averages for ind in carrying)
+    history = max(ind.history for ind in indicators)
+    batch_rows = max(BATCH_ROWS, history)
 
     def summarize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The first series may go on from an earlier partition: its averages start as the unknowns themselves.
         unknown = State(averages=np.eye(averages, averages + 1, k=1))
-        series = _Series(indicators, averages + 1, unknown, continues=True)
+        series = _Series(carrying, averages + 1, history, unknown, continues=True)
         first = last = None
         one_series, seed, count = True, None, 0
         for batch in _regroup(batches, batch_rows):
@@ -290,14 +293,15 @@ def _chain(summaries: list, indicators: Sequence[Indicator], key_count: int) ->
 def _outputs(indicators: Sequence[Indicator], starts, key_index: list[int], value_index: int, part_index: int, kept: int,
              names: list[str]):
     """Pass two: the kept columns of each batch with the indicator columns behind them."""
-    batch_rows = max(BATCH_ROWS, max(ind.history for ind in indicators))
+    history = max(ind.history for ind in indicators)
+    batch_rows = max(BATCH_ROWS, history)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         series = None
         for batch in _regroup(batches, batch_rows):
             if series is None:
                 start = starts.value.get(batch.column(part_index)[0].as_py())
-                series = _Series(indicators, 1, start and State(*start), continues=start is not None)
+                series = _Series(indicators, 1, history, start and State(*start), continues=start is not None)
             x, known = _value_arrays(batch.column(value_index))
             columns = series.feed(x, known, [batch.column(i) for i in key_index])
             arrays = [pa.array(values, mask=is_null) for values, is_null in columns]

@@ -46,6 +46,12 @@ VWAP = T.StructType([
     T.StructField("vwap", _DOUBLE),
 ])
 
+# Fields of either message, for reading both topics in one pass.
+TICK_OR_VWAP = T.StructType([
+    *TICK.fields,
+    *[T.StructField(name, _STRING) for name in ("window_start", "window_end", "vwap")],
+])
+
 # The columns of Spark's Kafka source that the decoders use.
 KAFKA_RECORD = T.StructType([
     T.StructField("key", T.BinaryType()),
@@ -56,8 +62,9 @@ KAFKA_RECORD = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
 ])
 
-# One element of a chart capture: running number and [time, open, high, low, close, volume].
+# The bars of a chart capture: running number and [time, open, high, low, close, volume]. The numbers are read as text,
+# so that one bad number costs one bar and not the whole capture.
 CHART_BARS = T.ArrayType(T.StructType([
     T.StructField("i", T.LongType()),
-    T.StructField("v", T.ArrayType(_DOUBLE)),
+    T.StructField("v", T.ArrayType(_STRING)),
 ]))

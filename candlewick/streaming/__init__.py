@@ -1,0 +1,4 @@
+from candlewick.streaming.lifecycle import late_rows, run, start
+from candlewick.streaming.sinks import parquet_writer, read_versioned, versioned_writer
+
+__all__ = ["late_rows", "parquet_writer", "read_versioned", "run", "start", "versioned_writer"]
