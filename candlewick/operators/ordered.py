@@ -11,6 +11,9 @@ partition border at most once per border:
 
 The carried moving averages are affine in the incoming state, so step 2 runs the ordinary calculation on affine forms
 (coefficients for 1 and for each incoming value) instead of numbers.
+
+Both passes are iterator Arrow UDFs: only the keys and the value travel to Python, the other columns stay in the JVM.
+They are marked nondeterministic because a row's result depends on the rows before it: no filter may move below them.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,13 +76,18 @@ def rolling_sum(values: np.ndarray, position: np.ndarray, n: int) -> np.ndarray:
 
 
 def ema_scan(x: np.ndarray, known: np.ndarray, seed: np.ndarray, alpha: float, carry: np.ndarray) -> np.ndarray:
-    """E += alpha * (x - E) at known rows, E = x at seed rows, E unchanged elsewhere, starting from ``carry``."""
+    """E += alpha * (x - E) at known rows, E = x at seed rows, E unchanged elsewhere, starting from ``carry``.
+
+    ``carry`` has one number per coefficient; columns that ``x`` lacks are zero.
+    """
     a = np.where(known, 1.0 - alpha, 1.0)
     a[seed] = 0.0
     b = np.where(known[:, None], alpha * x, 0.0)
     b[seed] = x[seed]
     a, b = affine_scan(a, b)
-    return np.where(a[:, None] == 0, b, b + a[:, None] * carry)
+    averages = np.where(a[:, None] == 0, 0.0, a[:, None] * carry)
+    averages[:, :b.shape[1]] += b
+    return averages
 
 
 @dataclass
@@ -91,7 +100,7 @@ class Rows:
     skip: int
     seeded: np.ndarray       # new rows only: the series has had a value
     seed: np.ndarray         # new rows only: the series gets its first value here
-    new_x: np.ndarray        # new rows only: affine forms of the value, one column per coefficient
+    new_x: np.ndarray        # new rows only: the value as a column
 
 
 @dataclass
@@ -151,8 +160,6 @@ class _Series:
         before = np.where(run > 0, counted[run - 1], 0)
         in_run = counted - before
         in_run[:_run_end(starts)] += carried
-        forms = np.zeros((len(x), self.width))
-        forms[:, 0] = x
         rows = Rows(
             x=np.concatenate([self.state.x, x]),
             known=np.concatenate([self.state.known, known]),
@@ -160,7 +167,7 @@ class _Series:
             skip=skip,
             seeded=in_run > 0,
             seed=known & (in_run == 1),
-            new_x=forms,
+            new_x=x[:, None],
         )
         carry = self.state.averages if carried else np.zeros((self.averages, self.width))
         outputs, averages, offset = [], [], 0
@@ -196,19 +203,19 @@ def _changes(keys: list[pa.Array], rows: int) -> np.ndarray:
     return changed
 
 
-def _regroup(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+def _regroup(batches: Iterator[tuple[pa.Array, ...]], rows: int) -> Iterator[list[pa.Array]]:
     """Join small batches, so that the history put in front of each is small against it."""
     held, count = [], 0
     for batch in batches:
-        if batch.num_rows == 0:
+        if len(batch[0]) == 0:
             continue
         held.append(batch)
-        count += batch.num_rows
+        count += len(batch[0])
         if count >= rows:
-            yield pa.concat_batches(held)
+            yield [pa.concat_arrays(parts) for parts in zip(*held)]
             held, count = [], 0
     if held:
-        yield pa.concat_batches(held)
+        yield [pa.concat_arrays(parts) for parts in zip(*held)]
 
 
 def _value_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -216,24 +223,37 @@ def _value_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.where(known, column.to_numpy(zero_copy_only=False), 0.0), known
 
 
-def _summaries(indicators: Sequence[Indicator], key_count: int):
-    """Pass one: batches of (keys, value, part) to one row on the partition's last series."""
+SUMMARY = T.StructType([
+    T.StructField("is_first", T.BooleanType()),
+    T.StructField("is_last", T.BooleanType()),
+    T.StructField("one_series", T.BooleanType()),
+    T.StructField("seed", T.DoubleType()),
+    T.StructField("tail", T.ArrayType(T.DoubleType())),
+    T.StructField("averages", T.ArrayType(T.DoubleType())),
+])
+_ARROW_SUMMARY = pa.struct([
+    ("is_first", pa.bool_()), ("is_last", pa.bool_()), ("one_series", pa.bool_()), ("seed", pa.float64()),
+    ("tail", pa.list_(pa.float64())), ("averages", pa.list_(pa.float64())),
+])
+
+
+def _summaries(indicators: Sequence[Indicator]):
+    """Pass one, over (value, part, keys...): null but for the first row (a mark) and the last row (the summary)."""
     carrying = [ind for ind in indicators if ind.averages]
     averages = sum(ind.averages for ind in carrying)
     history = max(ind.history for ind in indicators)
     batch_rows = max(BATCH_ROWS, history)
 
-    def summarize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def summarize(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         # The first series may go on from an earlier partition: its averages start as the unknowns themselves.
         unknown = State(averages=np.eye(averages, averages + 1, k=1))
         series = _Series(carrying, averages + 1, history, unknown, continues=True)
-        first = last = None
-        one_series, seed, count = True, None, 0
-        for batch in _regroup(batches, batch_rows):
-            keys = batch.columns[:key_count]
-            x, known = _value_arrays(batch.column(key_count))
-            if first is None:
-                first = batch.slice(0, 1)
+        one_series, seed, waiting, first = True, None, 0, True
+        for value, _, *keys in _regroup(batches, batch_rows):
+            x, known = _value_arrays(value)
+            if waiting:
+                yield from _padded({"is_first": True} if first else None, waiting, None)
+                first = False
             changes = np.flatnonzero(_changes(keys, len(x)))
             crossed = series.key is not None and series.key != tuple(column[0].as_py() for column in keys)
             head_rows = 0 if crossed else int(changes[0]) if len(changes) else len(x)
@@ -242,33 +262,40 @@ def _summaries(indicators: Sequence[Indicator], key_count: int):
                 seed = float(values[0]) if len(values) else None
             one_series = one_series and not crossed and not len(changes)
             series.feed(x, known, keys)
-            last = batch.slice(batch.num_rows - 1)
-            count += batch.num_rows
-        if first is None:
+            waiting = len(x)
+        if not waiting:
             return
         state = series.state
-        tail = pa.array(state.x, mask=~state.known)
-        coefficients = None if state.averages is None else state.averages.reshape(-1).tolist()
-        arrays = [*first.columns[:key_count], *last.columns[:key_count], first.column(key_count + 1),
-                  pa.array([one_series]), pa.array([seed], pa.float64()),
-                  pa.array([tail.to_pylist()], pa.list_(pa.float64())),
-                  pa.array([coefficients], pa.list_(pa.float64()))]
-        names = [f"first{i}" for i in range(key_count)] + [f"last{i}" for i in range(key_count)]
-        yield pa.RecordBatch.from_arrays(arrays, names=[*names, "part", "one_series", "seed", "tail", "averages"])
+        summary = {
+            "is_last": True, "one_series": one_series, "seed": seed,
+            "tail": [v if k else None for v, k in zip(state.x.tolist(), state.known)],
+            "averages": None if state.averages is None else state.averages.reshape(-1).tolist(),
+        }
+        yield from _padded({"is_first": True} if first else None, waiting, summary)
 
     return summarize
 
 
+def _padded(head: dict | None, rows: int, last: dict | None) -> Iterator[pa.Array]:
+    """``rows`` summaries: ``head`` in the first row, ``last`` in the last, null between."""
+    if rows == 1:
+        both = {**(head or {}), **(last or {})}
+        yield pa.array([both or None], _ARROW_SUMMARY)
+        return
+    yield pa.concat_arrays([pa.array([head], _ARROW_SUMMARY), pa.nulls(rows - 2, _ARROW_SUMMARY),
+                            pa.array([last], _ARROW_SUMMARY)])
+
+
 def _chain(summaries: list, indicators: Sequence[Indicator], key_count: int) -> dict[int, tuple]:
     """Partition -> state its first series starts from. Partitions that begin a new series are left out."""
     history = max(ind.history for ind in indicators)
     count = sum(ind.averages for ind in indicators)
+    first_keys = {row["part"]: tuple(row)[:key_count] for row in summaries if row["is_first"]}
     starts: dict[int, tuple] = {}
     previous_key, previous = None, State()
-    for row in sorted(summaries, key=lambda r: r["part"]):
-        first_key = tuple(row[f"first{i}"] for i in range(key_count))
+    for row in sorted((row for row in summaries if row["is_last"]), key=lambda r: r["part"]):
         incoming = State()
-        if previous_key is not None and previous_key == first_key:
+        if previous_key is not None and previous_key == first_keys[row["part"]]:
             incoming = previous
             starts[row["part"]] = (previous.x, previous.known, previous.averages)
         tail_x = np.array([0.0 if v is None else v for v in row["tail"]], dtype="float64")
@@ -285,27 +312,25 @@ def _chain(summaries: list, indicators: Sequence[Indicator], key_count: int) ->
             forms = np.array(row["averages"]).reshape(count, count + 1)
             unknowns = np.zeros((count, 1)) if given is None else given
             averages = forms[:, :1] + forms[:, 1:] @ unknowns
-        previous_key = tuple(row[f"last{i}"] for i in range(key_count))
+        previous_key = tuple(row)[:key_count]
         previous = State(x=x[len(x) - keep:], known=known[len(known) - keep:], averages=averages)
     return starts
 
 
-def _outputs(indicators: Sequence[Indicator], starts, key_index: list[int], value_index: int, part_index: int, kept: int,
-             names: list[str]):
-    """Pass two: the kept columns of each batch with the indicator columns behind them."""
+def _outputs(indicators: Sequence[Indicator], starts: Broadcast):
+    """Pass two, over (value, part, keys...): a struct of the indicators' columns for every row."""
     history = max(ind.history for ind in indicators)
     batch_rows = max(BATCH_ROWS, history)
+    names = [name for ind in indicators for name in ind.columns]
 
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compute(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         series = None
-        for batch in _regroup(batches, batch_rows):
+        for value, part, *keys in _regroup(batches, batch_rows):
             if series is None:
-                start = starts.value.get(batch.column(part_index)[0].as_py())
+                start = starts.value.get(part[0].as_py())
                 series = _Series(indicators, 1, history, start and State(*start), continues=start is not None)
-            x, known = _value_arrays(batch.column(value_index))
-            columns = series.feed(x, known, [batch.column(i) for i in key_index])
-            arrays = [pa.array(values, mask=is_null) for values, is_null in columns]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *arrays], names=names)
+            columns = series.feed(*_value_arrays(value), keys)
+            yield pa.StructArray.from_arrays([pa.array(values, mask=is_null) for values, is_null in columns], names)
 
     return compute
 
@@ -348,26 +373,19 @@ def ordered_scan(
         .checkpoint()
     )
 
-    key_columns = [F.col(f"`{name}`") for name in keys]
-    value = F.col(f"`{value_col}`").cast("double")
-    types = [df.schema[name].dataType for name in keys]
-    summary_schema = T.StructType(
-        [T.StructField(f"first{i}", t) for i, t in enumerate(types)]
-        + [T.StructField(f"last{i}", t) for i, t in enumerate(types)]
-        + [T.StructField("part", T.IntegerType()), T.StructField("one_series", T.BooleanType()),
-           T.StructField("seed", T.DoubleType()), T.StructField("tail", T.ArrayType(T.DoubleType())),
-           T.StructField("averages", T.ArrayType(T.DoubleType()))])
+    inputs = [F.col(f"`{value_col}`").cast("double"), F.col(_PART), *[F.col(f"`{name}`") for name in keys]]
+    summarize = F.arrow_udf(_summaries(indicators), SUMMARY)
     summaries = (
-        sorted_rows.select(*[c.alias(f"k{i}") for i, c in enumerate(key_columns)], value.alias(_VALUE), _PART)
-        .mapInArrow(_summaries(indicators, len(keys)), summary_schema)
-        .collect()  # one row per partition, bounded by STATE_BYTES
+        sorted_rows.select(*inputs[2:], _PART, summarize.asNondeterministic()(*inputs).alias("summary"))
+        .filter("summary IS NOT NULL")
+        .select(*inputs[2:], _PART, "summary.*")
+        .withColumnRenamed(_PART, "part")
+        .collect()  # two rows per partition, bounded by STATE_BYTES
     )
     starts = spark.sparkContext.broadcast(_chain(summaries, indicators, len(keys)))
 
     columns = [name for ind in indicators for name in ind.columns]
-    schema = T.StructType([*df.schema.fields, *[T.StructField(name, T.DoubleType()) for name in columns]])
-    return sorted_rows.withColumn(_VALUE, value).mapInArrow(
-        _outputs(indicators, starts, [kept.index(name) for name in keys], len(kept) + 1, len(kept), len(kept),
-                 [*kept, *columns]),
-        schema,
-    )
+    schema = T.StructType([T.StructField(name, T.DoubleType()) for name in columns])
+    compute = F.arrow_udf(_outputs(indicators, starts), schema)
+    return sorted_rows.withColumn(_VALUE, compute.asNondeterministic()(*inputs)).select(
+        *[F.col(f"`{name}`") for name in kept], *[F.col(_VALUE)[name].alias(name) for name in columns])

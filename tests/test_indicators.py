@@ -229,3 +229,17 @@ def test_affine_scan_property(pairs):
     for i in range(len(a)):
         value = a[i] * value + b[i, 0]
         assert np.isclose(scan_a[i] * 3.0 + scan_b[i, 0], value, atol=1e-6)
+
+
+def test_filters_and_limits_after_the_scan_do_not_change_values(spark):
+    values = noisy(300, 11)
+    got = I.with_indicators(make(spark, {"a": values, "b": noisy(50, 12)}), *I.GOLD)
+    want = {i: v for i, v in enumerate(brute.ema(values, 50))}
+    some = got.filter("symbol = 'a' AND seq % 7 = 3 AND close > 20").select("seq", "ema50").collect()
+    assert len(some) > 20
+    for seq, value in some:
+        assert value == pytest.approx(want[seq], rel=1e-12)
+    for row in got.filter("symbol = 'a'").coalesce(1).limit(40).collect():
+        assert (row["ema50"] is None) == (want[row["seq"]] is None)
+        assert row["ema50"] is None or row["ema50"] == pytest.approx(want[row["seq"]], rel=1e-12)
+    assert got.filter("symbol = 'b'").count() == 50
