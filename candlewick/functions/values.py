@@ -21,7 +21,7 @@ def volume_or_zero(value: Column | str) -> Column:
 
 
 def double_text(value: Column | str) -> Column:
-    """Double as text: plain digits from 1e-4 up to 1e16, exponent form outside, always the shortest exact digits."""
+    """Double as text that reads back as the same double: plain digits from 1e-4 up to 1e16, exponent form outside."""
     number = _col(value).cast("double")
     text = number.cast("string")
     digits = F.regexp_replace(text.try_cast("decimal(38,22)").cast("string"), "0+$", "")

@@ -1,0 +1,119 @@
+import datetime as dt
+from pathlib import Path
+
+import brute
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from candlewick import plans, sources
+
+ZONE = "Europe/Madrid"
+
+
+@pytest.fixture(scope="module")
+def bars(spark):
+    """Daily bars at midnight UTC over two years, two symbols."""
+    days = spark.sql("SELECT explode(sequence(timestamp'2022-01-01', timestamp'2023-12-31', interval 1 day)) AS datetime")
+    return days.crossJoin(spark.createDataFrame([("A",), ("B",)], "symbol string")).select(
+        "symbol", "datetime", *[(F.abs(F.hash("symbol", "datetime", F.lit(i))) % 10_000 / 100).alias(name)
+                                for i, name in enumerate(("open", "high", "low", "close", "volume"))])
+
+
+def same_rows(one, two):
+    return sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+
+
+def test_bronze_silver_gold(spark, bars, tmp_path):
+    bronze, silver, gold = (str(tmp_path / name) for name in ("bronze", "silver", "gold"))
+    sources.write_bronze(bars, bronze)
+    months = {p.name for p in Path(bronze, "year=2022").iterdir()}
+    assert months == {f"month={m}" for m in range(1, 13)}
+    first = plans.bronze_to_silver(spark, bronze, silver)
+    assert first.columns == ["symbol", "datetime", "open", "high", "low", "close", "volume", "year", "month"]
+    assert same_rows(first, sources.with_year_month(bars))
+    second = plans.silver_to_gold(spark, silver, gold)
+    assert second.columns == [*first.columns[:-2], "sma200", "ema50", "rsi14", "macd_line", "signal_line",
+                              "macd_histogram", "year", "month"]
+    assert second.count() == first.count()
+    rows = second.filter("symbol = 'A'").orderBy("datetime").collect()
+    closes = [r["close"] for r in rows]
+    line, signal, _ = brute.macd(closes)
+    for name, want in {"sma200": brute.sma(closes, 200), "ema50": brute.ema(closes, 50), "rsi14": brute.rsi(closes, 14),
+                       "macd_line": line, "signal_line": signal}.items():
+        np.testing.assert_allclose([r[name] for r in rows], want, rtol=1e-9, atol=1e-9)
+
+
+def test_no_day_is_lost_at_a_change_of_clock(spark, bars, tmp_path):
+    """Files with local times of a zone with summer time, as an older loader wrote them: no symbol, no zone."""
+    local = bars.filter("symbol = 'A'").withColumn("datetime", F.from_utc_timestamp("datetime", ZONE))
+    sources.write_bronze(local.drop("symbol"), str(tmp_path / "old"))
+    silver = plans.bronze_to_silver(spark, str(tmp_path / "old"), str(tmp_path / "silver"), symbol="A", source_tz=ZONE)
+    assert same_rows(silver.select(bars.columns), bars.filter("symbol = 'A'"))
+
+
+def test_replacing_months_keeps_the_others(spark, bars, tmp_path):
+    path = str(tmp_path / "t")
+    table = sources.with_year_month(bars)
+    sources.write_layer(table, path)
+    march = table.filter("year = 2023 AND month = 3").withColumn("close", F.lit(-1.0))
+    sources.write_layer(march, path, replace="months")
+    got = spark.read.parquet(path)
+    assert got.count() == table.count() and got.filter("close = -1").count() == march.count() == 62
+    sources.write_layer(march, path)
+    assert spark.read.parquet(path).count() == 62
+    with pytest.raises(ValueError):
+        sources.write_layer(march, path, replace="some")
+
+
+def test_reading_a_time_range_prunes_months(spark, bars, tmp_path):
+    path = str(tmp_path / "t")
+    sources.write_layer(sources.with_year_month(bars), path)
+    start, end = (dt.datetime(*d, tzinfo=dt.timezone.utc) for d in ((2022, 12, 30), (2023, 1, 3)))
+    got = sources.read_bars(spark, path, start, end)
+    assert got.count() == 8
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull" in plan or "PartitionFilters: [(" in plan
+    assert "PushedFilters: [IsNotNull(datetime)" in plan
+
+
+def test_a_month_of_most_rows_is_split(spark, tmp_path):
+    rows = spark.range(400_000).select(
+        F.lit("A").alias("symbol"), F.timestamp_seconds(1_700_000_000 + F.col("id") % 1000).alias("datetime"),
+        F.rand(1).alias("close"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        sources.write_layer(sources.with_year_month(rows.repartition(8)), str(tmp_path / "t"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list(tmp_path.glob("t/year=2023/month=11/*.parquet"))) > 2
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 400_000
+
+
+def test_catalog_table(spark, bars, tmp_path):
+    path = str(tmp_path / "t")
+    sources.write_layer(sources.with_year_month(bars), path)
+    assert sources.register_table(spark, "market.bars", path).count() == bars.count()
+    assert spark.sql("SELECT count(*) FROM market.bars WHERE year = 2022").first()[0] == 730
+    assert sources.register_table(spark, "market.bars", path).count() == bars.count()
+    plain = str(tmp_path / "plain")
+    bars.write.parquet(plain)
+    assert sources.register_table(spark, "plain_bars", plain).count() == bars.count()
+
+
+def test_captures_to_bronze(spark, tmp_path):
+    text = '"s":[{"i":0,"v":[1709164800.0,1,2,0.5,1.5,9.0]},{"i":1,"v":[1709251200.0,1.5,2.5,1,2,4.0]}]'
+    captures = spark.createDataFrame([("AB", "EX", None, text), ("AB", "EX", 2, text)],
+                                     "symbol string, exchange string, contract int, text string")
+    plans.build_bronze(captures, str(tmp_path / "b"))
+    got = sources.read_bronze(spark, str(tmp_path / "b"))
+    assert sorted((r["symbol"], r["year"], r["month"], r["close"]) for r in got.collect()) == [
+        ("EX:AB", 2024, 2, 1.5), ("EX:AB", 2024, 3, 2.0), ("EX:AB2!", 2024, 2, 1.5), ("EX:AB2!", 2024, 3, 2.0)]
+
+
+def test_a_wrong_header_is_noticed(spark, tmp_path):
+    folder = tmp_path / "year=2024" / "month=1"
+    folder.mkdir(parents=True)
+    (folder / "x.csv").write_text("datetime,high,open,low,close,volume\n2024-01-01 00:00:00,1,2,3,4,5\n")
+    with pytest.raises(Exception, match="CSV header"):
+        sources.read_bronze(spark, str(tmp_path), symbol="A").collect()

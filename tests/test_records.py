@@ -1,0 +1,74 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from candlewick import operators as op
+from candlewick import plans, schemas
+
+TICK = '{"symbol":"A","@timestamp":"2024-01-01T00:00:10Z","close":"21207873.5","volume":"2"}'
+VWAP = '{"window_start":"2024-01-01 00:00:00","window_end":"2024-01-01 00:05:00","symbol":"A","vwap":1.25}'
+
+
+def topics(spark, pairs):
+    rows = [(b"A", text.encode(), topic, 0, i, None) for i, (topic, text) in enumerate(pairs)]
+    return spark.createDataFrame(rows, schemas.KAFKA_RECORD)
+
+
+def plain(value):
+    return json.loads(json.dumps(value.asDict(recursive=True), default=str))
+
+
+def test_both_topics_become_records(spark):
+    records = plans.topics_to_records(topics(spark, [("t", TICK), ("v", VWAP), ("other", TICK)]), "t", "v", F.lit(7))
+    tick, vwap = (plain(r) for r in records.orderBy("table").collect())
+    assert tick == {
+        "Dimensions": [{"Name": "symbol", "Value": "A"}, {"Name": "source_topic", "Value": "t"}],
+        "MeasureName": "market_metrics",
+        "MeasureValues": [{"Name": "close_price", "Value": "21207873.5", "Type": "DOUBLE"},
+                          {"Name": "trade_volume", "Value": "2.0", "Type": "DOUBLE"}],
+        "MeasureValueType": "MULTI", "Time": "1704067210000", "TimeUnit": "MILLISECONDS", "Version": 7,
+        "partition": 0, "offset": 0, "table": "quotes", "date": "2024-01-01"}
+    assert vwap == {
+        "Dimensions": [{"Name": "symbol", "Value": "A"}, {"Name": "window_start", "Value": "2024-01-01 00:00:00"},
+                       {"Name": "window_end", "Value": "2024-01-01 00:05:00"}, {"Name": "source_topic", "Value": "v"}],
+        "MeasureName": "aggregated_metrics",
+        "MeasureValues": [{"Name": "vwap_value", "Value": "1.25", "Type": "DOUBLE"}],
+        "MeasureValueType": "MULTI", "Time": "1704067500000", "TimeUnit": "MILLISECONDS", "Version": 7,
+        "partition": 0, "offset": 1, "table": "vwap", "date": "2024-01-01"}
+
+
+@pytest.mark.parametrize("topic,text", [
+    ("t", "{"), ("t", TICK.replace('"2"', '"x"')), ("t", TICK.replace("2024-01-01T", "soon ")),
+    ("v", '{"window_start":"2024-01-01 00:00:00","window_end":"2024-01-01 00:05:00","symbol":"A"}'),
+    ("v", VWAP.replace("2024-01-01 00:05:00", "?")), ("other", TICK),
+])
+def test_messages_without_a_record_are_kept_apart(spark, topic, text):
+    frame = topics(spark, [(topic, text), ("t", TICK)])
+    assert plans.topics_to_records(frame, "t", "v").count() == 1
+    assert [tuple(r) for r in plans.rejected_messages(frame, "t", "v").collect()] == [(topic, text)]
+
+
+def test_version_is_the_time_unless_given(spark):
+    ticks = op.decode_ticks(topics(spark, [("t", TICK)]))
+    assert op.tick_records(ticks, "t").first()["Version"] > 1_700_000_000_000
+
+
+def test_narrow_records(spark):
+    df = spark.createDataFrame([("A", "w0", "w1", 1.5, 2.5, 60_000), ("B", "w0", "w1", None, 3.0, 60_000)],
+                               "symbol string, window_start string, window_end string, close double, vwap double, ms bigint")
+    got = op.narrow_records(df, ["symbol", "window_start"], ["close", "vwap"], F.col("ms"), F.lit(1)).collect()
+    flat = sorted((r["Dimensions"][0]["Value"], r["MeasureName"], r["MeasureValue"], r["Time"]) for r in got)
+    assert flat == [("A", "close", "1.5", "60000"), ("A", "vwap", "2.5", "60000"), ("B", "vwap", "3.0", "60000")]
+    assert got[0]["MeasureValueType"] == "DOUBLE" and got[0]["TimeUnit"] == "MILLISECONDS"
+
+
+def test_latest_version(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 10, 0, "old"), ("a", 1, 12, 3, "new"), ("a", 1, 12, 2, "tie"), ("b", 1, None, 0, "only"), (None, 1, 5, 0, "n")],
+        "id string, day int, version int, seq int, v string")
+    got = op.latest_version(df, ["id", "day"], ["version", "seq"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert got.columns == df.columns
+    assert {(r["id"], r["v"]) for r in got.collect()} == {("a", "new"), ("b", "only"), (None, "n")}
+    assert "partial_max_by" in plan and plan.count("Exchange hashpartitioning") == 1
