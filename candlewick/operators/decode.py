@@ -5,6 +5,7 @@ Everything here is a row-wise expression, so it works the same on batch and stre
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,11 +16,20 @@ from candlewick import schemas
 from candlewick.functions import epoch_ms_to_iso, epoch_seconds_to_time, parse_time, to_double, volume_or_zero
 
 
+def _parsed_once(df: DataFrame, name: str | None = None) -> DataFrame:
+    """Keeps later filters above this point, counting the rows as observed metric ``name``.
+
+    Spark moves a filter below the projection it refers to and so repeats the projection's expressions: a check of three
+    fields would parse every message four times.
+    """
+    return df.observe(name or f"messages-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
+
+
 def decode_json(records: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
     """``value`` as JSON, one column per schema field, with the raw text in ``json``. Bad JSON gives null fields."""
     text = F.col("value").cast("string")
     parsed = records.select(*keep, text.alias("json"), F.from_json(text, schema).alias("data"))
-    return parsed.select(*keep, "json", "data.*")
+    return _parsed_once(parsed).select(*keep, "json", "data.*")
 
 
 def encode_json(df: DataFrame, key: str, value_columns: Sequence[str] | None = None) -> DataFrame:
@@ -86,11 +96,12 @@ def candles_to_ticks(candles: DataFrame, symbol: Column | str) -> DataFrame:
 def chart_messages(captures: DataFrame, text_col: str = "text") -> DataFrame:
     """``method`` and ``params`` of raw chart-service messages; text that holds no message gives no row."""
     text = F.col(text_col)
-    return captures.select(
+    messages = captures.select(
         *[name for name in captures.columns if name != text_col],
         F.regexp_extract(text, r'"m":"(.+?)",', 1).alias("method"),
         F.regexp_extract(text, r'"p":(.+?"\}"\])\}', 1).alias("params"),
-    ).filter((F.col("method") != "") & (F.col("params") != ""))
+    )
+    return _parsed_once(messages).filter((F.col("method") != "") & (F.col("params") != ""))
 
 
 def chart_bars(captures: DataFrame, text_col: str = "text") -> DataFrame:
@@ -100,7 +111,8 @@ def chart_bars(captures: DataFrame, text_col: str = "text") -> DataFrame:
     """
     block = F.regexp_extract(F.col(text_col), r'"s":(\[.+?\}\])', 1)
     others = [name for name in captures.columns if name != text_col]
-    bars = captures.select(*others, F.explode(F.from_json(block, schemas.CHART_BARS)).alias("bar"))
+    parsed = _parsed_once(captures.select(*others, F.from_json(block, schemas.CHART_BARS).alias("bars")))
+    bars = parsed.select(*others, F.explode("bars").alias("bar"))
     prices = ["open", "high", "low", "close"]
     return bars.select(
         *others,

@@ -38,34 +38,37 @@ def _wide(dimensions: Column, measure: str, measures: Column, millis: Column, ve
     ]
 
 
+def usable_tick() -> Column:
+    return F.col("event_time").isNotNull() & F.col("close").isNotNull() & F.col("volume").isNotNull()
+
+
+def usable_vwap() -> Column:
+    return F.col("vwap").isNotNull() & iso_to_epoch_ms("window_end").isNotNull()
+
+
 def tick_record(source_topic: str, version: Column | None = None) -> Column:
-    """Record of a decoded tick with its price and volume, at its event time; null if one of them is missing."""
+    """Record of a decoded tick with its price and volume, at its event time."""
     dims = _dimensions(symbol=F.col("symbol"), source_topic=F.lit(source_topic))
     values = _measures(close_price=F.col("close"), trade_volume=F.col("volume"))
-    usable = F.col("event_time").isNotNull() & F.col("close").isNotNull() & F.col("volume").isNotNull()
-    return F.when(usable, F.struct(*_wide(dims, TICK_MEASURE, values, F.unix_millis("event_time"), version)))
+    return F.struct(*_wide(dims, TICK_MEASURE, values, F.unix_millis("event_time"), version))
 
 
 def vwap_record(source_topic: str, version: Column | None = None) -> Column:
-    """Record of a VWAP message at the end of its window; null without a price or a readable time."""
+    """Record of a VWAP message, at the end of its window."""
     dims = _dimensions(symbol=F.col("symbol"), window_start=F.col("window_start"), window_end=F.col("window_end"),
                        source_topic=F.lit(source_topic))
-    millis = iso_to_epoch_ms("window_end")
     values = _measures(vwap_value=F.col("vwap"))
-    usable = F.col("vwap").isNotNull() & millis.isNotNull()
-    return F.when(usable, F.struct(*_wide(dims, VWAP_MEASURE, values, millis, version)))
+    return F.struct(*_wide(dims, VWAP_MEASURE, values, iso_to_epoch_ms("window_end"), version))
 
 
 def tick_records(ticks: DataFrame, source_topic: str, version: Column | None = None) -> DataFrame:
     """One record per usable tick. ``version`` defaults to the current time."""
-    record = tick_record(source_topic, version)
-    return ticks.select(record.alias("record")).filter(F.col("record").isNotNull()).select("record.*")
+    return ticks.filter(usable_tick()).select(tick_record(source_topic, version).alias("record")).select("record.*")
 
 
 def vwap_records(rows: DataFrame, source_topic: str, version: Column | None = None) -> DataFrame:
-    """One record per usable VWAP message."""
-    record = vwap_record(source_topic, version)
-    return rows.select(record.alias("record")).filter(F.col("record").isNotNull()).select("record.*")
+    """One record per VWAP message with a price and a readable time."""
+    return rows.filter(usable_vwap()).select(vwap_record(source_topic, version).alias("record")).select("record.*")
 
 
 def narrow_records(df: DataFrame, dimensions: Sequence[str], measures: Sequence[str], time_ms: Column,

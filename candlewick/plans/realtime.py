@@ -15,9 +15,12 @@ from candlewick.operators.decode import (
     candles_to_ticks, closed_candles, count_rejected, decode_candles, decode_json, decode_ticks, encode_json,
     valid_ticks,
 )
-from candlewick.operators.records import tick_record, vwap_record
+from candlewick.operators.records import tick_record, usable_tick, usable_vwap, vwap_record
 from candlewick.operators.vwap import encode_vwap, vwap, vwap_rows
 
+QUOTES = "quotes"
+VWAPS = "vwap"
+
 
 def candle_topic_to_ticks(records: DataFrame, symbol: Column | str) -> DataFrame:
     """Closed candles as tick messages, keyed by symbol."""
@@ -38,20 +41,17 @@ def tick_topic_to_vwap_topic(records: DataFrame, window: str = "5 minutes",
     return encode_vwap(tick_topic_to_windows(records, window, watermark))
 
 
-def _routed(records: DataFrame, tick_topic: str, vwap_topic: str, version: Column | None) -> DataFrame:
-    messages = (
+def _messages(records: DataFrame, tick_topic: str, vwap_topic: str) -> DataFrame:
+    """Messages of both topics, parsed in one pass, with the ``table`` they belong to; null if they give no record."""
+    decoded = (
         decode_json(records, schemas.TICK_OR_VWAP, keep=["topic", "partition", "offset"])
         .withColumn("close", to_double("close"))
         .withColumn("volume", to_double("volume"))
         .withColumn("vwap", to_double("vwap"))
         .withColumn("event_time", parse_time("@timestamp"))
     )
-    record = (
-        F.when(F.col("topic") == tick_topic, tick_record(tick_topic, version))
-        .when(F.col("topic") == vwap_topic, vwap_record(vwap_topic, version))
-    )
-    table = F.when(F.col("topic") == tick_topic, "quotes").when(F.col("topic") == vwap_topic, "vwap")
-    return messages.select("topic", "partition", "offset", "json", table.alias("table"), record.alias("record"))
+    return decoded.withColumn("table", F.when((F.col("topic") == tick_topic) & usable_tick(), QUOTES)
+                              .when((F.col("topic") == vwap_topic) & usable_vwap(), VWAPS))
 
 
 def topics_to_records(records: DataFrame, tick_topic: str, vwap_topic: str, version: Column | None = None) -> DataFrame:
@@ -61,12 +61,14 @@ def topics_to_records(records: DataFrame, tick_topic: str, vwap_topic: str, vers
     higher version and so replaces itself (``latest_version``); the messages of one micro-batch share a version, and
     the later offset wins.
     """
-    good = _routed(records, tick_topic, vwap_topic, version).filter(F.col("record").isNotNull())
+    good = _messages(records, tick_topic, vwap_topic).filter(F.col("table").isNotNull())
+    record = F.when(F.col("table") == QUOTES, tick_record(tick_topic, version)).otherwise(
+        vwap_record(vwap_topic, version))
+    rows = good.select(record.alias("record"), "partition", "offset", "table")
     day = epoch_seconds_to_time(F.col("record.Time").cast("long") / 1000).cast("date")
-    return good.select("record.*", "partition", "offset", "table", day.alias("date"))
+    return rows.select("record.*", "partition", "offset", "table", day.alias("date"))
 
 
 def rejected_messages(records: DataFrame, tick_topic: str, vwap_topic: str) -> DataFrame:
     """Topic and text of the messages that give no record."""
-    routed = _routed(records, tick_topic, vwap_topic, None)
-    return routed.filter(F.col("record").isNull()).select("topic", "json")
+    return _messages(records, tick_topic, vwap_topic).filter(F.col("table").isNull()).select("topic", "json")
