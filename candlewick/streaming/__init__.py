@@ -1,4 +1,6 @@
+from candlewick.streaming.jobs import start_records, start_ticks, start_vwap
 from candlewick.streaming.lifecycle import late_rows, run, start
 from candlewick.streaming.sinks import parquet_writer, read_versioned, versioned_writer
 
-__all__ = ["late_rows", "parquet_writer", "read_versioned", "run", "start", "versioned_writer"]
+__all__ = ["late_rows", "parquet_writer", "read_versioned", "run", "start", "start_records",
+           "start_ticks", "start_vwap", "versioned_writer"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from candlewick import operators as op
 from candlewick import plans, schemas, streaming
+from candlewick.sources import kafka
 
 START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -149,3 +150,63 @@ def test_start_options(spark, tmp_path):
     finally:
         query.stop()
     assert spark.read.parquet(str(tmp_path / "o")).select(F.count("*")).first()[0] == 3
+
+
+@pytest.fixture()
+def broker(spark, tmp_path, monkeypatch):
+    """Topics as folders of Kafka records, in place of the connector."""
+    def read_stream(session, config, *topics, starting_offsets):
+        assert starting_offsets == "earliest"
+        stream = session.readStream.schema(schemas.KAFKA_RECORD).option("maxFilesPerTrigger", 1)
+        return stream.parquet(str(tmp_path / "broker")).filter(F.col("topic").isin(*topics))
+
+    def stream_writer(df, config, topic, checkpoint, output_mode="append"):
+        def send(batch, batch_id):
+            put(spark, tmp_path / f"to-{topic}", batch_id, [r["value"] for r in batch.collect()], topic)
+        return df.writeStream.outputMode(output_mode).foreachBatch(send).option("checkpointLocation", checkpoint)
+
+    monkeypatch.setattr(kafka, "read_stream", read_stream)
+    monkeypatch.setattr(kafka, "stream_writer", stream_writer)
+    return tmp_path
+
+
+def sent(spark, folder):
+    return [json.loads(r[0].decode()) for r in spark.read.parquet(str(folder)).select("value").collect()]
+
+
+def finish(queries):
+    for query in queries:
+        query.awaitTermination()
+
+
+ONCE = {"available_now": True, "starting_offsets": "earliest"}
+
+
+def test_vwap_job(spark, broker):
+    for i, batch in enumerate(BATCHES):
+        put(spark, broker / "broker", i, batch)
+    finish(streaming.start_vwap(spark, None, "ticks", "out", str(broker / "cp"), rejects=str(broker / "bad"), **ONCE))
+    assert len(sent(spark, broker / "to-out")) == 3
+    bad = spark.read.parquet(str(broker / "bad"))
+    assert bad.count() == 2 and bad.columns == ["topic", "partition", "offset", "json"]
+    finish(streaming.start_vwap(spark, None, "ticks", "all", str(broker / "cp2"), output_mode="update", **ONCE))
+    assert len(sent(spark, broker / "to-all")) > 3
+
+
+def test_tick_job(spark, broker):
+    closed = {"k": {"i": "1m", "c": "1.5", "v": "2", "x": True, "T": 1704067259999}}
+    put(spark, broker / "broker", 0, [json.dumps(closed), json.dumps({"k": {**closed["k"], "x": False}})], "candles")
+    finish(streaming.start_ticks(spark, None, "candles", "ticks", "AB", str(broker / "cp"), **ONCE))
+    assert sent(spark, broker / "to-ticks") == [
+        {"symbol": "AB", "@timestamp": "2024-01-01T00:00:59Z", "close": "1.5", "volume": "2"}]
+
+
+def test_records_job(spark, broker):
+    put(spark, broker / "broker", 0, [tick(0), "bad", tick(1)], "ticks")
+    put(spark, broker / "broker", 1, [json.dumps(
+        {"window_start": "2024-01-01 00:00:00", "window_end": "2024-01-01 00:05:00", "symbol": "A", "vwap": 1.0})], "vwap")
+    finish(streaming.start_records(spark, None, "ticks", "vwap", str(broker / "out"), str(broker / "cp"),
+                                   rejects=str(broker / "bad"), **ONCE))
+    counts = spark.read.parquet(str(broker / "out")).groupBy("table").count().collect()
+    assert dict(map(tuple, counts)) == {"quotes": 2, "vwap": 1}
+    assert [tuple(r) for r in spark.read.parquet(str(broker / "bad")).collect()] == [("ticks", "bad")]
