@@ -63,9 +63,10 @@ def latest_bars(
     order = [F.col(time_col).desc(), *([F.col(tie).desc()] if tie else [])]
     if n_bars <= RANK_PUSHDOWN:
         return _first_rows(bars, keys, order, n_bars)
-    # Beyond the pushdown a key would move to one task whole: cut salted parts of it first, then merge the parts.
+    # Beyond the pushdown a key would move to one task whole: cut parts of it first, one per group of input tasks, then
+    # merge the parts.
     salts = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bars = bars.withColumn("__salt", F.pmod(F.xxhash64(time_col, *([tie] if tie else [])), F.lit(salts)))
+    bars = bars.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     while salts > 1:
         bars = _first_rows(bars, [*keys, "__salt"], order, n_bars)
         bars = bars.withColumn("__salt", F.floor(F.col("__salt") / MERGE_WAYS))

@@ -38,6 +38,7 @@ BATCH_ROWS = 16_384
 _PART = "__scan_part"
 _VALUE = "__scan_value"
 _TIE = "__scan_tie"
+_ORIGIN = "__scan_origin"
 
 
 def affine_scan(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -361,7 +362,10 @@ def ordered_scan(
         hashed = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
         marked = df.withColumn(_TIE, F.xxhash64(*[F.col(f"`{name}`") for name in hashed]))
         ties = [_TIE]
-    order = [F.col(f"`{name}`") for name in (*keys, time_col, *ties)]
+    # Rows equal in all of these may be very many: the task they come from lets the ranges cut between them. It is the
+    # same when a lost task is repeated.
+    marked = marked.withColumn(_ORIGIN, F.spark_partition_id())
+    order = [F.col(f"`{name}`") for name in (*keys, time_col, *ties, _ORIGIN)]
     limit = _partition_limit(indicators)
     if int(spark.conf.get("spark.sql.shuffle.partitions")) > limit:
         ranged = marked.repartitionByRange(limit, *order)

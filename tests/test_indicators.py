@@ -243,3 +243,17 @@ def test_filters_and_limits_after_the_scan_do_not_change_values(spark):
         assert (row["ema50"] is None) == (want[row["seq"]] is None)
         assert row["ema50"] is None or row["ema50"] == pytest.approx(want[row["seq"]], rel=1e-12)
     assert got.filter("symbol = 'b'").count() == 50
+
+
+def test_a_group_of_copies_is_split(spark):
+    copies = spark.range(0, 60_000, 1, 8).select(
+        F.lit("a").alias("symbol"), F.lit(START).alias("datetime"), F.lit(2.5).alias("close"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = I.with_indicators(copies, *I.GOLD).withColumn("part", F.spark_partition_id())
+        sizes = [r["count"] for r in got.groupBy("part").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == 60_000 and max(sizes) <= 30_000
+    off = "abs(sma200 - 2.5) > 1e-12 OR abs(ema50 - 2.5) > 1e-12 OR rsi14 != 100 OR abs(macd_line) > 1e-12"
+    assert got.filter(off).count() == 0
