@@ -36,6 +36,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """For steps that write times as text or read them from text without a zone."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z", "+00:00", "GMT"):
+        raise ValueError(f"spark.sql.session.timeZone must be UTC for this, not {zone}")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see. A temporary folder is made up only for a local master."""
     current = spark.sparkContext.getCheckpointDir()

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick import schemas
+from candlewick.session import require_utc
 
 PARTITION = ("year", "month")
+SORT = ("symbol", "datetime")
 
 
 def with_year_month(df: DataFrame, time_col: str = "datetime") -> DataFrame:
@@ -34,6 +36,7 @@ def read_bronze(spark: SparkSession, path: str, symbol: str | None = None, sourc
     if symbol is not None:
         bars = bars.select(F.lit(symbol).alias("symbol"), "*")
     if source_tz is not None:
+        require_utc(spark)
         bars = with_year_month(bars.withColumn("datetime", F.to_utc_timestamp("datetime", source_tz)))
     return bars
 
@@ -54,12 +57,14 @@ def write_layer(df: DataFrame, path: str, file_format: str = "parquet", replace:
     """Write below ``year=Y/month=M``, replacing ``all`` of the table or only the ``months`` in ``df``.
 
     The rows are rebalanced by month first: a month ends up in few files of a good size, and a month that holds most of
-    the rows is split over many tasks (by adaptive execution).
+    the rows is split over many tasks (by adaptive execution). Files are sorted by symbol and time, so that a reader of
+    one symbol or a time range skips most row groups.
     """
     if replace not in ("all", "months"):
         raise ValueError(f"replace must be 'all' or 'months', not {replace!r}")
-    writer = df.hint("rebalance", *[F.col(name) for name in PARTITION]).write
-    writer = writer.partitionBy(*PARTITION).mode("overwrite").format(file_format).options(**options)
+    order = [*PARTITION, *[name for name in SORT if name in df.columns]]
+    rows = df.hint("rebalance", *[F.col(name) for name in PARTITION]).sortWithinPartitions(*order)
+    writer = rows.write.partitionBy(*PARTITION).mode("overwrite").format(file_format).options(**options)
     writer.option("partitionOverwriteMode", "static" if replace == "all" else "dynamic").save(path)
 
 

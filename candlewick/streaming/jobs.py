@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from candlewick.operators.decode import decode_ticks, rejected_ticks
 from candlewick.operators.vwap import encode_vwap
 from candlewick.plans import realtime
+from candlewick.session import require_utc
 from candlewick.sources import kafka
 from candlewick.sources.kafka import KafkaConfig
 from candlewick.streaming.lifecycle import start
@@ -17,6 +18,7 @@ from candlewick.streaming.sinks import parquet_writer
 def start_ticks(spark: SparkSession, config: KafkaConfig, candle_topic: str, tick_topic: str, symbol: Column | str,
                 checkpoint: str, starting_offsets: str = "latest", **trigger) -> list[StreamingQuery]:
     """Candle updates to ticks of closed candles."""
+    require_utc(spark)
     candles = kafka.read_stream(spark, config, candle_topic, starting_offsets=starting_offsets)
     ticks = realtime.candle_topic_to_ticks(candles, symbol)
     return [start(kafka.stream_writer(ticks, config, tick_topic, checkpoint), "ticks", **trigger)]
@@ -30,6 +32,7 @@ def start_vwap(spark: SparkSession, config: KafkaConfig, tick_topic: str, vwap_t
     ``append`` sends a window once, after the watermark has passed its end; ``update`` sends it on every change, and the
     readers keep the last one. ``rejects``: folder for the messages that are no usable ticks, kept by a second query.
     """
+    require_utc(spark)
     records = kafka.read_stream(spark, config, tick_topic, starting_offsets=starting_offsets)
     windows = realtime.tick_topic_to_windows(records, window, watermark)
     queries = [start(kafka.stream_writer(encode_vwap(windows), config, vwap_topic, checkpoint, output_mode), "vwap",
@@ -45,6 +48,7 @@ def start_records(spark: SparkSession, config: KafkaConfig, tick_topic: str, vwa
                   checkpoint: str, rejects: str | None = None, starting_offsets: str = "latest",
                   **trigger) -> list[StreamingQuery]:
     """Both topics to the record tables ``table=quotes`` and ``table=vwap`` below ``path``, by date."""
+    require_utc(spark)
     topics = kafka.read_stream(spark, config, tick_topic, vwap_topic, starting_offsets=starting_offsets)
     records = realtime.topics_to_records(topics, tick_topic, vwap_topic)
     queries = [start(parquet_writer(records, path, checkpoint, ["table", "date"]), "records", **trigger)]

@@ -14,14 +14,20 @@ from candlewick.operators.records import latest_version
 VERSION = ("version", "batch_id")
 
 
-def parquet_writer(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()) -> DataStreamWriter:
-    """Append-only table; every row is written exactly once, also across restarts."""
+def parquet_writer(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (),
+                   files: int | None = None) -> DataStreamWriter:
+    """Append-only table; every row is written exactly once, also across restarts.
+
+    ``files``: number of tasks that write a micro-batch, where the query's own number would make many small files.
+    """
+    if files is not None:
+        df = df.repartition(files)
     writer = df.writeStream.format("parquet").outputMode("append").partitionBy(*partition_by)
     return writer.option("path", path).option("checkpointLocation", checkpoint)
 
 
 def versioned_writer(df: DataFrame, path: str, checkpoint: str, output_mode: str = "update",
-                     partition_by: Sequence[str] = ()) -> DataStreamWriter:
+                     partition_by: Sequence[str] = (), files: int | None = None) -> DataStreamWriter:
     """Table of row versions for queries that send a row again on every change.
 
     Each micro-batch is appended with its time and number as version; nothing is read back or rewritten, so a batch
@@ -30,6 +36,8 @@ def versioned_writer(df: DataFrame, path: str, checkpoint: str, output_mode: str
     """
     def append(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumns({"version": now_epoch_ms(), "batch_id": F.lit(batch_id).cast("long")})
+        if files is not None:
+            rows = rows.repartition(files)
         rows.write.mode("append").partitionBy(*partition_by).parquet(path)
 
     return df.writeStream.outputMode(output_mode).foreachBatch(append).option("checkpointLocation", checkpoint)

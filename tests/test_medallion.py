@@ -3,6 +3,7 @@ from pathlib import Path
 
 import brute
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +91,14 @@ def test_a_month_of_most_rows_is_split(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 400_000
 
 
+def test_files_are_sorted_with_a_single_sort(spark, bars, tmp_path):
+    path = str(tmp_path / "t")
+    sources.write_layer(sources.with_year_month(bars.orderBy(F.rand(3))), path)
+    for file in tmp_path.glob("t/*/*/*.parquet"):
+        rows = pq.read_table(file, columns=["symbol", "datetime"], partitioning=None).to_pylist()
+        assert rows == sorted(rows, key=lambda r: (r["symbol"], r["datetime"]))
+
+
 def test_catalog_table(spark, bars, tmp_path):
     path = str(tmp_path / "t")
     sources.write_layer(sources.with_year_month(bars), path)

@@ -74,7 +74,8 @@ def test_update_ends_with_the_batch_result_and_drops_late_rows(spark, topic):
 
 def test_append_sends_each_window_once_after_the_watermark(spark, topic):
     messages = plans.tick_topic_to_vwap_topic(source(spark, topic / "topic"))
-    streaming.run(streaming.parquet_writer(messages, str(topic / "out"), str(topic / "cp")), available_now=True)
+    writer = streaming.parquet_writer(messages, str(topic / "out"), str(topic / "cp"), files=1)
+    streaming.run(writer, available_now=True)
     got = spark.read.schema("key string, value string").parquet(str(topic / "out")).collect()
     sent = [json.loads(r["value"]) for r in got]
     want = {k: v for k, v in flat(batch_result(spark, in_time())).items() if k[1] < "2024-01-01 00:15:00"}
@@ -121,7 +122,7 @@ def test_replayed_records_give_the_same_table(spark, tmp_path):
     def table(checkpoint):
         records = plans.topics_to_records(source(spark, tmp_path / "topic"), "ticks", "vwap")
         writer = streaming.versioned_writer(records, str(tmp_path / "out"), str(tmp_path / checkpoint), "append",
-                                            ["table", "date"])
+                                            ["table", "date"], files=1)
         streaming.run(writer, available_now=True)
         stored = spark.read.parquet(str(tmp_path / "out"))
         latest = op.latest_version(stored, ["table", "date", *("Dimensions", "Time", "MeasureName")],
