@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlewick.functions import bucket_start
 
@@ -13,6 +15,8 @@ from candlewick.functions import bucket_start
 # spark.sql.optimizer.windowGroupLimitThreshold).
 RANK_PUSHDOWN = 1000
 MERGE_WAYS = 64
+# More than the distance of any two bigint values.
+TIE_SPAN = Decimal(2 * 10**19)
 
 
 def resample(
@@ -23,8 +27,7 @@ def resample(
     tie: str | None = None,
 ) -> DataFrame:
     """Bars to coarser bars: first open, highest high, lowest low, last close, summed volume per key and bucket."""
-    order = F.struct(time_col, tie) if tie else F.col(time_col)
-    return _bars(bars, interval, time_col, keys, order, "open", "high", "low", "close")
+    return _bars(bars, interval, time_col, keys, _order(bars, time_col, tie), "open", "high", "low", "close")
 
 
 def ticks_to_bars(
@@ -35,17 +38,31 @@ def ticks_to_bars(
     tie: str | None = None,
 ) -> DataFrame:
     """Ticks to bars. ``tie`` orders ticks of equal time."""
-    order = F.struct(time_col, tie) if tie else F.col(time_col)
-    return _bars(ticks, interval, time_col, keys, order, "close", "close", "close", "close")
+    return _bars(ticks, interval, time_col, keys, _order(ticks, time_col, tie), "close", "close", "close", "close")
+
+
+def _order(df: DataFrame, time_col: str, tie: str | None) -> Column:
+    """Order of the rows in a bucket, of fixed width if possible: only then can the buckets be kept in a hash table.
+
+    A whole-number tie is put behind the microseconds in one number of at most 37 digits.
+    """
+    if tie is None:
+        return F.col(time_col)
+    if not isinstance(df.schema[tie].dataType, T.IntegralType):
+        return F.struct(time_col, tie)
+    micros = F.unix_micros(time_col).cast("decimal(18,0)")
+    last = F.coalesce(F.col(tie).cast("decimal(20,0)"), F.lit(Decimal(-2**63 - 1)))
+    return (micros * F.lit(TIE_SPAN) + last).cast("decimal(38,0)")
 
 
 def _bars(df: DataFrame, interval: str, time_col: str, keys: Sequence[str], order: Column,
           first: str, top: str, bottom: str, last: str) -> DataFrame:
-    return df.groupBy(*keys, bucket_start(time_col, interval).alias("__bucket")).agg(
-        F.min_by(first, order).alias("open"),
+    marked = df.withColumn("__order", order)
+    return marked.groupBy(*keys, bucket_start(time_col, interval).alias("__bucket")).agg(
+        F.min_by(first, "__order").alias("open"),
         F.max(top).alias("high"),
         F.min(bottom).alias("low"),
-        F.max_by(last, order).alias("close"),
+        F.max_by(last, "__order").alias("close"),
         F.sum("volume").alias("volume"),
     ).select(*keys, F.col("__bucket").alias("datetime"), "open", "high", "low", "close", "volume")
 

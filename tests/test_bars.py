@@ -71,9 +71,21 @@ def test_bars_of_bars_equal_bars_of_ticks(spark):
     assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, twice.collect()))
 
 
-def test_bars_without_tie_stay_in_the_hash_aggregate(spark):
+def test_bars_stay_in_the_hash_aggregate(spark):
     _, df = ticks(spark)
-    assert "SortAggregate" not in op.ticks_to_bars(df, "5")._jdf.queryExecution().executedPlan().toString()
+    for tie in (None, "seq"):
+        plan = op.ticks_to_bars(df, "5", tie=tie)._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_extreme_ties(spark, kind):
+    ties = [-2**63, -1, 0, 2**63 - 1, None] if kind == "bigint" else ["a", "b", "ba", "c", None]
+    rows = [("s", year, tie, float(i), 1.0) for year in (1, 9999) for i, tie in enumerate(ties)]
+    df = spark.createDataFrame(rows, f"symbol string, year int, seq {kind}, close double, volume double")
+    df = df.withColumn("event_time", F.make_timestamp("year", F.lit(12), F.lit(31), F.lit(23), F.lit(59), F.lit(59)))
+    bars = op.ticks_to_bars(df.repartition(4), "1D", tie="seq").select("open", "close", "volume").collect()
+    assert [tuple(r) for r in bars] == [(4.0, 3.0, 5.0)] * 2
 
 
 def series(spark, n):
