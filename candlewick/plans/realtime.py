@@ -15,7 +15,9 @@ from candlewick.operators.decode import (
     candles_to_ticks, closed_candles, count_rejected, decode_candles, decode_json, decode_ticks, encode_json,
     valid_ticks,
 )
-from candlewick.operators.records import tick_record, usable_tick, usable_vwap, vwap_record
+from candlewick.operators.records import (
+    IDENTITY, latest_version, tick_record, usable_tick, usable_vwap, vwap_record,
+)
 from candlewick.operators.vwap import encode_vwap, vwap, vwap_rows
 
 QUOTES = "quotes"
@@ -58,7 +60,7 @@ def topics_to_records(records: DataFrame, tick_topic: str, vwap_topic: str, vers
     """Messages of both topics as time-series records, routed by ``table`` (quotes, vwap), with their ``date``.
 
     One pass over the messages. Written with ``partition_by=("table", "date")`` each table is a folder. A replay gets a
-    higher version and so replaces itself (``latest_version``); the messages of one micro-batch share a version, and
+    higher version and so replaces itself (``latest_records``); the messages of one micro-batch share a version, and
     the later offset wins.
     """
     good = _messages(records, tick_topic, vwap_topic).filter(F.col("table").isNotNull())
@@ -69,6 +71,11 @@ def topics_to_records(records: DataFrame, tick_topic: str, vwap_topic: str, vers
     return rows.select("record.*", "partition", "offset", "table", day.alias("date"))
 
 
+def latest_records(stored: DataFrame) -> DataFrame:
+    """The last version of each record of ``topics_to_records``. A filter on ``table`` or ``date`` prunes the files."""
+    return latest_version(stored, ["table", "date", *IDENTITY], ["Version", "partition", "offset"])
+
+
 def rejected_messages(records: DataFrame, tick_topic: str, vwap_topic: str) -> DataFrame:
     """Topic and text of the messages that give no record."""
     return _messages(records, tick_topic, vwap_topic).filter(F.col("table").isNull()).select("topic", "json")

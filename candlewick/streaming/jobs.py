@@ -12,7 +12,7 @@ from candlewick.session import require_utc
 from candlewick.sources import kafka
 from candlewick.sources.kafka import KafkaConfig
 from candlewick.streaming.lifecycle import start
-from candlewick.streaming.sinks import parquet_writer
+from candlewick.streaming.sinks import append_writer, parquet_writer
 
 
 def start_ticks(spark: SparkSession, config: KafkaConfig, candle_topic: str, tick_topic: str, symbol: Column | str,
@@ -47,11 +47,14 @@ def start_vwap(spark: SparkSession, config: KafkaConfig, tick_topic: str, vwap_t
 def start_records(spark: SparkSession, config: KafkaConfig, tick_topic: str, vwap_topic: str, path: str,
                   checkpoint: str, rejects: str | None = None, starting_offsets: str = "latest",
                   **trigger) -> list[StreamingQuery]:
-    """Both topics to the record tables ``table=quotes`` and ``table=vwap`` below ``path``, by date."""
+    """Both topics to the record tables ``table=quotes`` and ``table=vwap`` below ``path``, by date.
+
+    Read them through ``latest_records``.
+    """
     require_utc(spark)
     topics = kafka.read_stream(spark, config, tick_topic, vwap_topic, starting_offsets=starting_offsets)
     records = realtime.topics_to_records(topics, tick_topic, vwap_topic)
-    queries = [start(parquet_writer(records, path, checkpoint, ["table", "date"]), "records", **trigger)]
+    queries = [start(append_writer(records, path, checkpoint, partition_by=["table", "date"]), "records", **trigger)]
     if rejects is not None:
         bad = realtime.rejected_messages(topics, tick_topic, vwap_topic)
         queries.append(start(parquet_writer(bad, rejects, f"{checkpoint}-rejects"), "records-rejects", **trigger))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -26,6 +26,23 @@ def parquet_writer(df: DataFrame, path: str, checkpoint: str, partition_by: Sequ
     return writer.option("path", path).option("checkpointLocation", checkpoint)
 
 
+def append_writer(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
+                  partition_by: Sequence[str] = (), files: int | None = None,
+                  extra: Callable[[int], dict[str, Column]] = lambda batch_id: {}) -> DataStreamWriter:
+    """Append-only table without the log of ``parquet_writer``, which grows with every file ever written.
+
+    A batch that is repeated after a failure is appended again: for rows that carry a version of their own, where the
+    last one counts (``latest_version``). ``extra``: columns to add, from the number of the micro-batch.
+    """
+    def append(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumns(extra(batch_id))
+        if files is not None:
+            rows = rows.repartition(files)
+        rows.write.mode("append").partitionBy(*partition_by).parquet(path)
+
+    return df.writeStream.outputMode(output_mode).foreachBatch(append).option("checkpointLocation", checkpoint)
+
+
 def versioned_writer(df: DataFrame, path: str, checkpoint: str, output_mode: str = "update",
                      partition_by: Sequence[str] = (), files: int | None = None) -> DataStreamWriter:
     """Table of row versions for queries that send a row again on every change.
@@ -34,13 +51,10 @@ def versioned_writer(df: DataFrame, path: str, checkpoint: str, output_mode: str
     costs what it holds. ``read_versioned`` picks the last version. A batch that is repeated after a failure adds equal
     rows of a later version, which changes nothing.
     """
-    def append(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumns({"version": now_epoch_ms(), "batch_id": F.lit(batch_id).cast("long")})
-        if files is not None:
-            rows = rows.repartition(files)
-        rows.write.mode("append").partitionBy(*partition_by).parquet(path)
+    def version(batch_id: int) -> dict[str, Column]:
+        return {"version": now_epoch_ms(), "batch_id": F.lit(batch_id).cast("long")}
 
-    return df.writeStream.outputMode(output_mode).foreachBatch(append).option("checkpointLocation", checkpoint)
+    return append_writer(df, path, checkpoint, output_mode, partition_by, files, version)
 
 
 def read_versioned(spark: SparkSession, path: str, identity: Sequence[str]) -> DataFrame:

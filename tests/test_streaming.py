@@ -5,7 +5,6 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from candlewick import operators as op
 from candlewick import plans, schemas, streaming
 from candlewick.sources import kafka
 
@@ -121,12 +120,13 @@ def test_replayed_records_give_the_same_table(spark, tmp_path):
 
     def table(checkpoint):
         records = plans.topics_to_records(source(spark, tmp_path / "topic"), "ticks", "vwap")
-        writer = streaming.versioned_writer(records, str(tmp_path / "out"), str(tmp_path / checkpoint), "append",
-                                            ["table", "date"], files=1)
+        writer = streaming.append_writer(records, str(tmp_path / "out"), str(tmp_path / checkpoint),
+                                         partition_by=["table", "date"], files=1)
         streaming.run(writer, available_now=True)
         stored = spark.read.parquet(str(tmp_path / "out"))
-        latest = op.latest_version(stored, ["table", "date", *("Dimensions", "Time", "MeasureName")],
-                                   ["Version", "partition", "offset"])
+        latest = plans.latest_records(stored)
+        pruned = latest.filter("table = 'vwap'")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(table" in pruned
         return stored.count(), sorted(
             (r["table"], r["Time"], r["MeasureValues"][0]["Value"]) for r in latest.collect())
 

@@ -329,11 +329,10 @@ def records_stream(spark, sf_dir):
     topics, base = _staged_topics(spark, sf_dir), scratch_path(spark, "records")
     stream = spark.readStream.schema(schemas.KAFKA_RECORD).parquet(topics)
     records = plans.topics_to_records(stream, TICK_TOPIC, VWAP_TOPIC)
-    streaming.run(streaming.parquet_writer(records, f"{base}/table", f"{base}/checkpoint", ["table", "date"]),
-                  available_now=True)
-    stored = spark.read.parquet(f"{base}/table")
-    return _record_values(op.latest_version(stored, ["table", "date", "Dimensions", "Time", "MeasureName"],
-                                            ["Version", "partition", "offset"]))
+    streaming.run(
+        streaming.append_writer(records, f"{base}/table", f"{base}/checkpoint", partition_by=["table", "date"]),
+        available_now=True)
+    return _record_values(plans.latest_records(spark.read.parquet(f"{base}/table")))
 
 
 # Scalar functions
