@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from candlewick.functions.columns import as_column
+
 # The interval codes of the data service. Minutes without a unit.
 WINDOW_INTERVALS = {
     "1": "1 minute",
@@ -28,7 +30,7 @@ def bucket_start(time: Column | str, interval: str) -> Column:
 
     Up to a day the buckets count from the epoch; weeks start on Monday and months on day 1.
     """
-    column = F.col(time) if isinstance(time, str) else time
+    column = as_column(time)
     if interval in WINDOW_INTERVALS:
         return F.window(column, WINDOW_INTERVALS[interval])["start"]
     if interval in CALENDAR_INTERVALS:

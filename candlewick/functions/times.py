@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-
+from candlewick.functions.columns import as_column
 
-def _col(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def parse_time(text: Column | str) -> Column:
     """ISO text to timestamp; null for text that is no time."""
-    return F.try_to_timestamp(_col(text))
+    return F.try_to_timestamp(as_column(text))
 
 
 def iso_to_epoch_ms(text: Column | str) -> Column:
@@ -24,11 +22,11 @@ def iso_to_epoch_ms(text: Column | str) -> Column:
 
 def epoch_ms_to_iso(millis: Column | str) -> Column:
     """Epoch milliseconds to ISO text, cut to whole seconds."""
-    return F.date_format(F.timestamp_millis(_col(millis)), ISO_SECONDS)
+    return F.date_format(F.timestamp_millis(as_column(millis)), ISO_SECONDS)
 
 
 def epoch_seconds_to_time(seconds: Column | str) -> Column:
-    return F.timestamp_seconds(_col(seconds))
+    return F.timestamp_seconds(as_column(seconds))
 
 
 def now_epoch_ms() -> Column:

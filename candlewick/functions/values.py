@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _col(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+from candlewick.functions.columns import as_column
 
 
 def to_double(text: Column | str) -> Column:
     """Text to double; null for text that is no number, also under ANSI mode."""
-    return _col(text).try_cast("double")
+    return as_column(text).try_cast("double")
 
 
 def volume_or_zero(value: Column | str) -> Column:
@@ -22,7 +20,7 @@ def volume_or_zero(value: Column | str) -> Column:
 
 def double_text(value: Column | str) -> Column:
     """Double as text that reads back as the same double: plain digits from 1e-4 up to 1e16, exponent form outside."""
-    number = _col(value).cast("double")
+    number = as_column(value).cast("double")
     text = number.cast("string")
     digits = F.regexp_replace(text.try_cast("decimal(38,22)").cast("string"), "0+$", "")
     plain = F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
@@ -42,14 +40,14 @@ def format_symbol(symbol: Column | str, exchange: Column | str, contract: Column
 
     ``exchange`` and ``contract`` given as text name a column.
     """
-    symbol, exchange = _col(symbol), _col(exchange)
+    symbol, exchange = as_column(symbol), as_column(exchange)
     plain = F.concat(exchange, F.lit(":"), symbol)
     if contract is None:
         full = plain
     elif isinstance(contract, bool) or not isinstance(contract, (int, str, Column)):
         raise ValueError(f"contract must be an integer or an integer column, not {contract!r}")
     else:
-        number = F.lit(contract) if isinstance(contract, int) else _col(contract)
+        number = F.lit(contract) if isinstance(contract, int) else as_column(contract)
         number = number.cast("int")
         full = F.when(number.isNull(), plain).otherwise(F.concat(plain, number.cast("string"), F.lit("!")))
     return F.when(F.contains(symbol, F.lit(":")), symbol).otherwise(full)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.functions import bucket_start
+from candlewick.functions import bucket_start, format_symbol
 
 # Up to this rank Spark cuts each key to its first rows before the shuffle (default of
 # spark.sql.optimizer.windowGroupLimitThreshold).
@@ -97,12 +97,17 @@ def _first_rows(df: DataFrame, keys: Sequence[str], order: list[Column], n: int)
 
 
 def history(
-    ticks_or_bars: DataFrame,
+    bars: DataFrame,
     symbol: str,
+    exchange: str | None = None,
     interval: str = "1D",
     n_bars: int = 10,
+    contract: int | None = None,
     time_col: str = "datetime",
 ) -> DataFrame:
-    """The latest ``n_bars`` bars of one symbol at an interval, from finer bars."""
-    one = ticks_or_bars.filter(F.col("symbol") == symbol)
-    return latest_bars(resample(one, interval, time_col), n_bars)
+    """The latest ``n_bars`` bars of one symbol at an interval, from finer bars.
+
+    With an ``exchange`` the bars are looked up under the full name, ``EX:SYM`` or ``EX:SYM{contract}!``.
+    """
+    name = F.lit(symbol) if exchange is None else format_symbol(F.lit(symbol), F.lit(exchange), contract)
+    return latest_bars(resample(bars.filter(F.col("symbol") == name), interval, time_col), n_bars)

@@ -48,22 +48,22 @@ def decode_ticks(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _usable() -> Column:
+def usable_tick() -> Column:
     return F.col("close").isNotNull() & F.col("volume").isNotNull() & F.col("event_time").isNotNull()
 
 
 def valid_ticks(ticks: DataFrame) -> DataFrame:
-    return ticks.filter(_usable())
+    return ticks.filter(usable_tick())
 
 
 def rejected_ticks(ticks: DataFrame) -> DataFrame:
     """The ticks ``valid_ticks`` leaves out, with their raw text."""
-    return ticks.filter(~_usable())
+    return ticks.filter(~usable_tick())
 
 
 def count_rejected(ticks: DataFrame, name: str = "ticks") -> DataFrame:
     """Counts all and rejected ticks on the way, as observed metrics (in a stream: part of each progress report)."""
-    return ticks.observe(name, F.count(F.lit(1)).alias("all"), F.count_if(~_usable()).alias("rejected"))
+    return ticks.observe(name, F.count(F.lit(1)).alias("all"), F.count_if(~usable_tick()).alias("rejected"))
 
 
 def decode_candles(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions import double_text, iso_to_epoch_ms, now_epoch_ms
+from candlewick.operators.decode import usable_tick
 
 IDENTITY = ("Dimensions", "Time", "MeasureName")
 
@@ -38,10 +39,6 @@ def _wide(dimensions: Column, measure: str, measures: Column, millis: Column, ve
     ]
 
 
-def usable_tick() -> Column:
-    return F.col("event_time").isNotNull() & F.col("close").isNotNull() & F.col("volume").isNotNull()
-
-
 def usable_vwap() -> Column:
     return F.col("vwap").isNotNull() & iso_to_epoch_ms("window_end").isNotNull()
 

@@ -13,10 +13,10 @@ from candlewick import schemas
 from candlewick.functions import epoch_seconds_to_time, parse_time, to_double
 from candlewick.operators.decode import (
     candles_to_ticks, closed_candles, count_rejected, decode_candles, decode_json, decode_ticks, encode_json,
-    valid_ticks,
+    usable_tick, valid_ticks,
 )
 from candlewick.operators.records import (
-    IDENTITY, latest_version, tick_record, usable_tick, usable_vwap, vwap_record,
+    IDENTITY, latest_version, tick_record, usable_vwap, vwap_record,
 )
 from candlewick.operators.vwap import encode_vwap, vwap, vwap_rows
 

@@ -117,6 +117,14 @@ def test_latest_bars_cut_before_the_shuffle(spark):
 
 def test_history_of_one_symbol(spark):
     _, df = ticks(spark)
-    bars = op.history(op.ticks_to_bars(df, "1", tie="seq"), "a", "15", 3).orderBy("datetime").collect()
+    bars = op.history(op.ticks_to_bars(df, "1", tie="seq"), "a", interval="15", n_bars=3).orderBy("datetime").collect()
     assert [r["datetime"].astimezone(dt.timezone.utc).strftime("%H:%M") for r in bars] == ["01:15", "01:30", "01:45"]
     assert {r["symbol"] for r in bars} == {"a"}
+
+
+def test_history_under_the_full_name(spark):
+    _, df = ticks(spark, symbols=("EX:a", "EX:a2!", "a"))
+    bars = op.ticks_to_bars(df, "1", tie="seq")
+    got = [op.history(bars, "a", *exchange, contract=contract, interval="1H", n_bars=1).select("symbol").collect()[0][0]
+           for exchange, contract in (([], None), (["EX"], None), (["EX"], 2))]
+    assert got == ["a", "EX:a", "EX:a2!"]

@@ -215,7 +215,7 @@ def latest_bars_1516(spark, sf_dir):
 
 
 def history(spark, sf_dir):
-    bars = op.history(views.bars(spark, sf_dir, "5"), "click", "4H", 20)
+    bars = op.history(views.bars(spark, sf_dir, "5"), "click", interval="4H", n_bars=20)
     return bars.select("symbol", _text("datetime").alias("datetime"), *PRICES)
 
 
