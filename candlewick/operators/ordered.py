@@ -12,6 +12,8 @@ partition border at most once per border:
 The carried moving averages are affine in the incoming state, so step 2 runs the ordinary calculation on affine forms
 (coefficients for 1 and for each incoming value) instead of numbers.
 
+A call on the result of another call for the same series starts from the rows sorted there.
+
 Both passes are iterator Arrow UDFs: only the keys and the value travel to Python, the other columns stay in the JVM.
 They are marked nondeterministic because a row's result depends on the rows before it: no filter may move below them.
 """
@@ -20,12 +22,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -342,6 +345,45 @@ def _partition_limit(indicators: Sequence[Indicator]) -> int:
     return max(1, STATE_BYTES // (256 + 9 * history + 8 * averages * (averages + 1)))
 
 
+@dataclass(frozen=True)
+class _Sorted:
+    """Sorted rows behind a result, so that a chain of calls sorts only once."""
+
+    rows: DataFrame
+    columns: list[str]       # of the frame that was sorted
+    most_partitions: int
+    series: tuple            # the series' definition
+    indicators: tuple[Indicator, ...]
+
+
+_SORTED: WeakKeyDictionary[DataFrame, _Sorted] = WeakKeyDictionary()
+
+
+def _names(names: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{name}`") for name in names]
+
+
+def _sort(df: DataFrame, most_partitions: int, keys: Sequence[str], time_col: str, ties: Sequence[str]) -> DataFrame:
+    """The rows with the number of their partition, frozen in order; at most ``most_partitions`` of them."""
+    marked = df
+    if not ties:
+        # Equal times: order by content, so that the result does not depend on arrival order.
+        hashed = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+        marked = df.withColumn(_TIE, F.xxhash64(*_names(hashed)))
+        ties = [_TIE]
+    # Rows equal in all of these may be very many: the task they come from lets the ranges cut between them. It is the
+    # same when a lost task is repeated.
+    marked = marked.withColumn(_ORIGIN, F.spark_partition_id())
+    order = _names([*keys, time_col, *ties, _ORIGIN])
+    if int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) > most_partitions:
+        ranged = marked.repartitionByRange(most_partitions, *order)
+    else:
+        ranged = marked.repartitionByRange(*order)
+    shared_dir(df.sparkSession)
+    part = F.spark_partition_id().alias(_PART)
+    return ranged.sortWithinPartitions(*order).select(*_names(df.columns), part).checkpoint()
+
+
 def ordered_scan(
     df: DataFrame,
     indicators: Sequence[Indicator],
@@ -353,43 +395,35 @@ def ordered_scan(
 ) -> DataFrame:
     """Append the indicators' columns (all double) to ``df``; row order of the result is not defined."""
     spark = df.sparkSession
-    shared_dir(spark)
     ties = [tie] if isinstance(tie, str) else list(tie or [])
-    kept = df.columns
-    marked = df
-    if not ties:
-        # Equal times: order by content, so that the result does not depend on arrival order.
-        hashed = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
-        marked = df.withColumn(_TIE, F.xxhash64(*[F.col(f"`{name}`") for name in hashed]))
-        ties = [_TIE]
-    # Rows equal in all of these may be very many: the task they come from lets the ranges cut between them. It is the
-    # same when a lost task is repeated.
-    marked = marked.withColumn(_ORIGIN, F.spark_partition_id())
-    order = [F.col(f"`{name}`") for name in (*keys, time_col, *ties, _ORIGIN)]
-    limit = _partition_limit(indicators)
-    if int(spark.conf.get("spark.sql.shuffle.partitions")) > limit:
-        ranged = marked.repartitionByRange(limit, *order)
+    series = (tuple(keys), time_col, value_col, tuple(ties))
+    before = _SORTED.get(df)
+    if before and before.series == series and before.most_partitions <= _partition_limit(
+            [*before.indicators, *indicators]):
+        indicators = [*before.indicators, *indicators]
+        rows, kept, most_partitions = before.rows, before.columns, before.most_partitions
     else:
-        ranged = marked.repartitionByRange(*order)
-    sorted_rows = (
-        ranged.sortWithinPartitions(*order)
-        .select(*[F.col(f"`{name}`") for name in kept], F.spark_partition_id().alias(_PART))
-        .checkpoint()
-    )
-
-    inputs = [F.col(f"`{value_col}`").cast("double"), F.col(_PART), *[F.col(f"`{name}`") for name in keys]]
-    summarize = F.arrow_udf(_summaries(indicators), SUMMARY)
+        kept = df.columns
+        wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        most_partitions = min(wanted, _partition_limit(indicators))
+        rows = _sort(df, most_partitions, keys, time_col, ties)
+
+    key_columns = _names(keys)
+    inputs = [F.col(f"`{value_col}`").cast("double"), F.col(_PART), *key_columns]
+    summarize = F.arrow_udf(_summaries(indicators), SUMMARY).asNondeterministic()
     summaries = (
-        sorted_rows.select(*inputs[2:], _PART, summarize.asNondeterministic()(*inputs).alias("summary"))
+        rows.select(*[column.alias(f"key{i}") for i, column in enumerate(key_columns)], F.col(_PART).alias("part"),
+                    summarize(*inputs).alias("summary"))
         .filter("summary IS NOT NULL")
-        .select(*inputs[2:], _PART, "summary.*")
-        .withColumnRenamed(_PART, "part")
+        .select(*[f"key{i}" for i in range(len(keys))], "part", "summary.*")
         .collect()  # two rows per partition, bounded by STATE_BYTES
     )
     starts = spark.sparkContext.broadcast(_chain(summaries, indicators, len(keys)))
 
     columns = [name for ind in indicators for name in ind.columns]
     schema = T.StructType([T.StructField(name, T.DoubleType()) for name in columns])
-    compute = F.arrow_udf(_outputs(indicators, starts), schema)
-    return sorted_rows.withColumn(_VALUE, compute.asNondeterministic()(*inputs)).select(
-        *[F.col(f"`{name}`") for name in kept], *[F.col(_VALUE)[name].alias(name) for name in columns])
+    compute = F.arrow_udf(_outputs(indicators, starts), schema).asNondeterministic()
+    result = rows.withColumn(_VALUE, compute(*inputs)).select(
+        *_names(kept), *[F.col(_VALUE)[name].alias(name) for name in columns])
+    _SORTED[result] = _Sorted(rows, kept, most_partitions, series, tuple(indicators))
+    return result

@@ -257,3 +257,20 @@ def test_a_group_of_copies_is_split(spark):
     assert sum(sizes) == 60_000 and max(sizes) <= 30_000
     off = "abs(sma200 - 2.5) > 1e-12 OR abs(ema50 - 2.5) > 1e-12 OR rsi14 != 100 OR abs(macd_line) > 1e-12"
     assert got.filter(off).count() == 0
+
+
+def test_a_chain_sorts_once(spark, monkeypatch):
+    sorts, sort = [], ordered._sort
+    monkeypatch.setattr(ordered, "_sort", lambda *args: sorts.append(args) or sort(*args))
+    df = make(spark, {"tail": noisy(300, 5), "b": noisy(200, 6)}).withColumnRenamed("symbol", "part")
+    chained = df.transform(I.sma, keys=["part"]).transform(I.ema, keys=["part"]).transform(I.macd, keys=["part"])
+    assert len(sorts) == 1
+    got = chained.withColumnRenamed("part", "symbol")
+    assert got.columns == ["symbol", "datetime", "seq", "close", "sma200", "ema50", "macd_line", "signal_line",
+                           "macd_histogram"]
+    for name in ("sma200", "ema50", "signal_line"):
+        same(column(got, name, "b"), expected(noisy(200, 6))[name])
+    I.rsi(chained, keys=["part"], value_col="sma200")
+    assert len(sorts) == 2
+    I.rsi(chained.filter("seq > 5"), keys=["part"])
+    assert len(sorts) == 3

@@ -231,6 +231,7 @@ ORACLES: dict[str, str] = {
                CASE WHEN symbol <> 'error' THEN close END AS price, CAST(close AS VARCHAR) AS close_text,
                true AS now_is_set FROM t"""),
 }
+ORACLES["indicator_chain"] = ORACLES["gold"]
 ORACLES.update({
     f"ohlcv_{interval.lower() if interval != '1M' else '1mo'}": _with(f"SELECT {BAR_COLUMNS} FROM b", _bars(interval))
     for interval in (*WINDOW_INTERVALS, *CALENDAR_INTERVALS)

@@ -184,6 +184,14 @@ def gold(spark, sf_dir):
         "event_id", "symbol", *_single("sma200", "ema50", "rsi14"), *_round("macd_line", "signal_line", "macd_histogram"))
 
 
+def indicator_chain(spark, sf_dir):
+    """The gold columns by one call after the other."""
+    got = (_series(spark, sf_dir).transform(op.sma, **SERIES).transform(op.ema, **SERIES).transform(op.rsi, **SERIES)
+           .transform(op.macd, **SERIES))
+    return got.select("event_id", "symbol", *_single("sma200", "ema50", "rsi14"),
+                      *_round("macd_line", "signal_line", "macd_histogram"))
+
+
 def one_series(spark, sf_dir):
     """All rows as a single series, without a key."""
     got = op.with_indicators(_series(spark, sf_dir), op.Sma(200), op.Rsi(14), keys=(), **SERIES)
@@ -358,7 +366,7 @@ QUERIES: dict[str, Query] = {
         vwap_5m, vwap_encode, empty_windows, vwap_5m_stream_update, vwap_5m_stream_append,
         tick_decode, tick_filter, tick_rejects, kafka_preview, candle_to_tick, candle_topic_to_ticks, candle_preview,
         chart_parse, chart_messages, symbol_format, time_range,
-        sma_200, ema_50, price_change, gain_loss, rsi_14, macd, gold, one_series,
+        sma_200, ema_50, price_change, gain_loss, rsi_14, macd, gold, indicator_chain, one_series,
         resample_1h_to_1d, latest_bars_10, latest_bars_1516, history,
         medallion_silver, medallion_gold, month_partitions, catalog_table, bronze_from_charts,
         wide_tick_records, wide_vwap_records, narrow_records, latest_version, topics_to_records, rejected_messages,
