@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from candlewick.llm import shards, urls
+from candlewick.llm import quality, shards, toxicity, urls
 
 QUERIES = {
     "op3_url_filters": urls.op3_url_filters,
+    "op5_toxicity": toxicity.op5_toxicity,
+    "op6_quality_rules": quality.op6_quality_rules,
     "op9_hilbert_shards": shards.op9_hilbert_shards,
 }
 ORACLES = {
