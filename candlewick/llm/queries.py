@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from candlewick.llm import quality, shards, toxicity, urls
+from candlewick.llm import language, neardup, quality, shards, toxicity, urls
 
 QUERIES = {
+    "op1_language_id": language.op1_language_id,
     "op3_url_filters": urls.op3_url_filters,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_quality_rules": quality.op6_quality_rules,
     "op9_hilbert_shards": shards.op9_hilbert_shards,
+    "op10_simhash_neardup": neardup.op10_simhash_neardup,
 }
 ORACLES = {
     "op3_url_filters": urls.ORACLE,
