@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from candlewick.llm import language, neardup, quality, shards, toxicity, urls
+from candlewick.llm import extract, language, neardup, quality, shards, suffixtree, toxicity, urls
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
     "op3_url_filters": urls.op3_url_filters,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_quality_rules": quality.op6_quality_rules,
+    "op7_lm_scoring": suffixtree.op7_lm_scoring,
+    "op8_html_extraction": extract.op8_html_extraction,
     "op9_hilbert_shards": shards.op9_hilbert_shards,
     "op10_simhash_neardup": neardup.op10_simhash_neardup,
 }
