@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from candlewick.llm import extract, language, neardup, quality, shards, suffixtree, toxicity, urls
+from candlewick.llm import decontaminate, extract, language, neardup, pieces, quality, shards, suffixtree, toxicity, urls
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
+    "op2_sentencepiece": pieces.op2_sentencepiece,
     "op3_url_filters": urls.op3_url_filters,
+    "op4_decontamination": decontaminate.op4_decontamination,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_lm_scoring": suffixtree.op7_lm_scoring,
