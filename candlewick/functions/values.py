@@ -13,9 +13,16 @@ def to_double(text: Column | str) -> Column:
     return as_column(text).try_cast("double")
 
 
+def is_finite(number: Column | str) -> Column:
+    """True for a number; false for null, NaN and infinity."""
+    column = as_column(number)
+    return F.coalesce(~F.isnan(column) & (F.abs(column) != float("inf")), F.lit(False))
+
+
 def volume_or_zero(value: Column | str) -> Column:
-    """A missing volume counts as 0.0."""
-    return F.coalesce(to_double(value), F.lit(0.0))
+    """A volume that is missing, or no finite number, counts as 0.0."""
+    number = to_double(value)
+    return F.when(is_finite(number), number).otherwise(F.lit(0.0))
 
 
 def double_text(value: Column | str) -> Column:

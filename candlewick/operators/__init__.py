@@ -1,7 +1,8 @@
 from candlewick.operators.bars import history, latest_bars, resample, ticks_to_bars
 from candlewick.operators.decode import (
     candle_preview, candles_to_ticks, chart_bars, chart_messages, closed_candles, count_rejected, decode_candles,
-    decode_json, decode_ticks, encode_json, rejected_ticks, time_range, valid_ticks, with_symbol,
+    decode_json, decode_ticks, encode_json, rejected_candles, rejected_chart_bars, rejected_ticks, time_range, valid_candles,
+    valid_ticks, with_symbol,
 )
 from candlewick.operators.indicators import (
     GOLD, Ema, GainLoss, Macd, PriceChange, Rsi, Sma, ema, gain_loss, macd, price_change, rsi, sma, with_indicators,
@@ -13,6 +14,6 @@ __all__ = [
     "GOLD", "Ema", "GainLoss", "Macd", "PriceChange", "Rsi", "Sma", "candle_preview", "candles_to_ticks", "chart_bars",
     "chart_messages", "closed_candles", "count_rejected", "decode_candles", "decode_json", "decode_ticks", "ema", "empty_windows",
     "encode_json", "encode_vwap", "gain_loss", "history", "latest_bars", "latest_version", "macd", "narrow_records",
-    "price_change", "rejected_ticks", "resample", "rsi", "sma", "tick_records", "ticks_to_bars", "time_range",
-    "valid_ticks", "vwap", "vwap_records", "vwap_rows", "with_indicators", "with_symbol",
+    "price_change", "rejected_candles", "rejected_chart_bars", "rejected_ticks", "resample", "rsi", "sma", "tick_records", "ticks_to_bars", "time_range",
+    "valid_candles", "valid_ticks", "vwap", "vwap_records", "vwap_rows", "with_indicators", "with_symbol",
 ]

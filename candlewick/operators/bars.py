@@ -9,11 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.functions import bucket_start, format_symbol
+from candlewick.functions import bucket_start, format_symbol, instant
 
-# Up to this rank Spark cuts each key to its first rows before the shuffle (default of
-# spark.sql.optimizer.windowGroupLimitThreshold).
-RANK_PUSHDOWN = 1000
+# Keys are dealt into so many slots for the cut before the shuffle; a slot's cut is that of its key with the oldest rows.
+CUT_SLOTS = 65_536
 MERGE_WAYS = 64
 # More than the distance of any two bigint values.
 TIE_SPAN = Decimal(2 * 10**19)
@@ -26,7 +25,10 @@ def resample(
     keys: Sequence[str] = ("symbol",),
     tie: str | None = None,
 ) -> DataFrame:
-    """Bars to coarser bars: first open, highest high, lowest low, last close, summed volume per key and bucket."""
+    """Bars to coarser bars: first open, highest high, lowest low, last close, summed volume per key and bucket.
+
+    Rows without a time belong to no bucket and are left out.
+    """
     return _bars(bars, interval, time_col, keys, _order(bars, time_col, tie), "open", "high", "low", "close")
 
 
@@ -57,7 +59,7 @@ def _order(df: DataFrame, time_col: str, tie: str | None) -> Column:
 
 def _bars(df: DataFrame, interval: str, time_col: str, keys: Sequence[str], order: Column,
           first: str, top: str, bottom: str, last: str) -> DataFrame:
-    marked = df.withColumn("__order", order)
+    marked = df.filter(F.col(time_col).isNotNull()).withColumn("__order", order)
     return marked.groupBy(*keys, bucket_start(time_col, interval).alias("__bucket")).agg(
         F.min_by(first, "__order").alias("open"),
         F.max(top).alias("high"),
@@ -74,21 +76,36 @@ def latest_bars(
     keys: Sequence[str] = ("symbol",),
     tie: str | None = None,
 ) -> DataFrame:
-    """The latest ``n_bars`` rows of every key."""
+    """The latest ``n_bars`` rows of every key; rows without a time count as the oldest.
+
+    Rows are counted by key and hour first. From these counts follows, for each slot of keys, an hour before which no row
+    can be among the latest; older rows are dropped where they are read (the cuts have a fixed number of rows and are
+    broadcast). What is left is ranked in parts of a key, one per group of input tasks, which are then merged, so that a
+    key with most of the rows does not meet in one task.
+    """
     if n_bars < 1:
         raise ValueError(f"n_bars must be at least 1, not {n_bars}")
     order = [F.col(time_col).desc(), *([F.col(tie).desc()] if tie else [])]
-    if n_bars <= RANK_PUSHDOWN:
-        return _first_rows(bars, keys, order, n_bars)
-    # Beyond the pushdown a key would move to one task whole: cut parts of it first, one per group of input tasks, then
-    # merge the parts.
     salts = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bars = bars.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    rows = _recent(bars, n_bars, time_col, keys).withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     while salts > 1:
-        bars = _first_rows(bars, [*keys, "__salt"], order, n_bars)
-        bars = bars.withColumn("__salt", F.floor(F.col("__salt") / MERGE_WAYS))
+        rows = _first_rows(rows, [*keys, "__salt"], order, n_bars)
+        rows = rows.withColumn("__salt", F.floor(F.col("__salt") / MERGE_WAYS))
         salts = -(-salts // MERGE_WAYS)
-    return _first_rows(bars.drop("__salt"), keys, order, n_bars)
+    return _first_rows(rows.drop("__salt"), keys, order, n_bars)
+
+
+def _recent(bars: DataFrame, n_bars: int, time_col: str, keys: Sequence[str]) -> DataFrame:
+    """The rows from the hour on in which the ``n_bars``-th latest row of the key lies, and possibly some older ones."""
+    slot = F.pmod(F.xxhash64(F.lit(0), *keys), F.lit(CUT_SLOTS))
+    hours = bars.groupBy(*keys, F.date_trunc("hour", time_col).alias("__hour")).agg(F.count(F.lit(1)).alias("__n"))
+    newest = Window.partitionBy(*keys).orderBy(F.col("__hour").desc_nulls_last())
+    needed = hours.withColumn("__newer", F.sum("__n").over(newest) - F.col("__n")).filter(F.col("__newer") < n_bars)
+    # An hour of null among the needed ones: rows without a time count, nothing may be cut.
+    cuts = needed.groupBy(slot.alias("__slot")).agg(
+        F.when(F.count_if(F.col("__hour").isNull()) == 0, F.min("__hour")).alias("__cut"))
+    marked = bars.withColumn("__slot", slot).join(F.broadcast(cuts), "__slot")
+    return marked.filter(F.col("__cut").isNull() | (F.col(time_col) >= F.col("__cut"))).select(*bars.columns)
 
 
 def _first_rows(df: DataFrame, keys: Sequence[str], order: list[Column], n: int) -> DataFrame:
@@ -104,10 +121,16 @@ def history(
     n_bars: int = 10,
     contract: int | None = None,
     time_col: str = "datetime",
+    since=None,
 ) -> DataFrame:
     """The latest ``n_bars`` bars of one symbol at an interval, from finer bars.
 
+    ``since``: a bound before which the bars are not looked at (``functions.instant``), so that the scan can skip old files.
+
     With an ``exchange`` the bars are looked up under the full name, ``EX:SYM`` or ``EX:SYM{contract}!``.
     """
     name = F.lit(symbol) if exchange is None else format_symbol(F.lit(symbol), F.lit(exchange), contract)
-    return latest_bars(resample(bars.filter(F.col("symbol") == name), interval, time_col), n_bars)
+    own = bars.filter(F.col("symbol") == name)
+    if since is not None:
+        own = own.filter(F.col(time_col) >= instant(since))
+    return latest_bars(resample(own, interval, time_col), n_bars)

@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick import schemas
-from candlewick.functions import epoch_ms_to_iso, epoch_seconds_to_time, parse_time, to_double, volume_or_zero
+from candlewick.functions import (
+    epoch_ms_to_iso, epoch_ms_to_time, epoch_seconds_to_time, instant, is_finite, parse_time, to_double, volume_or_zero,
+)
+
+PRICES = ("open", "high", "low", "close")
+# Fixed value: what precedes each payload on the wire.
+FRAME_HEADER = r"~m~\d+~m~"
 
 
 def _parsed_once(df: DataFrame, name: str | None = None) -> DataFrame:
@@ -49,7 +55,8 @@ def decode_ticks(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def usable_tick() -> Column:
-    return F.col("close").isNotNull() & F.col("volume").isNotNull() & F.col("event_time").isNotNull()
+    """A finite price and volume, and a time in the usable range."""
+    return is_finite("close") & is_finite("volume") & F.col("event_time").isNotNull()
 
 
 def valid_ticks(ticks: DataFrame) -> DataFrame:
@@ -74,17 +81,31 @@ def closed_candles(candles: DataFrame) -> DataFrame:
     return candles.filter(F.col("k.x"))
 
 
+def usable_candle() -> Column:
+    """A finite price and volume, and a close time in the usable range."""
+    return is_finite(to_double("k.c")) & is_finite(to_double("k.v")) & epoch_ms_to_time("k.T").isNotNull()
+
+
+def valid_candles(candles: DataFrame) -> DataFrame:
+    return candles.filter(usable_candle())
+
+
+def rejected_candles(candles: DataFrame) -> DataFrame:
+    """The updates ``valid_candles`` leaves out, with their raw text; messages that are no candle at all among them."""
+    return candles.filter(~usable_candle())
+
+
 def candle_preview(candles: DataFrame) -> DataFrame:
     """Interval, close and volume of each candle update."""
     return candles.select(F.col("k.i").alias("interval"), F.col("k.c").alias("close"), F.col("k.v").alias("volume"))
 
 
-def candles_to_ticks(candles: DataFrame, symbol: Column | str) -> DataFrame:
+def candles_to_ticks(candles: DataFrame, symbol: Column | str | None = None) -> DataFrame:
     """One tick per candle at its close time in whole seconds; price and volume stay text.
 
-    ``symbol``: a constant, or a column for streams of several symbols.
+    ``symbol``: a constant or a column; by default the symbol that the message names (``k.s``).
     """
-    name = F.lit(symbol) if isinstance(symbol, str) else symbol
+    name = F.col("k.s") if symbol is None else F.lit(symbol) if isinstance(symbol, str) else symbol
     return candles.select(
         name.alias("symbol"),
         epoch_ms_to_iso("k.T").alias("@timestamp"),
@@ -93,33 +114,62 @@ def candles_to_ticks(candles: DataFrame, symbol: Column | str) -> DataFrame:
     )
 
 
+def _frames(captures: DataFrame, text_col: str) -> tuple[list[str], DataFrame]:
+    """One row per frame of the captured text, its place in ``__at`` and its payload in ``__frame``.
+
+    A frame is a header with its length, then the payload; text without a header is one payload.
+    """
+    others = [name for name in captures.columns if name != text_col]
+    payloads = F.split(F.col(text_col), FRAME_HEADER)
+    return others, captures.select(*others, F.posexplode(payloads).alias("__at", "__frame")).filter("trim(__frame) <> ''")
+
+
 def chart_messages(captures: DataFrame, text_col: str = "text") -> DataFrame:
-    """``method`` and ``params`` of raw chart-service messages; text that holds no message gives no row."""
-    text = F.col(text_col)
-    messages = captures.select(
-        *[name for name in captures.columns if name != text_col],
-        F.regexp_extract(text, r'"m":"(.+?)",', 1).alias("method"),
-        F.regexp_extract(text, r'"p":(.+?"\}"\])\}', 1).alias("params"),
+    """``method`` and ``params`` (JSON) of raw chart-service messages, one row per message; other text gives no row."""
+    others, frames = _frames(captures, text_col)
+    fields = F.json_tuple("__frame", "m", "p").alias("method", "params")
+    return _parsed_once(frames.select(*others, fields)).filter(F.col("method").isNotNull() & F.col("params").isNotNull())
+
+
+def _chart_rows(captures: DataFrame, text_col: str) -> DataFrame:
+    """The bars of each capture's first series block, usable or not: the captures' other columns, the bar's fields, ``__bar``."""
+    others, frames = _frames(captures, text_col)
+    message = F.from_json("__frame", schemas.CHART_MESSAGE)
+    found = _parsed_once(frames.select(*others, "__at", message.alias("__message")))
+    # The parameters are the session and an object that holds series by name.
+    series = F.from_json(F.get("__message.p", F.lit(1)), schemas.CHART_SERIES)
+    block = F.get(F.filter(F.map_values(series), lambda s: s["s"].isNotNull()), F.lit(0))["s"]
+    blocks = found.select(*others, "__at", block.alias("__bars")).filter("__bars IS NOT NULL")
+    bars = blocks.select(*others, "__at", F.explode("__bars").alias("__bar"))
+    return bars.select(
+        *others,
+        epoch_seconds_to_time(to_double(F.get("__bar.v", F.lit(0)))).alias("datetime"),
+        *[to_double(F.get("__bar.v", F.lit(i))).alias(name) for i, name in enumerate(PRICES, start=1)],
+        volume_or_zero(F.get("__bar.v", F.lit(5))).alias("volume"),
+        F.to_json("__bar").alias("__bar"),
     )
-    return _parsed_once(messages).filter((F.col("method") != "") & (F.col("params") != ""))
+
+
+def _usable_bar() -> Column:
+    usable = F.col("datetime").isNotNull()
+    for name in PRICES:
+        usable &= is_finite(name)
+    return usable
 
 
 def chart_bars(captures: DataFrame, text_col: str = "text") -> DataFrame:
-    """Bars of the first series block of each capture, with the captures' other columns in front.
+    """Bars of the first series of each message of each capture, with the captures' other columns in front.
 
-    A missing volume is 0.0. A bar with an unusable time or price is left out, and no bar affects another.
+    A missing volume is 0.0. A bar with an unusable time or price is left out (``rejected_chart_bars``), and no bar affects
+    another.
     """
-    block = F.regexp_extract(F.col(text_col), r'"s":(\[.+?\}\])', 1)
+    return _chart_rows(captures, text_col).filter(_usable_bar()).drop("__bar")
+
+
+def rejected_chart_bars(captures: DataFrame, text_col: str = "text") -> DataFrame:
+    """The bars ``chart_bars`` leaves out, as JSON in ``bar``."""
     others = [name for name in captures.columns if name != text_col]
-    parsed = _parsed_once(captures.select(*others, F.from_json(block, schemas.CHART_BARS).alias("bars")))
-    bars = parsed.select(*others, F.explode("bars").alias("bar"))
-    prices = ["open", "high", "low", "close"]
-    return bars.select(
-        *others,
-        epoch_seconds_to_time(to_double(F.get("bar.v", F.lit(0)))).alias("datetime"),
-        *[to_double(F.get("bar.v", F.lit(i))).alias(name) for i, name in enumerate(prices, start=1)],
-        volume_or_zero(F.get("bar.v", F.lit(5))).alias("volume"),
-    ).dropna(subset=["datetime", *prices])
+    return _chart_rows(captures, text_col).filter(~_usable_bar()).select(*others, F.col("__bar").alias("bar"))
 
 
 def with_symbol(df: DataFrame, symbol: str) -> DataFrame:
@@ -128,5 +178,5 @@ def with_symbol(df: DataFrame, symbol: str) -> DataFrame:
 
 
 def time_range(df: DataFrame, start, end, time_col: str = "datetime") -> DataFrame:
-    """Rows with start <= time < end."""
-    return df.filter((F.col(time_col) >= F.lit(start)) & (F.col(time_col) < F.lit(end)))
+    """Rows with start <= time < end. Bounds without a zone are read in the session zone, wherever the driver runs."""
+    return df.filter((F.col(time_col) >= instant(start)) & (F.col(time_col) < instant(end)))

@@ -43,14 +43,20 @@ def _gain_loss(rows: Rows) -> tuple[np.ndarray, np.ndarray]:
     return np.where(have & ~(diff <= 0), diff, 0.0), np.where(have & (diff < 0), -diff, 0.0)
 
 
+def _early(rows: Rows, min_periods: int) -> np.ndarray:
+    """New rows before which, themselves included, the series has fewer than ``min_periods`` rows."""
+    return rows.position[rows.skip:] + 1 < min_periods
+
+
 @dataclass(frozen=True)
 class Sma(Indicator):
     """Mean of the last ``n`` rows including the current one; the head has shorter frames, nulls are left out."""
 
     n: int = 200
+    min_periods: int = 1
 
     def __post_init__(self):
-        _check(n=self.n)
+        _check(n=self.n, min_periods=self.min_periods)
 
     @property
     def columns(self):
@@ -58,12 +64,12 @@ class Sma(Indicator):
 
     @property
     def history(self):
-        return self.n - 1
+        return max(self.n, self.min_periods) - 1
 
     def run(self, rows: Rows, carry: np.ndarray):
         total = rolling_sum(rows.x, rows.position, self.n)[rows.skip:]
         count = rolling_sum(rows.known, rows.position, self.n)[rows.skip:]
-        return [(_divide(total, count), count == 0)], []
+        return [(_divide(total, count), (count == 0) | _early(rows, self.min_periods))], []
 
 
 @dataclass(frozen=True)
@@ -71,12 +77,17 @@ class Ema(Indicator):
     """Exponential average with alpha = 2 / (n + 1), seeded by the first value; null rows repeat the last average."""
 
     n: int = 50
+    min_periods: int = 1
 
     def __post_init__(self):
-        _check(n=self.n)
+        _check(n=self.n, min_periods=self.min_periods)
 
     averages = 1
 
+    @property
+    def history(self):
+        return self.min_periods - 1
+
     @property
     def columns(self):
         return [f"ema{self.n}"]
@@ -87,7 +98,7 @@ class Ema(Indicator):
     def run(self, rows: Rows, carry: np.ndarray):
         known = rows.known[rows.skip:]
         average = ema_scan(rows.new_x, known, rows.seed, 2 / (self.n + 1), carry[0])
-        return [(average[:, 0], ~rows.seeded)], [average[-1]]
+        return [(average[:, 0], ~rows.seeded | _early(rows, self.min_periods))], [average[-1]]
 
 
 @dataclass(frozen=True)
@@ -95,9 +106,10 @@ class Rsi(Indicator):
     """Relative strength index on plain means of the last ``n`` rises and falls; 100 while there is no fall."""
 
     n: int = 14
+    min_periods: int = 1
 
     def __post_init__(self):
-        _check(n=self.n)
+        _check(n=self.n, min_periods=self.min_periods)
 
     @property
     def columns(self):
@@ -105,7 +117,7 @@ class Rsi(Indicator):
 
     @property
     def history(self):
-        return self.n
+        return max(self.n, self.min_periods - 1)
 
     def run(self, rows: Rows, carry: np.ndarray):
         gain, loss = _gain_loss(rows)
@@ -113,7 +125,7 @@ class Rsi(Indicator):
         fall = rolling_sum(loss, rows.position, self.n)[rows.skip:]
         strength = _divide(rise, fall)
         index = np.where(fall == 0, 100.0, 100 - 100 / (1 + strength))
-        return [(index, np.zeros(len(index), dtype=bool))], []
+        return [(index, _early(rows, self.min_periods))], []
 
 
 @dataclass(frozen=True)
@@ -182,30 +194,36 @@ def with_indicators(
     keys: Sequence[str] = ("symbol",),
     tie: str | Sequence[str] | None = None,
 ) -> DataFrame:
-    """Append all given indicators in one pass. An indicator with a column that exists already is left out."""
-    wanted, present = [], set(df.columns)
+    """Append all given indicators in one pass. An indicator with a column that exists already (in any case) is left out.
+
+    Runs jobs when called (``ordered_scan``); streaming frames raise ``ValueError``.
+    """
+    wanted, present = [], {name.lower() for name in df.columns}
     for indicator in indicators:
-        taken = [name for name in indicator.columns if name in present]
+        taken = [name for name in indicator.columns if name.lower() in present]
         if taken:
-            log.info("skipping %s: column %s exists already", type(indicator).__name__, ", ".join(taken))
+            level = logging.INFO if len(taken) == len(indicator.columns) else logging.WARNING
+            log.log(level, "skipping %s with columns %s: %s there already", type(indicator).__name__, ", ".join(indicator.columns),
+                    ", ".join(taken))
             continue
-        present.update(indicator.columns)
+        present.update(name.lower() for name in indicator.columns)
         wanted.append(indicator)
     if not wanted:
         return df
     return ordered_scan(df, wanted, time_col=time_col, value_col=value_col, keys=tuple(keys), tie=tie)
 
 
-def sma(df: DataFrame, n: int = 200, **series) -> DataFrame:
-    return with_indicators(df, Sma(n), **series)
+def sma(df: DataFrame, n: int = 200, min_periods: int = 1, **series) -> DataFrame:
+    """``min_periods``, here and below: rows of the series from which on there is a value."""
+    return with_indicators(df, Sma(n, min_periods), **series)
 
 
-def ema(df: DataFrame, n: int = 50, **series) -> DataFrame:
-    return with_indicators(df, Ema(n), **series)
+def ema(df: DataFrame, n: int = 50, min_periods: int = 1, **series) -> DataFrame:
+    return with_indicators(df, Ema(n, min_periods), **series)
 
 
-def rsi(df: DataFrame, n: int = 14, **series) -> DataFrame:
-    return with_indicators(df, Rsi(n), **series)
+def rsi(df: DataFrame, n: int = 14, min_periods: int = 1, **series) -> DataFrame:
+    return with_indicators(df, Rsi(n, min_periods), **series)
 
 
 def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, **series) -> DataFrame:

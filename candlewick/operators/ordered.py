@@ -36,6 +36,8 @@ from candlewick.session import shared_dir
 
 # Upper bound for the carried states of all partitions together, which are chained on the driver and broadcast.
 STATE_BYTES = 128 * 1024 * 1024
+# Column metadata that marks what a scan appended.
+APPENDED = {"candlewick.appended": True}
 BATCH_ROWS = 16_384
 
 _PART = "__scan_part"
@@ -342,7 +344,20 @@ def _outputs(indicators: Sequence[Indicator], starts: Broadcast):
 def _partition_limit(indicators: Sequence[Indicator]) -> int:
     history = max(ind.history for ind in indicators)
     averages = sum(ind.averages for ind in indicators)
-    return max(1, STATE_BYTES // (256 + 9 * history + 8 * averages * (averages + 1)))
+    # Collected values are Python floats in lists, with copies in the JVM and in the broadcast.
+    return max(1, STATE_BYTES // (1024 + 48 * history + 96 * averages * (averages + 1)))
+
+
+def _joined(old: dict[int, tuple], new: dict[int, tuple]) -> dict[int, tuple]:
+    """The states of two groups of indicators over the same partitions as those of one: the longer history, all averages."""
+    out = {}
+    for part, (x, known, averages) in new.items():
+        old_x, old_known, old_averages = old[part]
+        if len(old_x) >= len(x):
+            x, known = old_x, old_known
+        both = None if averages is None or old_averages is None else np.concatenate([old_averages, averages])
+        out[part] = (x, known, both)
+    return out
 
 
 @dataclass(frozen=True)
@@ -354,6 +369,7 @@ class _Sorted:
     most_partitions: int
     series: tuple            # the series' definition
     indicators: tuple[Indicator, ...]
+    starts: dict[int, tuple]  # the state each partition starts from
 
 
 _SORTED: WeakKeyDictionary[DataFrame, _Sorted] = WeakKeyDictionary()
@@ -367,8 +383,10 @@ def _sort(df: DataFrame, most_partitions: int, keys: Sequence[str], time_col: st
     """The rows with the number of their partition, frozen in order; at most ``most_partitions`` of them."""
     marked = df
     if not ties:
-        # Equal times: order by content, so that the result does not depend on arrival order.
-        hashed = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+        # Equal times: order by content, so that the result does not depend on arrival order. What earlier scans appended
+        # does not count, or a second call would order such rows anew.
+        hashed = [f.name for f in df.schema.fields
+                  if isinstance(f.dataType, T.AtomicType) and not f.metadata.get(next(iter(APPENDED)))]
         marked = df.withColumn(_TIE, F.xxhash64(*_names(hashed)))
         ties = [_TIE]
     # Rows equal in all of these may be very many: the task they come from lets the ranges cut between them. It is the
@@ -393,8 +411,14 @@ def ordered_scan(
     keys: Sequence[str],
     tie: str | Sequence[str] | None,
 ) -> DataFrame:
-    """Append the indicators' columns (all double) to ``df``; row order of the result is not defined."""
+    """Append the indicators' columns (all double) to ``df``; row order of the result is not defined.
+
+    Not lazy: the sort (whose range sampling evaluates the input once more) and pass one run here, pass two with the result.
+    """
     spark = df.sparkSession
+    if df.isStreaming:
+        raise ValueError("indicators need all earlier rows and cannot run on a streaming frame; use foreachBatch on stored bars")
+    added = list(indicators)
     ties = [tie] if isinstance(tie, str) else list(tie or [])
     series = (tuple(keys), time_col, value_col, tuple(ties))
     before = _SORTED.get(df)
@@ -410,7 +434,7 @@ def ordered_scan(
 
     key_columns = _names(keys)
     inputs = [F.col(f"`{value_col}`").cast("double"), F.col(_PART), *key_columns]
-    summarize = F.arrow_udf(_summaries(indicators), SUMMARY).asNondeterministic()
+    summarize = F.arrow_udf(_summaries(added), SUMMARY).asNondeterministic()
     summaries = (
         rows.select(*[column.alias(f"key{i}") for i, column in enumerate(key_columns)], F.col(_PART).alias("part"),
                     summarize(*inputs).alias("summary"))
@@ -418,12 +442,15 @@ def ordered_scan(
         .select(*[f"key{i}" for i in range(len(keys))], "part", "summary.*")
         .collect()  # two rows per partition, bounded by STATE_BYTES
     )
-    starts = spark.sparkContext.broadcast(_chain(summaries, indicators, len(keys)))
+    states = _chain(summaries, added, len(keys))
+    if len(added) < len(indicators):
+        states = _joined(before.starts, states)
+    starts = spark.sparkContext.broadcast(states)
 
     columns = [name for ind in indicators for name in ind.columns]
     schema = T.StructType([T.StructField(name, T.DoubleType()) for name in columns])
     compute = F.arrow_udf(_outputs(indicators, starts), schema).asNondeterministic()
     result = rows.withColumn(_VALUE, compute(*inputs)).select(
-        *_names(kept), *[F.col(_VALUE)[name].alias(name) for name in columns])
-    _SORTED[result] = _Sorted(rows, kept, most_partitions, series, tuple(indicators))
+        *_names(kept), *[F.col(_VALUE)[name].alias(name, metadata=APPENDED) for name in columns])
+    _SORTED[result] = _Sorted(rows, kept, most_partitions, series, tuple(indicators), states)
     return result

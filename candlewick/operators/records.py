@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.functions import double_text, iso_to_epoch_ms, now_epoch_ms
+from candlewick.functions import double_text, is_finite, iso_to_epoch_ms, now_epoch_ms
 from candlewick.operators.decode import usable_tick
 
 IDENTITY = ("Dimensions", "Time", "MeasureName")
@@ -40,7 +40,7 @@ def _wide(dimensions: Column, measure: str, measures: Column, millis: Column, ve
 
 
 def usable_vwap() -> Column:
-    return F.col("vwap").isNotNull() & iso_to_epoch_ms("window_end").isNotNull()
+    return is_finite("vwap") & iso_to_epoch_ms("window_end").isNotNull()
 
 
 def tick_record(source_topic: str, version: Column | None = None) -> Column:

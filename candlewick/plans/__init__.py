@@ -1,11 +1,11 @@
 from candlewick.plans.medallion import add_gold_columns, bronze_to_silver, build_bronze, silver_to_gold
 from candlewick.plans.realtime import (
-    candle_topic_to_ticks, latest_records, rejected_messages, tick_topic_to_vwap_topic, tick_topic_to_windows,
+    candle_topic_to_ticks, compact_records, latest_records, rejected_messages, tick_topic_to_vwap_topic, tick_topic_to_windows,
     topics_to_records,
 )
 
 __all__ = [
-    "add_gold_columns", "bronze_to_silver", "build_bronze", "candle_topic_to_ticks",
+    "add_gold_columns", "bronze_to_silver", "build_bronze", "candle_topic_to_ticks", "compact_records",
     "latest_records", "rejected_messages", "silver_to_gold",
     "tick_topic_to_vwap_topic", "tick_topic_to_windows", "topics_to_records",
 ]

@@ -6,27 +6,34 @@ streaming frames alike. Where it reads from and writes to is the caller's choice
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick import schemas
 from candlewick.functions import epoch_seconds_to_time, parse_time, to_double
 from candlewick.operators.decode import (
     candles_to_ticks, closed_candles, count_rejected, decode_candles, decode_json, decode_ticks, encode_json,
-    usable_tick, valid_ticks,
+    usable_tick, valid_candles, valid_ticks,
 )
 from candlewick.operators.records import (
     IDENTITY, latest_version, tick_record, usable_vwap, vwap_record,
 )
 from candlewick.operators.vwap import encode_vwap, vwap, vwap_rows
+from candlewick.sources.files import replace_parts
 
 QUOTES = "quotes"
 VWAPS = "vwap"
 
 
-def candle_topic_to_ticks(records: DataFrame, symbol: Column | str) -> DataFrame:
-    """Closed candles as tick messages, keyed by symbol."""
-    return encode_json(candles_to_ticks(closed_candles(decode_candles(records)), symbol), "symbol")
+def candle_topic_to_ticks(records: DataFrame, symbol: Column | str | None = None) -> DataFrame:
+    """Closed, usable candles as tick messages, keyed by symbol: a constant, a column of ``records`` (its key, say), or by
+    default the symbol in the message."""
+    named = "__symbol"
+    if isinstance(symbol, Column):
+        records, keep, symbol = records.withColumn(named, symbol), [named], F.col(named)
+    else:
+        keep = []
+    return encode_json(candles_to_ticks(closed_candles(valid_candles(decode_candles(records, keep))), symbol), "symbol")
 
 
 def tick_topic_to_windows(records: DataFrame, window: str = "5 minutes", watermark: str | None = "5 minutes") -> DataFrame:
@@ -59,9 +66,8 @@ def _messages(records: DataFrame, tick_topic: str, vwap_topic: str) -> DataFrame
 def topics_to_records(records: DataFrame, tick_topic: str, vwap_topic: str, version: Column | None = None) -> DataFrame:
     """Messages of both topics as time-series records, routed by ``table`` (quotes, vwap), with their ``date``.
 
-    One pass over the messages. Written with ``partition_by=("table", "date")`` each table is a folder. A replay gets a
-    higher version and so replaces itself (``latest_records``); the messages of one micro-batch share a version, and
-    the later offset wins.
+    One pass over the messages. Written with ``partition_by=("table", "date")`` each table is a folder. A replay has the
+    same offsets and so replaces itself (``latest_records``).
     """
     good = _messages(records, tick_topic, vwap_topic).filter(F.col("table").isNotNull())
     record = F.when(F.col("table") == QUOTES, tick_record(tick_topic, version)).otherwise(
@@ -72,8 +78,18 @@ def topics_to_records(records: DataFrame, tick_topic: str, vwap_topic: str, vers
 
 
 def latest_records(stored: DataFrame) -> DataFrame:
-    """The last version of each record of ``topics_to_records``. A filter on ``table`` or ``date`` prunes the files."""
-    return latest_version(stored, ["table", "date", *IDENTITY], ["Version", "partition", "offset"])
+    """The last version of each record of ``topics_to_records``. A filter on ``table`` or ``date`` prunes the files.
+
+    Within a partition of the topic the later offset wins, whatever the clocks say; only between partitions (after a topic
+    got more of them) does the version decide.
+    """
+    identity = ["table", "date", *IDENTITY]
+    return latest_version(latest_version(stored, [*identity, "partition"], ["offset", "Version"]), identity, ["Version", "partition"])
+
+
+def compact_records(spark: SparkSession, path: str, closed: Column) -> None:
+    """Leave one row per record in the folders of ``table`` and ``date`` for which ``closed`` holds; see ``replace_parts``."""
+    replace_parts(spark, latest_records(spark.read.parquet(path).filter(closed)), path, ["table", "date"], "records")
 
 
 def rejected_messages(records: DataFrame, tick_topic: str, vwap_topic: str) -> DataFrame:

@@ -24,9 +24,10 @@ PARTITION_FIELDS = [T.StructField("year", T.IntegerType()), T.StructField("month
 
 BAR_COLUMNS = ["symbol", "datetime", "open", "high", "low", "close", "volume"]
 
-# One update of the running candle, as the exchange sends it. T is the close time in epoch ms, x marks a closed candle.
+# One update of the running candle, as the exchange sends it. s is the symbol, T is the close time in epoch ms, x marks a closed candle.
 CANDLE = T.StructType([
     T.StructField("k", T.StructType([
+        T.StructField("s", _STRING),
         T.StructField("i", _STRING),
         T.StructField("c", _STRING),
         T.StructField("v", _STRING),
@@ -68,3 +69,7 @@ CHART_BARS = T.ArrayType(T.StructType([
     T.StructField("i", T.LongType()),
     T.StructField("v", T.ArrayType(_STRING)),
 ]))
+
+# A message of the chart service: method and parameters, and the parameter that holds series of bars by name.
+CHART_MESSAGE = T.StructType([T.StructField("m", _STRING), T.StructField("p", T.ArrayType(_STRING))])
+CHART_SERIES = T.MapType(_STRING, T.StructType([T.StructField("s", CHART_BARS)]))

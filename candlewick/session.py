@@ -17,6 +17,8 @@ def build_session(app_name: str = "candlewick", master: str | None = None, **con
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
+        # Frozen copies of sorted rows go as soon as no frame refers to them.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

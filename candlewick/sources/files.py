@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick import schemas
-from candlewick.session import require_utc
+from candlewick.functions import instant
+from candlewick.session import require_utc, scratch_path
 
 PARTITION = ("year", "month")
 SORT = ("symbol", "datetime")
@@ -43,13 +45,20 @@ def read_bronze(spark: SparkSession, path: str, symbol: str | None = None, sourc
 
 def read_bars(spark: SparkSession, path: str, start: dt.datetime | None = None, end: dt.datetime | None = None,
               time_col: str = "datetime") -> DataFrame:
-    """Parquet bars with start <= time < end; only the months in question are read."""
+    """Parquet bars with start <= time < end; only the months in question are read.
+
+    Bounds with a zone are instants; without one they are read in the session zone. The folders are pruned by the same
+    instants, two days wider on either side, so a table written under another session zone loses no row.
+    """
     bars = spark.read.parquet(path)
     month = F.col("year") * 12 + F.col("month")
+    slack = F.expr("INTERVAL 2 DAYS")
     if start is not None:
-        bars = bars.filter((month >= start.year * 12 + start.month) & (F.col(time_col) >= F.lit(start)))
+        begin = instant(start) - slack
+        bars = bars.filter((month >= F.year(begin) * 12 + F.month(begin)) & (F.col(time_col) >= instant(start)))
     if end is not None:
-        bars = bars.filter((month <= end.year * 12 + end.month) & (F.col(time_col) < F.lit(end)))
+        last = instant(end) + slack
+        bars = bars.filter((month <= F.year(last) * 12 + F.month(last)) & (F.col(time_col) < instant(end)))
     return bars
 
 
@@ -72,3 +81,15 @@ def write_bronze(bars: DataFrame, path: str, replace: str = "all") -> None:
     """Bars to CSV files with a header, one folder per calendar month of their time. The symbol is kept."""
     columns = [name for name in schemas.BAR_COLUMNS if name in bars.columns]
     write_layer(with_year_month(bars.select(*columns)), path, "csv", replace, header=True)
+
+
+def replace_parts(spark: SparkSession, rows: DataFrame, path: str, partition_by: Sequence[str], name: str) -> None:
+    """Put ``rows``, read from the table at ``path`` itself, in place of the partitions they belong to.
+
+    They are written aside in full first. For partitions that no stream writes to any more: readers of them may see a gap
+    while the files are exchanged. Repeating it changes nothing.
+    """
+    aside = scratch_path(spark, name)
+    rows.write.partitionBy(*partition_by).parquet(aside)
+    kept = spark.read.schema(rows.schema).parquet(aside)
+    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)

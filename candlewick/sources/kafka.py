@@ -43,10 +43,14 @@ def _source(reader: DataFrameReader | DataStreamReader, config: KafkaConfig, opt
 
 
 def read_stream(spark: SparkSession, config: KafkaConfig, *topics: str, starting_offsets: str = "latest",
-                max_offsets_per_trigger: int | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Endless frame over one or more topics; ``min_partitions`` splits busy topic partitions over more tasks."""
-    return _source(spark.readStream, config, stream_options(topics, starting_offsets, max_offsets_per_trigger,
-                                                            min_partitions)).load()
+                max_offsets_per_trigger: int | None = None, min_partitions: int | None = None,
+                options: Mapping[str, object] | None = None) -> DataFrame:
+    """Endless frame over one or more topics; ``min_partitions`` splits busy topic partitions over more tasks.
+
+    ``options``: any others of the Kafka source.
+    """
+    return _source(spark.readStream, config, {**stream_options(topics, starting_offsets, max_offsets_per_trigger,
+                                                               min_partitions), **(options or {})}).load()
 
 
 def stream_options(topics, starting_offsets="latest", max_offsets_per_trigger=None, min_partitions=None) -> dict:

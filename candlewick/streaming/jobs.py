@@ -1,7 +1,13 @@
-"""The three long-running jobs over Kafka. Each returns its started queries; a query has a checkpoint of its own."""
+"""The three long-running jobs over Kafka. Each returns its started queries; a query has a checkpoint of its own.
+
+``source`` goes to ``kafka.read_stream``: ``max_offsets_per_trigger`` keeps a start from far back from becoming one huge
+micro-batch, ``min_partitions`` splits busy topic partitions, ``options`` holds any others of the Kafka source.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,47 +21,50 @@ from candlewick.streaming.lifecycle import start
 from candlewick.streaming.sinks import append_writer, parquet_writer
 
 
-def start_ticks(spark: SparkSession, config: KafkaConfig, candle_topic: str, tick_topic: str, symbol: Column | str,
-                checkpoint: str, starting_offsets: str = "latest", **trigger) -> list[StreamingQuery]:
-    """Candle updates to ticks of closed candles."""
+def start_ticks(spark: SparkSession, config: KafkaConfig, candle_topic: str, tick_topic: str,
+                symbol: Column | str | None, checkpoint: str, starting_offsets: str = "latest",
+                source: Mapping[str, object] | None = None, **trigger) -> list[StreamingQuery]:
+    """Candle updates to ticks of closed candles. ``symbol``: a constant, a column, or None for the one in the message."""
     require_utc(spark)
-    candles = kafka.read_stream(spark, config, candle_topic, starting_offsets=starting_offsets)
+    candles = kafka.read_stream(spark, config, candle_topic, starting_offsets=starting_offsets, **(source or {}))
     ticks = realtime.candle_topic_to_ticks(candles, symbol)
     return [start(kafka.stream_writer(ticks, config, tick_topic, checkpoint), "ticks", **trigger)]
 
 
 def start_vwap(spark: SparkSession, config: KafkaConfig, tick_topic: str, vwap_topic: str, checkpoint: str,
                output_mode: str = "append", window: str = "5 minutes", watermark: str = "5 minutes",
-               rejects: str | None = None, starting_offsets: str = "latest", **trigger) -> list[StreamingQuery]:
+               rejects: str | None = None, starting_offsets: str = "latest",
+               source: Mapping[str, object] | None = None, files: int | None = None, **trigger) -> list[StreamingQuery]:
     """Ticks to VWAP messages.
 
     ``append`` sends a window once, after the watermark has passed its end; ``update`` sends it on every change, and the
-    readers keep the last one. ``rejects``: folder for the messages that are no usable ticks, kept by a second query.
+    readers keep the last one. ``rejects``: folder for the messages that are no usable ticks, kept by a second query, which
+    ``files`` tasks write.
     """
     require_utc(spark)
-    records = kafka.read_stream(spark, config, tick_topic, starting_offsets=starting_offsets)
+    records = kafka.read_stream(spark, config, tick_topic, starting_offsets=starting_offsets, **(source or {}))
     windows = realtime.tick_topic_to_windows(records, window, watermark)
     queries = [start(kafka.stream_writer(encode_vwap(windows), config, vwap_topic, checkpoint, output_mode), "vwap",
                      **trigger)]
     if rejects is not None:
         bad = rejected_ticks(decode_ticks(records, keep=["topic", "partition", "offset"]))
         bad = bad.select("topic", "partition", "offset", "json")
-        queries.append(start(parquet_writer(bad, rejects, f"{checkpoint}-rejects"), "vwap-rejects", **trigger))
+        queries.append(start(parquet_writer(bad, rejects, f"{checkpoint}-rejects", files=files), "vwap-rejects", **trigger))
     return queries
 
 
 def start_records(spark: SparkSession, config: KafkaConfig, tick_topic: str, vwap_topic: str, path: str,
                   checkpoint: str, rejects: str | None = None, starting_offsets: str = "latest",
-                  **trigger) -> list[StreamingQuery]:
+                  source: Mapping[str, object] | None = None, files: int | None = None, **trigger) -> list[StreamingQuery]:
     """Both topics to the record tables ``table=quotes`` and ``table=vwap`` below ``path``, by date.
 
     Read them through ``latest_records``.
     """
     require_utc(spark)
-    topics = kafka.read_stream(spark, config, tick_topic, vwap_topic, starting_offsets=starting_offsets)
+    topics = kafka.read_stream(spark, config, tick_topic, vwap_topic, starting_offsets=starting_offsets, **(source or {}))
     records = realtime.topics_to_records(topics, tick_topic, vwap_topic)
-    queries = [start(append_writer(records, path, checkpoint, partition_by=["table", "date"]), "records", **trigger)]
+    queries = [start(append_writer(records, path, checkpoint, partition_by=["table", "date"], files=files), "records", **trigger)]
     if rejects is not None:
         bad = realtime.rejected_messages(topics, tick_topic, vwap_topic)
-        queries.append(start(parquet_writer(bad, rejects, f"{checkpoint}-rejects"), "records-rejects", **trigger))
+        queries.append(start(parquet_writer(bad, rejects, f"{checkpoint}-rejects", files=files), "records-rejects", **trigger))
     return queries

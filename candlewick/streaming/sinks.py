@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from candlewick.functions import now_epoch_ms
 from candlewick.operators.records import latest_version
+from candlewick.sources.files import replace_parts
 
-VERSION = ("version", "batch_id")
+VERSION = ("generation", "batch_id")
+_GENERATION = "table-generation"
 
 
 def parquet_writer(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (),
@@ -47,16 +48,46 @@ def versioned_writer(df: DataFrame, path: str, checkpoint: str, output_mode: str
                      partition_by: Sequence[str] = (), files: int | None = None) -> DataStreamWriter:
     """Table of row versions for queries that send a row again on every change.
 
-    Each micro-batch is appended with its time and number as version; nothing is read back or rewritten, so a batch
-    costs what it holds. ``read_versioned`` picks the last version. A batch that is repeated after a failure adds equal
-    rows of a later version, which changes nothing.
+    Each micro-batch is appended with a version: the generation of its checkpoint and its number. Batch numbers grow within
+    a checkpoint, and a new checkpoint over the same table gets a higher generation, so no clock takes part. Nothing is read
+    back or rewritten while the stream runs. ``read_versioned`` picks the last version. A batch that is repeated after a failure adds
+    equal rows of the same version, which changes nothing. ``compact_versioned`` keeps closed parts of the table small.
     """
+    number = _generation(df.sparkSession, path, checkpoint)
+
     def version(batch_id: int) -> dict[str, Column]:
-        return {"version": now_epoch_ms(), "batch_id": F.lit(batch_id).cast("long")}
+        return {"generation": F.lit(number).cast("long"), "batch_id": F.lit(batch_id).cast("long")}
 
     return append_writer(df, path, checkpoint, output_mode, partition_by, files, version)
 
 
+def _generation(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """The checkpoint's number for this table: kept beside its state, or one more than the table has seen."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    file = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/{_GENERATION}")
+    files = file.getFileSystem(conf)
+    if files.exists(file):
+        return int(spark.read.text(file.toString()).first()[0])
+    table = jvm.org.apache.hadoop.fs.Path(path)
+    held = table.getFileSystem(conf)
+    filled = held.exists(table) and any(s.getPath().getName()[0] not in "_." for s in held.listStatus(table))
+    last = spark.read.parquet(path).agg(F.max(VERSION[0])).first()[0] if filled else None
+    number = (last or 0) + 1
+    out = files.create(file, False)
+    out.write(bytearray(str(number).encode()))
+    out.close()
+    return number
+
+
+def compact_versioned(spark: SparkSession, path: str, identity: Sequence[str], partition_by: Sequence[str], closed: Column) -> None:
+    """Leave one row per identity in the partitions for which ``closed`` (a condition on ``partition_by``) holds.
+
+    Versions stay, so rows that come later still win. ``identity`` must contain the partition columns.
+    """
+    rows = latest_version(spark.read.parquet(path).filter(closed), identity, VERSION)
+    replace_parts(spark, rows, path, partition_by, "compacted")
+
+
 def read_versioned(spark: SparkSession, path: str, identity: Sequence[str]) -> DataFrame:
     """The last version of every row. Filters on partition columns that belong to ``identity`` prune the files."""
     return latest_version(spark.read.parquet(path), identity, VERSION).drop(*VERSION)

@@ -109,10 +109,37 @@ def test_latest_bars(spark, n_bars):
 
 
 def test_latest_bars_cut_before_the_shuffle(spark):
-    few = op.latest_bars(series(spark, 100), 10)._jdf.queryExecution().executedPlan().toString()
-    assert few.index("WindowGroupLimit") < few.index("Exchange") and "Partial" in few
-    many = op.latest_bars(series(spark, 100), 5000)._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(symbol" in many and "__salt" in many
+    """No exchange stands on an uncut scan: below each there is a partial count or the join with the cuts."""
+    import re
+    for n in (10, 5000):
+        plan = op.latest_bars(series(spark, 100), n)._jdf.queryExecution().executedPlan().toString()
+        lines = plan.split("\n")
+        depth = [len(re.match(r"[\s:|+*()\d-]*", line)[0]) for line in lines]
+        for i, line in enumerate(lines):
+            if "Exchange hashpartitioning" not in line:
+                continue
+            below = []
+            for j in range(i + 1, len(lines)):
+                if depth[j] <= depth[i]:
+                    break
+                below.append(lines[j])
+            assert any("BroadcastHashJoin" in b or "partial_count" in b for b in below), plan
+
+
+def test_rows_without_a_time(spark):
+    df = series(spark, 40).withColumn("datetime", F.when(F.col("id") % 4 > 0, F.col("datetime")))
+    assert op.latest_bars(df, 100).count() == 40
+    got = op.latest_bars(df, 5).collect()
+    assert len(got) == 15 and all(r["datetime"] for r in got)
+    bars = df.selectExpr("symbol", "datetime", "1D open", "1D high", "1D low", "1D close", "1D volume")
+    for interval in ("5", "1D", "1W", "1M"):
+        assert op.resample(bars, interval).filter("datetime IS NULL").count() == 0
+
+
+def test_latest_rows_of_one_series_and_of_equal_hours(spark):
+    df = spark.range(3000).selectExpr("'a' symbol", "timestamp_seconds(id % 7) datetime", "id")
+    assert op.latest_bars(df, 900, keys=()).filter("datetime >= timestamp_seconds(4)").count() == 900
+    assert op.latest_bars(df, 10, tie="id").agg(F.min("id")).first()[0] >= 2900
 
 
 def test_history_of_one_symbol(spark):

@@ -17,14 +17,15 @@ def many(spark, values, kind, column):
 
 def test_iso_text_to_epoch_ms(spark):
     texts = ["2026-03-25T15:10:00.000Z", "2026-03-25T15:10:00.123Z", "2024-01-01 00:05:00", "2024-01-01T02:00:00+02:00",
-             "never", None]
+             "never", "12:34:56", "2024", "2024-05-01", "1899-12-31T23:59:59Z", "2200-01-01 00:00:00", "+294247-01-10T04:00:54Z", None]
     assert many(spark, texts, "string", fn.iso_to_epoch_ms) == [
-        1774451400000, 1774451400123, 1704067500000, 1704067200000, None, None]
+        1774451400000, 1774451400123, 1704067500000, 1704067200000] + [None] * 8
 
 
 def test_epoch_ms_to_iso_cuts_to_seconds(spark):
-    assert many(spark, [1704067259999, 0, None], "bigint", fn.epoch_ms_to_iso) == [
-        "2024-01-01T00:00:59Z", "1970-01-01T00:00:00Z", None]
+    assert many(spark, [1704067259999, 0, 2**63 - 1, -2**63, None], "bigint", fn.epoch_ms_to_iso) == [
+        "2024-01-01T00:00:59Z", "1970-01-01T00:00:00Z", None, None, None]
+    assert many(spark, [1e30, float("nan"), -1e12, None], "double", fn.epoch_seconds_to_time) == [None] * 4
 
 
 def test_now(spark):
@@ -34,7 +35,7 @@ def test_now(spark):
 def test_to_double_is_safe_under_ansi(spark):
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
     assert many(spark, ["1.5", "1e3", "n/a", "", None], "string", fn.to_double) == [1.5, 1000.0, None, None, None]
-    assert many(spark, ["2", "x", None], "string", fn.volume_or_zero) == [2.0, 0.0, 0.0]
+    assert many(spark, ["2", "x", "NaN", "Infinity", None], "string", fn.volume_or_zero) == [2.0, 0.0, 0.0, 0.0, 0.0]
 
 
 @pytest.mark.parametrize("value", [

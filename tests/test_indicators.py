@@ -205,9 +205,52 @@ def test_no_rows(spark):
 
 
 def test_state_bound_limits_partitions():
-    assert ordered._partition_limit(I.GOLD) > 10_000
-    wide = ordered._partition_limit([I.Sma(1_000_000)])
-    assert 1 <= wide <= 16
+    assert ordered._partition_limit(I.GOLD) > 5_000
+    assert ordered._partition_limit([I.Sma(1_000_000)]) >= 1
+
+
+def test_one_call_and_many_agree_on_equal_times(spark):
+    rows = [("a", START, i, float(i * i % 31)) for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    one = I.with_indicators(df, I.PriceChange(), I.Ema(3), I.Sma(4))
+    chained = df.transform(I.price_change).transform(I.ema, 3).transform(I.sma, 4)
+    apart = I.sma(I.ema(I.price_change(df).select("*"), 3).select("*"), 4)
+    want = {r["seq"]: tuple(r) for r in one.collect()}
+    for got in (chained, apart):
+        assert {r["seq"]: tuple(r) for r in got.collect()} == want
+
+
+def test_a_chain_summarises_only_what_is_new(spark, monkeypatch):
+    asked, make_summaries = [], ordered._summaries
+    monkeypatch.setattr(ordered, "_summaries", lambda inds: asked.append([type(i).__name__ for i in inds]) or make_summaries(inds))
+    df = make(spark, {"a": noisy(200, 4), "b": noisy(90, 5)})
+    got = df.transform(I.sma).transform(I.ema).transform(I.macd)
+    assert asked == [["Sma"], ["Ema"], ["Macd"]]
+    for name in ("sma200", "ema50", "signal_line"):
+        same(column(got, name, "a"), expected(noisy(200, 4))[name])
+
+
+def test_min_periods(spark):
+    values = noisy(60, 3)
+    got = I.with_indicators(make(spark, {"a": values}), I.Sma(5, 5), I.Ema(7, 20), I.Rsi(4, 10))
+    plain = I.with_indicators(make(spark, {"a": values}), I.Sma(5), I.Ema(7), I.Rsi(4))
+    for name, first in (("sma5", 5), ("ema7", 20), ("rsi4", 10)):
+        want = column(plain, name, "a")
+        same(column(got, name, "a"), [None] * (first - 1) + want[first - 1:])
+
+
+def test_names_are_compared_without_case(spark, caplog):
+    df = make(spark, {"a": noisy(10, 1)}).withColumn("SMA5", F.lit(1.0)).withColumn("signal_line", F.lit(1.0))
+    assert I.sma(df, 5) is df
+    with caplog.at_level("WARNING"):
+        assert I.macd(df) is df
+    assert "signal_line" in caplog.text
+
+
+def test_streams_are_refused(spark):
+    stream = spark.readStream.format("rate").load().selectExpr("'a' symbol", "timestamp datetime", "1D close")
+    with pytest.raises(ValueError, match="stream"):
+        I.sma(stream)
 
 
 @settings(max_examples=60, deadline=None)

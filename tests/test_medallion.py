@@ -110,8 +110,28 @@ def test_catalog_table(spark, bars, tmp_path):
     assert sources.register_table(spark, "plain_bars", plain).count() == bars.count()
 
 
+def test_a_table_name_stands_for_one_folder(spark, bars, tmp_path):
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    bars.limit(3).write.parquet(one)
+    bars.limit(7).write.parquet(two)
+    assert sources.register_table(spark, "moved_bars", one).count() == 3
+    with pytest.raises(ValueError, match="moved_bars"):
+        sources.register_table(spark, "moved_bars", two)
+    assert sources.register_table(spark, "moved_bars", two, replace=True).count() == 7
+    assert spark.read.parquet(one).count() == 3
+
+
+def test_csv_tables_have_the_bronze_schema(spark, bars, tmp_path):
+    path = str(tmp_path / "b")
+    sources.write_bronze(bars, path)
+    got = sources.register_table(spark, "bronze_bars", path, "csv")
+    assert dict(got.dtypes)["datetime"] == "timestamp" and dict(got.dtypes)["volume"] == "double"
+    assert got.count() == bars.count() and {"year", "month"} < set(got.columns)
+
+
 def test_captures_to_bronze(spark, tmp_path):
-    text = '"s":[{"i":0,"v":[1709164800.0,1,2,0.5,1.5,9.0]},{"i":1,"v":[1709251200.0,1.5,2.5,1,2,4.0]}]'
+    text = ('~m~9~m~{"m":"du","p":["cs_1",{"sds_1":{"s":[{"i":0,"v":[1709164800.0,1,2,0.5,1.5,9.0]},'
+            '{"i":1,"v":[1709251200.0,1.5,2.5,1,2,4.0]}]}}]}')
     captures = spark.createDataFrame([("AB", "EX", None, text), ("AB", "EX", 2, text)],
                                      "symbol string, exchange string, contract int, text string")
     plans.build_bronze(captures, str(tmp_path / "b"))

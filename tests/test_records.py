@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from candlewick import operators as op
 from candlewick import plans, schemas
 
+# The store's record format, here and in the records expected below.
 TICK = '{"symbol":"A","@timestamp":"2024-01-01T00:00:10Z","close":"21207873.5","volume":"2"}'
 VWAP = '{"window_start":"2024-01-01 00:00:00","window_end":"2024-01-01 00:05:00","symbol":"A","vwap":1.25}'
 

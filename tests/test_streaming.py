@@ -211,3 +211,61 @@ def test_records_job(spark, broker):
     counts = spark.read.parquet(str(broker / "out")).groupBy("table").count().collect()
     assert dict(map(tuple, counts)) == {"quotes": 2, "vwap": 1}
     assert [tuple(r) for r in spark.read.parquet(str(broker / "bad")).collect()] == [("ticks", "bad")]
+
+
+def test_generations_order_versions_without_a_clock(spark, tmp_path):
+    """A new checkpoint over the same table wins over the old one, whatever its batch numbers; a restart keeps its number."""
+    out = str(tmp_path / "out")
+
+    def run_once(topic, checkpoint):
+        windows = plans.tick_topic_to_windows(source(spark, topic))
+        streaming.run(streaming.versioned_writer(windows, out, str(tmp_path / checkpoint)), available_now=True)
+
+    for i, batch in enumerate(BATCHES):
+        put(spark, tmp_path / "topic", i, batch)
+    run_once(tmp_path / "topic", "one")
+    run_once(tmp_path / "topic", "one")
+    put(spark, tmp_path / "other", 0, [tick(0, 77.0)])
+    run_once(tmp_path / "other", "two")
+    stored = spark.read.parquet(out)
+    assert {r[0] for r in stored.select("generation").distinct().collect()} == {1, 2}
+    identity = ["symbol", "window_start", "window_end"]
+    got = flat(streaming.read_versioned(spark, out, identity))
+    assert got["A", "2024-01-01 00:00:00"] == 77.0
+
+
+def test_compaction_can_be_repeated(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(40).selectExpr("id % 5 AS k", "id AS v", "CAST(id % 2 AS INT) AS day", "1L AS generation", "id AS batch_id")
+    rows.write.partitionBy("day").parquet(path)
+    before = sorted(map(tuple, streaming.read_versioned(spark, path, ["k", "day"]).select("k", "day", "v").collect()))
+    for _ in range(2):
+        streaming.compact_versioned(spark, path, ["k", "day"], ["day"], F.col("day") == 0)
+        stored = spark.read.parquet(path)
+        assert stored.filter("day = 0").count() == 5 and stored.filter("day = 1").count() == 20
+        assert sorted(map(tuple, streaming.read_versioned(spark, path, ["k", "day"]).select("k", "day", "v").collect())) == before
+
+
+def test_the_later_offset_wins_whatever_the_clock_says(spark):
+    rows = [("quotes", "d", "x", "1", "m", 0, offset, version) for offset, version in ((5, 100), (6, 50))]
+    stored = spark.createDataFrame(rows, "table string, date string, Dimensions string, Time string, MeasureName string, "
+                                         "partition int, offset long, Version long")
+    assert [r["offset"] for r in plans.latest_records(stored).collect()] == [6]
+
+
+def test_jobs_pass_source_options_on(spark, monkeypatch):
+    from candlewick.streaming import jobs
+    seen = {}
+
+    def read(spark, config, *topics, **options):
+        seen.update(options)
+        raise RuntimeError("no broker here")
+
+    monkeypatch.setattr(jobs.kafka, "read_stream", read)
+    for start in (lambda s: jobs.start_ticks(spark, None, "c", "t", None, "cp", source=s),
+                  lambda s: jobs.start_vwap(spark, None, "t", "v", "cp", source=s),
+                  lambda s: jobs.start_records(spark, None, "t", "v", "out", "cp", source=s)):
+        seen.clear()
+        with pytest.raises(RuntimeError):
+            start({"max_offsets_per_trigger": 9, "min_partitions": 4, "options": {"kafkaConsumer.pollTimeoutMs": 10}})
+        assert seen["max_offsets_per_trigger"] == 9 and seen["min_partitions"] == 4 and seen["options"]

@@ -133,7 +133,14 @@ ORACLES: dict[str, str] = {
     "tick_filter": _with("""
         SELECT event_id AS "offset", symbol, close, volume FROM t WHERE symbol NOT IN ('error', 'view')"""),
     "tick_rejects": _with("""
-        SELECT event_id AS "offset", symbol, true AS has_text FROM t WHERE symbol IN ('error', 'view')"""),
+        SELECT event_id AS "offset", symbol, true AS has_text FROM t WHERE event_id % 10 <= 7"""),
+    "candle_rejects": _with("""
+        SELECT CAST(epoch(bar_time) AS BIGINT) AS "offset", symbol, true AS has_text FROM b
+        WHERE CAST(floor(close * 100) AS BIGINT) % 4 IN (1, 2)""", _bars("1")),
+    "candles_many_symbols": _with(f"""
+        SELECT symbol AS key, symbol, strftime(bar_time + INTERVAL '59 seconds', {STAMP}) AS event_time, close, volume
+        FROM b WHERE CAST(floor(close * 100) AS BIGINT) % 4 NOT IN (1, 2)""", _bars("1")),
+    "chart_rejects": _with("SELECT event_id, CAST(1 AS INTEGER) AS bar FROM t"),
     "kafka_preview": _with("""
         SELECT symbol AS key, CAST(close AS VARCHAR) AS close, event_id AS "offset", epoch_us(ts) AS timestamp_us
         FROM t"""),
@@ -149,7 +156,7 @@ ORACLES: dict[str, str] = {
     "chart_parse": _with(f"SELECT {BAR_COLUMNS} FROM b", _bars("1D")),
     "chart_messages": _with("""
         SELECT event_id, symbol || '_update' AS method,
-               '["cs_1","s' || event_id || '","={"symbol":"' || symbol || '"}"]' AS params
+               '["cs_1","s' || event_id || '","={\\"symbol\\":\\"' || symbol || '\\"}"]' AS params
         FROM t WHERE symbol <> 'error'"""),
     "symbol_format": _with("""
         SELECT event_id, CASE WHEN symbol = 'purchase' THEN 'OTHER:purchase'
@@ -160,6 +167,16 @@ ORACLES: dict[str, str] = {
     "time_range": _with("""
         SELECT 'ALL' AS symbol, event_id, close, volume FROM t
         WHERE ts >= TIMESTAMP '2024-01-10 06:00:00' AND ts < TIMESTAMP '2024-01-20 06:00:00'"""),
+    "sma_min_periods": _with(f"""
+        SELECT m.event_id, m.symbol, {_single("CASE WHEN m.rn >= 20 THEN sma20 END", "sma20")},
+               {_single("CASE WHEN m.rn >= 30 THEN e50 END", "ema50")},
+               {_single(f"CASE WHEN m.rn >= 15 THEN {RSI} END", "rsi14")}
+        FROM (SELECT *, avg(close) OVER (PARTITION BY symbol ORDER BY rn ROWS 19 PRECEDING) AS sma20 FROM f) m
+        JOIN e USING (symbol, rn)""", _numbered(), _frames(), AVERAGES, recursive=True),
+    "gold_guard": _with(f"""
+        SELECT f.event_id, f.symbol, -2.0::DOUBLE AS signal_line, -1.0::DOUBLE AS sma200, {_single("e50", "ema50")},
+               {_single(RSI, "rsi14")}, CAST(1 AS INTEGER) AS taken
+        FROM f JOIN e USING (symbol, rn)""", _numbered(), _frames(), AVERAGES, recursive=True),
     "sma_200": _with(f"SELECT event_id, symbol, {_single('sma200', 'sma200')} FROM f", _numbered(), _frames()),
     "price_change": _with("SELECT event_id, symbol, round(diff, 6) AS price_change FROM n", _numbered()),
     "gain_loss": _with("""
@@ -183,6 +200,11 @@ ORACLES: dict[str, str] = {
     "history": _with(f"""
         SELECT {BAR_COLUMNS} FROM b WHERE symbol = 'click' ORDER BY bar_time DESC LIMIT 20""", _bars("4H")),
     "medallion_silver": f"WITH {SHIPMENTS} SELECT {BAR_COLUMNS}, {YEAR_MONTH} FROM s",
+    "bars_range": f"""WITH {SHIPMENTS} SELECT {BAR_COLUMNS}, {YEAR_MONTH} FROM s
+        WHERE bar_time >= TIMESTAMP '1995-01-31 22:00:00' AND bar_time < TIMESTAMP '1996-04-01 03:30:00'""",
+    "medallion_replace_months": f"""WITH {SHIPMENTS}
+        SELECT * REPLACE (CASE WHEN year IN (1995, 1996) THEN volume * 2 ELSE volume END AS volume)
+        FROM (SELECT {BAR_COLUMNS}, {YEAR_MONTH} FROM s)""",
     "medallion_gold": f"""WITH RECURSIVE {SHIPMENTS}, {SHIPMENT_TICKS}, {_numbered()}, {_frames()},
         e AS (SELECT symbol, bar_time, rn, close AS e50, close AS fast, close AS slow, 0.0::DOUBLE AS signal
               FROM n WHERE rn = 1
@@ -194,8 +216,8 @@ ORACLES: dict[str, str] = {
                            e.slow + 2.0::DOUBLE / 27 * (n.close - e.slow) AS slow
                     FROM e JOIN n ON n.symbol = e.symbol AND n.rn = e.rn + 1))
         SELECT f.symbol, strftime(f.bar_time, {STAMP}) AS datetime, f.close, {_single("sma200", "sma200")},
-               {_single("e50", "ema50")}, {_single(RSI, "rsi14")}, round(fast - slow, 3) AS macd_line,
-               round(signal, 3) AS signal_line, round(fast - slow - signal, 3) AS macd_histogram,
+               {_single("e50", "ema50")}, {_single(RSI, "rsi14")}, round(fast - slow, 4) AS macd_line,
+               round(signal, 4) AS signal_line, round(fast - slow - signal, 4) AS macd_histogram,
                CAST(year(f.bar_time) AS INTEGER) AS year, CAST(month(f.bar_time) AS INTEGER) AS month
         FROM f JOIN e ON f.symbol = e.symbol AND f.rn = e.rn""",
     "month_partitions": f"WITH {SHIPMENTS} SELECT {YEAR_MONTH}, count(*) AS bars FROM s GROUP BY ALL",
@@ -223,6 +245,8 @@ ORACLES: dict[str, str] = {
                arg_max(volume, event_id) AS volume, max(event_id) AS "Version" FROM t GROUP BY ALL"""),
     "topics_to_records": _with(f"{QUOTE_ROWS} UNION ALL {VWAP_ROWS}", WINDOWS),
     "records_stream": _with(f"({QUOTE_ROWS} {LAST_QUOTE}) UNION ALL {VWAP_ROWS}", WINDOWS),
+    "records_compacted": _with(f"({QUOTE_ROWS} {LAST_QUOTE}) UNION ALL {VWAP_ROWS}", WINDOWS),
+    "vwap_late_restart": _vwap(),
     "rejected_messages": _with(f"""
         SELECT 'vwap' AS topic, symbol, strftime(start, {STAMP}) AS window_start FROM w WHERE vwap IS NULL""", WINDOWS),
     "scalar_functions": _with(f"""

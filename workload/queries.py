@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,11 +93,56 @@ def tick_filter(spark, sf_dir):
     return ticks.select("offset", "symbol", "close", "volume")
 
 
+def _broken_messages(spark, sf_dir):
+    """Every tick's message with one of ten texts in the place of a price, a volume or a time, by its number."""
+    ticks = views.ticks(spark, sf_dir)
+    kind = F.col("event_id") % 10
+    close = F.when(kind == 0, "NaN").when(kind == 1, "Infinity").when(kind == 2, "1,5").otherwise(F.col("close").cast("string"))
+    volume = F.when(kind == 3, "-Infinity").otherwise(F.col("volume").cast("string"))
+    time = (F.when(kind == 4, "+294247-01-10T04:00:54Z").when(kind == 5, "12:34:56").when(kind == 6, "2024")
+            .when(kind == 7, "1899-12-31T23:59:59Z"))
+    return views.tick_messages(ticks, close, volume, time)
+
+
 def tick_rejects(spark, sf_dir):
-    return op.rejected_ticks(op.decode_ticks(_doubtful_messages(spark, sf_dir), keep=["offset"])).select(
+    return op.rejected_ticks(op.decode_ticks(_broken_messages(spark, sf_dir), keep=["offset"])).select(
         "offset", "symbol", F.col("json").isNotNull().alias("has_text"))
 
 
+def _broken_candles(spark, sf_dir):
+    """Closed candles of every minute; those of some prices overflow their time or have no number."""
+    closed = op.ticks_to_bars(views.ticks(spark, sf_dir), "1", tie="event_id")
+    cents = F.floor(F.col("close") * 100).cast("long") % 4
+    candle = F.struct(
+        F.col("symbol").alias("s"), F.lit("1m").alias("i"), F.when(cents == 1, "NaN").otherwise(F.col("close").cast("string")).alias("c"),
+        F.col("volume").cast("string").alias("v"), F.lit(True).alias("x"),
+        F.when(cents == 2, F.lit(2**63 - 1)).otherwise(F.unix_millis("datetime") + 59_999).alias("T"))
+    rows = closed.select(F.col("symbol").alias("key"), F.to_json(F.struct(candle.alias("k"))).alias("value"), "datetime")
+    return views.kafka_records(rows, "candles", F.unix_seconds("datetime"), F.col("datetime"))
+
+
+def candle_rejects(spark, sf_dir):
+    return op.rejected_candles(op.decode_candles(_broken_candles(spark, sf_dir), keep=["offset"])).select(
+        "offset", F.col("k.s").alias("symbol"), F.col("json").isNotNull().alias("has_text"))
+
+
+def candles_many_symbols(spark, sf_dir):
+    """Candles of all symbols in one topic, named by the message; the broken ones give no tick."""
+    messages = plans.candle_topic_to_ticks(_broken_candles(spark, sf_dir))
+    return op.decode_ticks(messages, keep=["key"]).select(
+        "key", "symbol", _text("event_time").alias("event_time"), "close", "volume")
+
+
+def chart_rejects(spark, sf_dir):
+    """One capture per tick with two bars, of which one has a time or price that is none."""
+    ticks = views.ticks(spark, sf_dir)
+    good = F.concat(F.lit('{"i":0,"v":['), F.unix_seconds("event_time"), F.lit(',1,2,0.5,1.5,9]}'))
+    bad = F.when(F.col("event_id") % 2 == 0, '{"i":1,"v":[1e30,1,2,0.5,1.5]}').otherwise('{"i":1,"v":[60,1,"?",0.5,1.5]}')
+    text = F.concat(F.lit('~m~200~m~{"m":"du","p":["cs",{"sds_1":{"s":['), good, F.lit(","), bad, F.lit("]}}]}"))
+    captures = ticks.select("event_id", text.alias("text"))
+    return op.rejected_chart_bars(captures).select("event_id", F.get_json_object("bar", "$.i").cast("int").alias("bar"))
+
+
 def kafka_preview(spark, sf_dir):
     preview = record_preview(views.tick_messages(views.ticks(spark, sf_dir)))
     return preview.select("key", F.get_json_object("value", "$.close").alias("close"), "offset",
@@ -126,8 +172,9 @@ def chart_parse(spark, sf_dir):
 
 
 def chart_messages(spark, sf_dir):
-    params = F.concat(F.lit('["cs_1","s'), "event_id", F.lit('","={"symbol":"'), "symbol", F.lit('"}"]}'))
-    text = F.concat(F.lit('~m~90~m~{"m":"'), "symbol", F.lit('_update","p":'), params)
+    """Two frames to a text: a heartbeat, then a message whose second parameter is JSON within a string."""
+    params = F.concat(F.lit('["cs_1","s'), "event_id", F.lit('","={\\"symbol\\":\\"'), "symbol", F.lit('\\"}"]'))
+    text = F.concat(F.lit('~m~4~m~~h~1~m~90~m~{"p":'), params, F.lit(',"m":"'), "symbol", F.lit('_update"}'))
     texts = views.ticks(spark, sf_dir).select(
         "event_id", F.when(F.col("symbol") == "error", "~m~4~m~~h~1").otherwise(text).alias("text"))
     return op.chart_messages(texts)
@@ -154,6 +201,19 @@ def _series(spark, sf_dir):
     return views.ticks(spark, sf_dir)
 
 
+def sma_min_periods(spark, sf_dir):
+    got = op.with_indicators(_series(spark, sf_dir), op.Sma(20, 20), op.Ema(50, 30), op.Rsi(14, 15), **SERIES)
+    return got.select("event_id", "symbol", *_single("sma20", "ema50", "rsi14"))
+
+
+def gold_guard(spark, sf_dir):
+    """Columns of the user that an indicator would make, in any case, stay; the others are added."""
+    marked = _series(spark, sf_dir).withColumn("SMA200", F.lit(-1.0)).withColumn("signal_line", F.lit(-2.0))
+    got = op.with_indicators(marked, *op.GOLD, **SERIES)
+    return got.select("event_id", "symbol", "signal_line", F.col("SMA200").alias("sma200"), *_single("ema50", "rsi14"),
+                      F.lit(sum(c.lower() in ("sma200", "macd_line", "macd_histogram") for c in got.columns)).alias("taken"))
+
+
 def sma_200(spark, sf_dir):
     return op.sma(_series(spark, sf_dir), 200, **SERIES).select("event_id", "symbol", *_single("sma200"))
 
@@ -241,11 +301,30 @@ def medallion_silver(spark, sf_dir):
     return silver.select("symbol", _text("datetime").alias("datetime"), *PRICES, "year", "month")
 
 
+def bars_range(spark, sf_dir):
+    """Silver bars between two bounds with zones, which fall into other months than they are written in."""
+    base = _staged_silver(spark, sf_dir)
+    zone = dt.timezone(dt.timedelta(hours=2))
+    start = dt.datetime(1995, 2, 1, 0, 0, tzinfo=zone)
+    end = dt.datetime(1996, 3, 31, 22, 30, tzinfo=dt.timezone(-dt.timedelta(hours=5)))
+    bars = sources.read_bars(spark, f"{base}/silver", start, end)
+    return bars.select("symbol", _text("datetime").alias("datetime"), *PRICES, "year", "month")
+
+
+def medallion_replace_months(spark, sf_dir):
+    """Silver in full, then the months of 1995 and 1996 again with doubled volumes: only they are replaced."""
+    base = _staged_silver(spark, sf_dir)
+    again = views.shipment_bars(spark, sf_dir).filter(F.year("datetime").isin(1995, 1996)).withColumn("volume", F.col("volume") * 2)
+    sources.write_layer(sources.with_year_month(again), f"{base}/silver", replace="months")
+    silver = spark.read.parquet(f"{base}/silver")
+    return silver.select("symbol", _text("datetime").alias("datetime"), *PRICES, "year", "month")
+
+
 def medallion_gold(spark, sf_dir):
     base = _staged_silver(spark, sf_dir)
     gold = plans.silver_to_gold(spark, f"{base}/silver", f"{base}/gold")
     return gold.select("symbol", _text("datetime").alias("datetime"), "close", *_single("sma200", "ema50", "rsi14"),
-                       *_round("macd_line", "signal_line", "macd_histogram", digits=3), "year", "month")
+                       *_round("macd_line", "signal_line", "macd_histogram", digits=4), "year", "month")
 
 
 def month_partitions(spark, sf_dir):
@@ -343,6 +422,34 @@ def records_stream(spark, sf_dir):
     return _record_values(plans.latest_records(spark.read.parquet(f"{base}/table")))
 
 
+def records_compacted(spark, sf_dir):
+    """Quotes and windows stored twice, compacted twice: one row per record is left."""
+    base = scratch_path(spark, "compacted")
+    records = plans.topics_to_records(spark.read.parquet(_staged_topics(spark, sf_dir)), TICK_TOPIC, VWAP_TOPIC)
+    for _ in range(2):
+        records.write.mode("append").partitionBy("table", "date").parquet(base)
+    for _ in range(2):
+        plans.compact_records(spark, base, F.col("date") < F.current_date())
+    return _record_values(spark.read.parquet(base))
+
+
+def vwap_late_restart(spark, sf_dir):
+    """The stream stops after the first days and goes on from its checkpoint with the rest, which holds some of the first
+    days' ticks once more: they are late and change nothing."""
+    base, ticks = scratch_path(spark, "late"), views.ticks(spark, sf_dir)
+    messages = views.tick_messages(ticks)
+    split = F.lit("2024-01-10").cast("timestamp")
+    late = messages.filter((F.col("timestamp") < F.lit("2024-01-05").cast("timestamp")) & (F.col("offset") % 3 == 0))
+    parts = [messages.filter(F.col("timestamp") < split), messages.filter(F.col("timestamp") >= split).unionByName(late)]
+    for part in parts:
+        part.write.mode("append").parquet(f"{base}/topic")
+        stream = spark.readStream.schema(schemas.KAFKA_RECORD).parquet(f"{base}/topic")
+        streaming.run(streaming.versioned_writer(plans.tick_topic_to_windows(stream), f"{base}/table", f"{base}/checkpoint"),
+                      available_now=True)
+    rows = streaming.read_versioned(spark, f"{base}/table", ["window_start", "window_end", "symbol"])
+    return rows.select("window_start", "window_end", "symbol", *_single("vwap"))
+
+
 # Scalar functions
 
 def scalar_functions(spark, sf_dir):
@@ -364,13 +471,13 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         vwap_5m, vwap_encode, empty_windows, vwap_5m_stream_update, vwap_5m_stream_append,
-        tick_decode, tick_filter, tick_rejects, kafka_preview, candle_to_tick, candle_topic_to_ticks, candle_preview,
+        tick_decode, tick_filter, tick_rejects, candle_rejects, candles_many_symbols, chart_rejects, kafka_preview, candle_to_tick, candle_topic_to_ticks, candle_preview,
         chart_parse, chart_messages, symbol_format, time_range,
-        sma_200, ema_50, price_change, gain_loss, rsi_14, macd, gold, indicator_chain, one_series,
+        sma_200, sma_min_periods, gold_guard, ema_50, price_change, gain_loss, rsi_14, macd, gold, indicator_chain, one_series,
         resample_1h_to_1d, latest_bars_10, latest_bars_1516, history,
-        medallion_silver, medallion_gold, month_partitions, catalog_table, bronze_from_charts,
+        medallion_silver, bars_range, medallion_replace_months, medallion_gold, month_partitions, catalog_table, bronze_from_charts,
         wide_tick_records, wide_vwap_records, narrow_records, latest_version, topics_to_records, rejected_messages,
-        records_stream, scalar_functions,
+        records_stream, records_compacted, vwap_late_restart, scalar_functions,
     )
 }
 QUERIES.update({f"ohlcv_{interval.lower() if interval != '1M' else '1mo'}": _ohlcv(interval)

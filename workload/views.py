@@ -50,28 +50,30 @@ def shipment_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks_to_bars(lines, "1D", tie="close")
 
 
-def _kafka(df: DataFrame, topic: str, offset: Column, time: Column) -> DataFrame:
+def kafka_records(df: DataFrame, topic: str, offset: Column, time: Column) -> DataFrame:
+    """Rows of ``key`` and ``value`` as the Kafka source delivers them."""
     return df.select(
         F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
         F.lit(topic).alias("topic"), F.lit(0).alias("partition"), offset.alias("offset"), time.alias("timestamp"))
 
 
-def tick_messages(ticks: DataFrame, close: Column | None = None, volume: Column | None = None) -> DataFrame:
-    """One tick message per tick, as the Kafka source delivers it. ``close`` and ``volume``: other text to send."""
+def tick_messages(ticks: DataFrame, close: Column | None = None, volume: Column | None = None,
+                  time: Column | None = None) -> DataFrame:
+    """One tick message per tick, as the Kafka source delivers it. ``close``, ``volume``, ``time``: other text to send."""
     message = F.struct(
         F.col("symbol").alias("symbol"),
-        epoch_ms_to_iso(F.unix_millis("event_time")).alias("@timestamp"),
+        F.coalesce(F.lit(None) if time is None else time, epoch_ms_to_iso(F.unix_millis("event_time"))).alias("@timestamp"),
         (F.col("close").cast("string") if close is None else close).alias("close"),
         (F.col("volume").cast("string") if volume is None else volume).alias("volume"),
     )
-    return _kafka(ticks.select(F.col("symbol").alias("key"), F.to_json(message).alias("value"), "event_id", "event_time"),
+    return kafka_records(ticks.select(F.col("symbol").alias("key"), F.to_json(message).alias("value"), "event_id", "event_time"),
                   TICK_TOPIC, F.col("event_id"), F.col("event_time"))
 
 
 def vwap_messages(rows: DataFrame) -> DataFrame:
     """One VWAP message per window and symbol."""
     encoded = encode_json(rows, "symbol", schemas.VWAP.fieldNames())
-    return _kafka(encoded, VWAP_TOPIC, F.lit(0).cast("long"), F.lit(None).cast("timestamp"))
+    return kafka_records(encoded, VWAP_TOPIC, F.lit(0).cast("long"), F.lit(None).cast("timestamp"))
 
 
 def candle_messages(ticks: DataFrame) -> DataFrame:
