@@ -30,6 +30,8 @@ TRAIN_DOCUMENTS = 4_000
 BUCKETS = 1 << 16
 DIMENSION = 16
 EPOCHS = 6
+#: A small sample is gone through more often, until so many steps are made.
+LEAST_STEPS = 1_000
 BATCH = 16
 RATE = 4.0
 SEED = 7
@@ -128,8 +130,9 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = SEED) -> Mod
     table_ = rng.uniform(-1 / DIMENSION, 1 / DIMENSION, (BUCKETS, DIMENSION)).astype(np.float32)
     out = np.zeros((DIMENSION, len(languages)), dtype=np.float32)
     bias = np.zeros(len(languages), dtype=np.float32)
-    steps, step = EPOCHS * math.ceil(len(learn) / BATCH), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, math.ceil(LEAST_STEPS / math.ceil(len(learn) / BATCH)))
+    steps, step = epochs * math.ceil(len(learn) / BATCH), 0
+    for _ in range(epochs):
         rng.shuffle(learn)
         for at in range(0, len(learn), BATCH):
             rate = np.float32(RATE * (1 - step / steps))
