@@ -22,7 +22,9 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    """All but those of the corpus operators that SQL cannot express; they are tested beside the operators."""
+    without = set(contract.queries()) - set(contract.oracle_sql())
+    assert without <= set(contract.LLM_QUERIES) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
@@ -30,7 +32,7 @@ def test_entry(spark):
     assert frame.count() == 1000 and "macd_histogram" in frame.columns
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_equals_sql(spark, db, name):
     frame = contract.queries()[name](spark, os.fspath(TABLES))
     result = db.execute(contract.oracle_sql()[name])
