@@ -9,7 +9,7 @@ boilerplate of its host if the host's documents with it, counted by distinct tex
 removed except from the document with the smallest id that has them (so no text is lost altogether), and a document is rejected
 if fewer than ``MIN_WORDS`` words or less than ``MIN_LEFT`` of its words remain.
 
-One Python pass over the texts writes the statistics and line hashes; the counting is grouped by line with partial sums, and
+One Python pass over the texts writes the statistics and each line's hash; the counting is grouped by line with partial sums, and
 its result holds only lines above the limit. Null text has no words and fails; a null host is a host of its own; repeated rows
 are judged alike; an empty table gives no rows; extra columns are kept by ``clean`` and may have any name but the marked ones
 (``_cw_`` in front).
@@ -65,26 +65,26 @@ def line_hash(line: bytes) -> int:
 
 
 def statistics(text: bytes | None) -> tuple:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, then hash and word count of each distinct line."""
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, then hash, word count and number of each line with a word."""
     text = text or b""
     words = text.split()
-    seen, repeated, lines = set(), 0, Counter()
-    for line in text.split(b"\n"):
+    seen, repeated, lines = set(), 0, []
+    for number, line in enumerate(text.split(b"\n")):
         count = len(line.split())
         if count:
             repeated += line in seen
             seen.add(line)
-            lines[line_hash(line)] += count
+            lines.append((line_hash(line), count, number))
     return (len(words), characters(b"".join(words)), len(text.translate(None, _NOT_SYMBOLS)), repeated, repeated_words(words),
-            list(lines), list(lines.values()))
+            *([line[i] for line in lines] for i in range(3)))
 
 
 _STATISTICS = ("id long, host string, text_key binary, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-               "n_repeat_words long, lines array<long>, line_words array<long>")
+               "n_repeat_words long, lines array<long>, line_words array<int>, line_at array<int>")
 _ARROW = pa.schema([
     ("id", pa.int64()), ("host", pa.string()), ("text_key", pa.binary()), ("n_words", pa.int64()), ("word_chars", pa.int64()),
     ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()), ("lines", pa.list_(pa.int64())),
-    ("line_words", pa.list_(pa.int64()))])
+    ("line_words", pa.list_(pa.int32())), ("line_at", pa.list_(pa.int32()))])
 
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,8 +102,9 @@ def _judged(docs: DataFrame, id_column: str, host: str, text: str) -> tuple[Data
                        text_key(text).alias("text_key"), utf8(text).alias("text"))
     rows = staged(slim.mapInArrow(_measured, _STATISTICS).withColumn("row", F.monotonically_increasing_id()), "quality")
     host_texts = rows.groupBy("host").agg(F.countDistinct("text_key").alias("host_texts"))
-    lines = rows.select("row", "id", "host", "text_key", F.explode(F.arrays_zip("lines", "line_words")).alias("l")) \
-        .select("row", "id", "host", "text_key", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
+    lines = rows.select("row", "id", "host", "text_key", F.explode(F.arrays_zip("lines", "line_words", "line_at")).alias("l")) \
+        .select("row", "id", "host", "text_key", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"),
+                F.col("l.line_at").alias("at"))
     one_per_text = lines.groupBy("host", "line", "text_key").agg(F.min("id").alias("id"))
     frequent = one_per_text.groupBy("host", "line").agg(
         F.count("*").alias("texts"), F.min(F.struct("id", "text_key")).alias("first")).where(F.col("texts") > MIN_DOCUMENTS)
@@ -115,10 +116,10 @@ def _judged(docs: DataFrame, id_column: str, host: str, text: str) -> tuple[Data
     lost = lines.join(side, lines["host"].eqNullSafe(side["host"]) & (lines["line"] == side["line"])
                       & (lines["text_key"] != side["keeper"])) \
         .groupBy("row").agg(F.sum("words").alias("words_lost"), F.count("*").cast("long").alias("lines_lost"),
-                            F.collect_set(lines["line"]).alias("gone"))
+                            F.collect_list("at").alias("gone"))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED)
     left = F.col("n_words") - F.coalesce("words_lost", F.lit(0))
-    judged = rows.drop("lines", "line_words").join(lost, "row", "left").withColumns({
+    judged = rows.drop("lines", "line_words", "line_at").join(lost, "row", "left").withColumns({
         "words_left": left, "lines_lost": F.coalesce("lines_lost", F.lit(0)), "base_failed": failed,
         "kept": ~failed & (left >= MIN_WORDS) & (left >= F.col("n_words") * MIN_LEFT)})
     return judged, frequent
@@ -131,18 +132,6 @@ def quality(docs: DataFrame, id_column: str = "doc_id", host: str = "source", te
                          "base_failed", "kept", "lines_lost", "words_left")
 
 
-def _without(text: bytes, gone: set[int]) -> bytes:
-    return b"\n".join(line for line in text.split(b"\n") if not line.split() or line_hash(line) not in gone)
-
-
-def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts, gone = columns_of(batch, "_cw_text", "_cw_gone")
-        cleaned = [text if text is None or not lines else _without(text, set(lines)) for text, lines in zip(texts, gone)]
-        at = batch.schema.get_field_index("_cw_text")
-        yield batch.set_column(at, batch.schema.field(at), pa.array(cleaned, batch.schema.field(at).type))
-
-
 def clean(docs: DataFrame, id_column: str = "doc_id", host: str = "source", text: str = "text",
           n_chars: str = "n_chars") -> DataFrame:
     """The kept documents without boilerplate lines, all columns of ``docs``; ``n_chars`` follows where lines went."""
@@ -151,18 +140,16 @@ def clean(docs: DataFrame, id_column: str = "doc_id", host: str = "source", text
         F.first("kept").alias("_cw_kept"), F.first("gone", ignorenulls=True).alias("_cw_gone")) \
         .where(~F.col("_cw_kept") | F.col("_cw_gone").isNotNull()) \
         .select(F.col("host").alias("_cw_host"), F.col("text_key").alias("_cw_key"), "_cw_kept", "_cw_gone")
-    marked = docs.withColumns({"_cw_own": text_key(text), "_cw_own_host": F.col(host).cast("string"), "_cw_text": utf8(text)})
+    marked = docs.withColumns({"_cw_own": text_key(text), "_cw_own_host": F.col(host).cast("string")})
     kept = marked.join(per_text, (F.col("_cw_own") == F.col("_cw_key")) & F.col("_cw_own_host").eqNullSafe(F.col("_cw_host")),
-                       "left").where(F.coalesce("_cw_kept", F.lit(True))) \
-        .drop("_cw_own", "_cw_own_host", "_cw_key", "_cw_host", "_cw_kept", text)
-    changed = F.size(F.coalesce("_cw_gone", F.array())) > 0
-    done = kept.withColumn("_cw_changed", changed).mapInArrow(_cleaned, kept.withColumn("_cw_changed", changed).schema)
-    new = F.col("_cw_text").cast("string")
+                       "left").where(F.coalesce("_cw_kept", F.lit(True)))
+    left = F.filter(F.split(F.col(f"`{text}`"), "\n", -1), lambda line, at: ~F.array_contains("_cw_gone", at))
+    new = F.when(F.col("_cw_gone").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(left, "\n"))
     out = {c: F.col(f"`{c}`") for c in docs.columns}
-    out[text] = new.cast(docs.schema[text].dataType)
+    out[text] = new
     if n_chars in out:
-        out[n_chars] = F.when(F.col("_cw_changed"), F.length(new)).otherwise(F.col(n_chars)).cast(docs.schema[n_chars].dataType)
-    return done.select(*(value.alias(name) for name, value in out.items()))
+        out[n_chars] = F.when(F.col("_cw_gone").isNull(), F.col(n_chars)).otherwise(F.length(new)).cast(docs.schema[n_chars].dataType)
+    return kept.select(*(value.alias(name) for name, value in out.items()))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
