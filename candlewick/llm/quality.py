@@ -154,3 +154,38 @@ def clean(docs: DataFrame, id_column: str = "doc_id", host: str = "source", text
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
+
+
+_WORD = r"[^\x20\x09-\x0D]+"
+ORACLE = f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i
+          FROM (SELECT doc_id, regexp_extract_all(text, '{_WORD}') AS w FROM d)),
+grams AS (SELECT *, lead(word, 1) OVER o AS b, lead(word, 2) OVER o AS c, lead(word, 3) OVER o AS e, lead(word, 4) OVER o AS f
+          FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+twice AS (SELECT *, f IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, word, b, c, e, f) > 1 AS again FROM grams),
+marked AS (SELECT doc_id, word, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS 4 PRECEDING) AS hit FROM twice),
+by_words AS (SELECT doc_id, count(*) AS n_words, sum(length(word)) AS word_chars, count_if(hit) AS n_repeat_words FROM marked GROUP BY 1),
+lines AS (SELECT *, len(regexp_extract_all(line, '{_WORD}')) AS n,
+                 trim(regexp_replace(translate(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '123456789',
+                                               '000000000'), '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') AS norm
+          FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM d)
+          WHERE regexp_matches(line, '{_WORD}')),
+by_lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY 1),
+hosts AS (SELECT source, count(DISTINCT text) AS texts FROM d GROUP BY 1),
+frequent AS (SELECT l.source, norm, arg_min(l.text, doc_id) AS keeper FROM lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
+             GROUP BY l.source, norm, h.texts
+             HAVING count(DISTINCT l.text) > {MIN_DOCUMENTS} AND count(DISTINCT l.text) > {MAX_SHARE} * h.texts),
+lost AS (SELECT doc_id, sum(n) AS words_lost, count(*) AS lines_lost FROM lines l JOIN frequent f
+         ON l.source IS NOT DISTINCT FROM f.source AND l.norm = f.norm AND l.text <> f.keeper GROUP BY 1),
+joined AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+                  length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+                  coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(lines_lost, 0) AS lines_lost,
+                  coalesce(n_words, 0) - coalesce(words_lost, 0) AS words_left
+           FROM d LEFT JOIN by_words USING (doc_id) LEFT JOIN by_lines USING (doc_id) LEFT JOIN lost USING (doc_id)),
+failed AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words AS base_failed FROM joined)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND words_left >= {MIN_WORDS} AND words_left >= {MIN_LEFT} * n_words AS kept,
+       CAST(lines_lost AS BIGINT) AS lines_lost, CAST(words_left AS BIGINT) AS words_left
+FROM failed"""

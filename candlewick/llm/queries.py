@@ -18,4 +18,5 @@ QUERIES = {
 }
 ORACLES = {
     "op3_url_filters": urls.ORACLE,
+    "op6_quality_rules": quality.ORACLE,
 }
