@@ -202,13 +202,14 @@ _PREDICTED = pa.schema([("id", pa.int64()), ("lang_pred", pa.string()), ("score"
 
 def identify(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Language, calibrated score and acceptance of every text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model and model.__dict__)
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value and Model(**shared.value)
         for batch in batches:
             ids, texts = batch.column(batch.schema.get_field_index("id")), columns_of(batch, "text")[0]
             for begin, end in chunks([t or b"" for t in texts], 1 << 20):
-                yield batch_of(_PREDICTED, [ids.slice(begin, end - begin), *predict(shared.value, texts[begin:end])])
+                yield batch_of(_PREDICTED, [ids.slice(begin, end - begin), *predict(model, texts[begin:end])])
 
     slim = docs.select(F.col(id_column).cast("long").alias("id"), utf8(text).alias("text"))
     return slim.mapInArrow(predicted, "id long, lang_pred string, score double, accepted boolean") \

@@ -259,10 +259,10 @@ _SCORED = pa.schema([("score", pa.float64()), ("passages", pa.list_(pa.struct([
 
 def score_texts(df: DataFrame, model: Model, keep: list[str], text: str = "_cw_text") -> DataFrame:
     """The columns ``keep`` with ``_cw_score`` and ``_cw_passages``; ``text``: bytes."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(model.__dict__)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(**shared.value)
         scores = Scores(model.scores)
         for batch in batches:
             (texts,) = columns_of(batch, text)
