@@ -42,6 +42,8 @@ CROWD = 64
 BLOCK = 2048
 #: A probe costs as much as this many comparisons.
 PROBE_COST = 2
+#: A comparison within a crowd costs this share of another: it emits no pair.
+CROWD_COST = 0.1
 
 
 def shingle_hashes(text: bytes | None) -> np.ndarray:
@@ -134,8 +136,8 @@ def part_values(bits: np.ndarray, part: list[int]) -> np.ndarray:
 
 
 def near_counts(histogram: np.ndarray, width: int, most: int) -> list[np.ndarray]:
-    """For t = 0..most: how many fingerprints have a part value within t bits of each value."""
-    at = [histogram.astype(np.int64)] + [np.zeros_like(histogram, dtype=np.int64) for _ in range(most)]
+    """For t = 0..most: how many fingerprints have a part value within t bits of each value (or the sum of their weights)."""
+    at = [histogram.astype(np.float64)] + [np.zeros(len(histogram)) for _ in range(most)]
     for bit in range(width):
         turned = [x.reshape(-1, 2, 1 << bit)[:, ::-1].reshape(-1) for x in at[:-1]]
         for k in range(most, 0, -1):
@@ -208,7 +210,7 @@ def make_plan(fps: DataFrame, n: int) -> Plan:
         histograms[i][rows["value"].to_numpy()] = rows["n"].to_numpy()
     costs = []
     for part, histogram in zip(dealt, histograms):
-        near = near_counts(histogram, len(part), most)
+        near = near_counts(np.where(histogram > CROWD, histogram * CROWD_COST, histogram), len(part), most)
         costs.append([(c + PROBE_COST * len(variants(len(part), t))).astype(np.float32) for t, c in enumerate(near)])
     return Plan(dealt, histograms, costs, most)
 
