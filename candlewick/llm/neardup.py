@@ -327,10 +327,11 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     """One document of each component, the one with the smallest id (of repeated rows, one), with all columns."""
     marked = staged(with_fingerprint(docs, text).withColumn("_cw_row", F.monotonically_increasing_id()), "marked")
     slim = marked.select(F.col(f"`{id_column}`").alias("id"), "_cw_fp", "_cw_row")
+    # Each step keys by fingerprint with partial sums, by distinct fingerprint or by row, so a group of copies meets in no task.
     place = F.struct(F.col("id").isNull().alias("none"), "id", "_cw_row")
-    grouped = slim.join(components(slim, "id"), "_cw_fp").select("root", place.alias("place"))
-    first = grouped.groupBy("root").agg(F.min("place").alias("first"))
-    others = grouped.join(first, "root").where(F.col("place") != F.col("first")).select(F.col("place._cw_row").alias("_cw_other"))
+    first_of_fp = slim.groupBy("_cw_fp").agg(F.min(place).alias("place"))
+    first = first_of_fp.join(components(slim, "id"), "_cw_fp").groupBy("root").agg(F.min("place").alias("place"))
+    others = slim.select("_cw_row").join(first.select("place._cw_row"), "_cw_row", "left_anti").withColumnRenamed("_cw_row", "_cw_other")
     return marked.join(staged(others, "copies"), F.col("_cw_row") == F.col("_cw_other"), "left_anti").select(
         *(F.col(f"`{c}`") for c in docs.columns))
 
