@@ -144,8 +144,7 @@ def _merge_long(v: Vocabulary, start: np.ndarray, key: np.uint64, dropout: float
 
 def merge_units(v: Vocabulary, units: list[str], variants: np.ndarray, seed: int = SEED, dropout: float = DROPOUT
                 ) -> tuple[np.ndarray, np.ndarray]:
-    """Piece ids of all units (spaces already marked) in a row, and how many each has. Mark characters of the text are U+0000-escaped
-    by the caller."""
+    """Piece ids of all units (spaces already marked, marks of the text escaped) in a row, and how many each has."""
     sizes = np.array([len(u) for u in units], dtype=np.int64)
     points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
     keys = unit_keys(points, sizes, variants, seed)
