@@ -29,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from candlewick.llm import similar
 from candlewick.llm.common import batch_of, chunks, staged, table
 from candlewick.llm.components import connected_components
 
@@ -306,10 +307,11 @@ def links(fps: DataFrame) -> DataFrame:
     return met.unionByName(crowded_links(rows)).distinct()
 
 
-def components(marked: DataFrame, id_column: str, fp: str = "_cw_fp") -> DataFrame:
-    """(fp, root, component_id) of every distinct fingerprint in ``marked``; the root tells components apart."""
+def components(marked: DataFrame, id_column: str, fp: str = "_cw_fp", linked: DataFrame | None = None) -> DataFrame:
+    """(fp, root, component_id) of every distinct fingerprint in ``marked``; the root tells components apart. ``linked``: pairs (u, v)
+    in place of those within DISTANCE bits."""
     fps = staged(marked.groupBy(F.col(fp).alias("fp")).agg(F.min(id_column).alias("least")), "fingerprints")
-    roots = staged(connected_components(links(fps)), "roots")
+    roots = staged(connected_components(links(fps) if linked is None else linked), "roots")
     rooted = fps.join(roots, fps["fp"] == roots["u"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return rooted.join(smallest, "root").select(F.col("fp").alias(fp), "root", "component_id")
@@ -323,14 +325,22 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         F.col("id").alias(id_column), F.lower(F.lpad(F.hex("_cw_fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component, the one with the smallest id (of repeated rows, one), with all columns."""
-    marked = staged(with_fingerprint(docs, text).withColumn("_cw_row", F.monotonically_increasing_id()), "marked")
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+             similarity: float | None = None) -> DataFrame:
+    """One document of each component, the one with the smallest id (of repeated rows, one), with all columns.
+
+    With ``similarity``, texts are linked from that Jaccard similarity of their ``shingle``-word sets on, in place of fingerprints.
+    """
+    if similarity is None and shingle != SHINGLE:
+        raise ValueError("fingerprints have shingles of three words")
+    found = with_fingerprint(docs, text) if similarity is None else similar.with_set(docs, shingle, text)
+    marked = staged(found.withColumn("_cw_row", F.monotonically_increasing_id()), "marked")
+    linked = None if similarity is None else similar.links(marked, shingle, similarity, text)
     slim = marked.select(F.col(f"`{id_column}`").alias("id"), "_cw_fp", "_cw_row")
     # Each step keys by fingerprint with partial sums, by distinct fingerprint or by row, so a group of copies meets in no task.
     place = F.struct(F.col("id").isNull().alias("none"), "id", "_cw_row")
     first_of_fp = slim.groupBy("_cw_fp").agg(F.min(place).alias("place"))
-    first = first_of_fp.join(components(slim, "id"), "_cw_fp").groupBy("root").agg(F.min("place").alias("place"))
+    first = first_of_fp.join(components(slim, "id", linked=linked), "_cw_fp").groupBy("root").agg(F.min("place").alias("place"))
     others = slim.select("_cw_row").join(first.select("place._cw_row"), "_cw_row", "left_anti").withColumnRenamed("_cw_row", "_cw_other")
     return marked.join(staged(others, "copies"), F.col("_cw_row") == F.col("_cw_other"), "left_anti").select(
         *(F.col(f"`{c}`") for c in docs.columns))
