@@ -27,6 +27,7 @@ from candlewick.llm.common import batch_of, table, utf8
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)", re.S)
+_UNQUOTED = re.compile(r"=\s*+[^\s\"'>]++\Z")
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))", re.S)
 
 #: Fixed values of HTML: elements by what they mean here.
@@ -34,6 +35,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset(("a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp small span strike "
                     "strong sub sup time tt u var wbr img label").split())
 RAW = frozenset("script style noscript template iframe object svg math canvas audio video noembed noframes xmp".split())
+#: Of these, the ones that "/>" closes; a "/" in an unquoted value does not.
+FOREIGN = frozenset(("svg", "math"))
 HIDDEN = RAW | frozenset("head select option datalist button textarea".split())
 CLOSES_P = frozenset(("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
                       "h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul").split())
@@ -169,6 +172,8 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
         k = len(elements)
         elements.append(Element(tag, stack[-1], up.depth + 1, up.weight + own, k if apart else up.border,
                                 up.content or tag in ("article", "main"), up.hidden or hidden))
+        if tag in FOREIGN and m[3].endswith("/") and not _UNQUOTED.search(m[3]):
+            continue
         if tag in RAW:  # its content is no markup
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>|\Z", re.I).search(page, at)
             at = end.end()

@@ -80,3 +80,11 @@ def test_articles_of_the_tables(spark):
         inner = re.search(r"<article>(.*)</article>", r["html"], re.S)[1]
         parts = (" ".join(html.unescape(p).split()) for p in re.split(r"<[^>]+>", re.sub("</?b>", "", inner)))
         assert r["text"] == " ".join(p for p in parts if p)
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>before</p><svg class='icon' viewBox=\"0 0 9 9\"/><p>after</p></article>", "before after"),
+    ("<article><p>one <math/> two <svg /> three</p><svg><path d='x'/>no</svg><p>four</p></article>", "one two three four"),
+    ("<article><p>a</p><svg href=x/>no</svg><p>b</p></article>", "a b"), ("<article><p>a</p><script src='x'/>no</script><p>b</p>", "a b")])
+def test_self_closed_svg_and_math_swallow_no_text(page, text):
+    assert X.main_text(page.encode())[0] == text
