@@ -11,7 +11,8 @@ document (by slot type). A re-parameterised question passes, an accidental match
 
 A document is contaminated by an item if its consistent alignments cover at least ``COVERAGE`` of the item's tokens. Items of
 fewer than ``WINDOW`` tokens, or whose windows are nearly all slots (fewer than ``LITERALS`` literal words), cannot be found.
-Equal items count as one, named by the smallest item_id. Null texts have no windows; repeated rows are judged alike.
+Equal items count as one, named by the smallest item_id; different texts with one item_id are items of their own, and one without
+item_id contaminates without being named. Null texts have no windows; repeated rows are judged alike.
 """
 
 from __future__ import annotations
@@ -181,11 +182,12 @@ def _windows(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray | None) -> It
 
 
 def item_windows(benchmark: DataFrame, id_column: str = "item_id", text: str = "text") -> DataFrame:
-    """Windows of the distinct items (item, hash, pos, template, slots), staged."""
+    """Windows of the distinct items (item_key, item, hash, pos, template, slots), staged; ``item_key`` is the item's ``text_key`` and
+    tells items apart, as ids may be null or shared."""
     items = benchmark.where(F.col(text).isNotNull()).groupBy(text_key(text).alias("key")).agg(
         F.min(id_column).alias("item"), F.first(utf8(text)).alias("text"))
     found = items.select("key", "text").mapInArrow(lambda batches: _windows(batches, None), _WINDOW_ROWS)
-    return staged(found.join(items.select("key", "item"), "key"), "items")
+    return staged(found.join(items.select("key", "item"), "key").withColumnRenamed("key", "item_key"), "items")
 
 
 def bitmap_of(items: DataFrame) -> np.ndarray:
@@ -198,25 +200,25 @@ def bitmap_of(items: DataFrame) -> np.ndarray:
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """(key, item, covered): which items each distinct text holds; ``key`` is its ``text_key``."""
+    """(key, item_key, item, covered): which items each distinct text holds; ``key`` is its ``text_key``."""
     items = item_windows(benchmark)
     shared = docs.sparkSession.sparkContext.broadcast(bitmap_of(items))
     slim = docs.select(text_key(text).alias("key"), utf8(text).alias("text"))
     near = slim.mapInArrow(lambda batches: _windows(batches, shared.value), _WINDOW_ROWS).dropDuplicates(["key", "pos"])
-    one = items.select("item", "hash", "template", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
+    one = items.select("item_key", "hash", "template", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
     met = near.drop("size").join(one, ["hash", "template"]).withColumn("distance", F.col("pos") - F.col("item_pos"))
-    met = staged(met.select("key", "item", "distance", "item_pos", "item_slots", "slots"), "matches")
+    met = staged(met.select("key", "item_key", "distance", "item_pos", "item_slots", "slots"), "matches")
     # Within an alignment each value of the item stands for one value of the document.
-    pairs = met.select("key", "item", "distance", F.explode(F.arrays_zip("item_slots", "slots")).alias("p")) \
-        .groupBy("key", "item", "distance", F.col("p.item_slots").alias("of")).agg(
-            (F.min("p.slots") != F.max("p.slots")).alias("torn")).where("torn").select("key", "item", "distance").distinct()
-    sound = met.join(pairs, ["key", "item", "distance"], "left_anti")
-    covered = sound.select("key", "item", F.explode(F.sequence("item_pos", F.col("item_pos") + (WINDOW - 1))).alias("place")) \
-        .groupBy("key", "item").agg(F.countDistinct("place").alias("covered"))
-    sizes = items.select("item", F.explode(F.sequence("pos", F.col("pos") + (WINDOW - 1))).alias("place")) \
-        .groupBy("item").agg(F.countDistinct("place").alias("size"))
-    return covered.join(sizes, "item").where(F.col("covered") >= F.col("size") * COVERAGE) \
-        .select("key", "item", (F.col("covered") / F.col("size")).alias("covered"))
+    pairs = met.select("key", "item_key", "distance", F.explode(F.arrays_zip("item_slots", "slots")).alias("p")) \
+        .groupBy("key", "item_key", "distance", F.col("p.item_slots").alias("of")).agg(
+            (F.min("p.slots") != F.max("p.slots")).alias("torn")).where("torn").select("key", "item_key", "distance").distinct()
+    sound = met.join(pairs, ["key", "item_key", "distance"], "left_anti")
+    covered = sound.select("key", "item_key", F.explode(F.sequence("item_pos", F.col("item_pos") + (WINDOW - 1))).alias("place")) \
+        .groupBy("key", "item_key").agg(F.countDistinct("place").alias("covered"))
+    sizes = items.select("item_key", "item", F.explode(F.sequence("pos", F.col("pos") + (WINDOW - 1))).alias("place")) \
+        .groupBy("item_key").agg(F.countDistinct("place").alias("size"), F.first("item").alias("item"))
+    return covered.join(sizes, "item_key").where(F.col("covered") >= F.col("size") * COVERAGE) \
+        .select("key", "item_key", "item", (F.col("covered") / F.col("size")).alias("covered"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -225,7 +227,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
         F.sort_array(F.collect_set("item")).alias("items"), F.max("covered").alias("covered"))
     slim = docs.select(F.col(id_column).alias(id_column), text_key(text).alias("key"))
     return slim.join(found, "key", "left").select(
-        id_column, F.col("items").isNotNull().alias("contaminated"),
+        id_column, F.col("covered").isNotNull().alias("contaminated"),
         F.coalesce("items", F.array().cast("array<long>")).alias("items"), F.coalesce("covered", F.lit(0.0)).alias("covered"))
 
 

@@ -128,3 +128,15 @@ def test_awkward_documents(spark, awkward, nothing, some):
     assert hit == ([4, 4, 5] if some == "both" else [])
     left = D.drop_contaminated(docs, bench)
     assert left.columns == docs.columns and left.count() == len(rows) - len(hit)
+
+
+def test_items_without_id_and_with_one_id_are_told_apart(spark):
+    """A null id joins nothing, and two texts of one id must not share a size or an alignment."""
+    short = "Every winter the two old sailors repaired their wooden boat beside the frozen harbour wall alone"
+    long = " ".join(f"part{c} of the {c}{c} story goes on" for c in "abcdefghijk")
+    docs = [(1, "So. " + ITEMS[1][1]), (2, "Then. " + short), (3, "And. " + long), (4, "nothing of the kind is in here at all")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(None, ITEMS[1][1]), (0, short), (0, long)], "item_id long, text string")
+    got = {r["doc_id"]: (r["contaminated"], r["items"], r["covered"]) for r in D.contaminated(df, bench).collect()}
+    assert got == {1: (True, [], 1.0), 2: (True, [0], 1.0), 3: (True, [0], 1.0), 4: (False, [], 0.0)}
+    assert [r["doc_id"] for r in D.drop_contaminated(df, bench).collect()] == [4]
