@@ -9,25 +9,41 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from candlewick.session import scratch_path
 
+#: Most rows of a lookup table that are broadcast.
+BROADCAST_ROWS = 200_000
+
 #: Folders written by ``staged`` and not yet released.
 _STAGED: list[str] = []
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: a cut of lineage that survives lost executors."""
+def stage(df: DataFrame, name: str, *parted_by: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once to the shared folder and read it back: a cut of lineage that survives lost executors. Also gives the path.
+    With ``parted_by`` there is a folder for each value of these columns, of which a filter reads only what it needs."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*parted_by).parquet(path)
     _STAGED.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def staged(df: DataFrame, name: str, *parted_by: str) -> DataFrame:
+    return stage(df, name, *parted_by)[0]
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:
     """Delete all staged tables; call it when the results that read them have been written."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     while _STAGED:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, _STAGED.pop())
+
+
+def release_path(spark: SparkSession, path: str) -> None:
+    """Delete one staged table that nothing will read again."""
+    _STAGED.remove(path)
+    _delete(spark, path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +55,20 @@ def remainder(doc_id: str, n: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % F.lit(n), F.lit(-1))
 
 
+def joined_by_weight(rows: DataFrame, lookup: DataFrame, on: list[str], weight: str) -> DataFrame:
+    """Inner join of ``rows`` with ``lookup``, a staged table that holds each key once and in ``weight`` how many of ``rows`` have it.
+
+    A lookup table of at most ``BROADCAST_ROWS`` rows is broadcast. Of a larger one only the keys with more than that part of all
+    rows are, of which there are fewer than ``BROADCAST_ROWS``; the rest, in which no key is hot, is joined by shuffle.
+    """
+    size, total = lookup.agg(F.count("*"), F.sum(F.col(weight).cast("decimal(38,0)"))).first()
+    if size <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(lookup.drop(weight)), on)
+    hot = F.col(weight) > int(total) // BROADCAST_ROWS
+    common, rest = F.broadcast(lookup.where(hot).drop(weight)), lookup.where(~hot).drop(weight)
+    return rows.join(common, on).unionByName(rows.join(common.select(*on), on, "left_anti").join(rest, on))
+
+
 def utf8(text: str = "text") -> Column:
     """The text as bytes, so that Python gets it without decoding."""
     return F.col(text).cast("binary")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from candlewick.llm import decontaminate, extract, language, neardup, pieces, quality, shards, suffixtree, toxicity, urls
+from candlewick.llm import (
+    decontaminate, extract, language, linededup, neardup, phrases, pieces, quality, shards, suffixtree, toxicity, urls, vectorcodes,
+)
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
@@ -15,8 +17,14 @@ QUERIES = {
     "op8_html_extraction": extract.op8_html_extraction,
     "op9_hilbert_shards": shards.op9_hilbert_shards,
     "op10_simhash_neardup": neardup.op10_simhash_neardup,
+    "op11_line_dedup": linededup.op11_line_dedup,
+    "op12_phrase_collocations": phrases.op12_phrase_collocations,
+    "op13_vector_codes": vectorcodes.op13_vector_codes,
 }
 ORACLES = {
     "op3_url_filters": urls.ORACLE,
     "op6_quality_rules": quality.ORACLE,
+    "op11_line_dedup": linededup.ORACLE,
+    "op12_phrase_collocations": phrases.ORACLE,
+    "op13_vector_codes": vectorcodes.ORACLE,
 }

@@ -43,7 +43,7 @@ def test_stages_on_awkward_and_no_documents(spark, awkward, nothing):
 
 def test_queries_and_folds(spark, documents):
     folds = {"op1_language_id": (3, 1), "op5_toxicity": (5, 0), "op7_lm_scoring": (7, 2)}
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     for name, (n, held) in folds.items():
         rows = queries.QUERIES[name](spark, "/root/testdata/sf0.001").select("doc_id", "held_out").collect()
         assert len(rows) == documents.count()

@@ -1,0 +1,114 @@
+import hashlib
+import math
+import random
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from candlewick.llm import common, queries, vectorcodes
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, parts=8, entries=16, rounds=6):
+    """{(vec_id, code, error, label_error)} and the codebooks, with Python's integers throughout."""
+    rows = [r for r in rows if r[1] is not None and len(r[1]) and len(r[1]) % parts == 0 and all(x is not None and math.isfinite(x) for x in r[1])]
+    if not rows:
+        return [], [[]] * parts
+    place = lambda r: (r[0] is None, r[0] or 0, list(r[1]))
+    size = len(min(rows, key=place)[1])
+    kept = [(i, [math.floor(Fraction(x) * 4096) for x in v], label) for i, v, label in sorted((r for r in rows if len(r[1]) == size), key=place)]
+    width = size // parts
+    first = {}
+    for i, v, _ in kept:
+        first.setdefault(i, v)
+    start = list(first.values())[:entries]
+    cut = lambda v, p: v[p * width:(p + 1) * width]
+    books = [[cut(v, p) for v in start] for p in range(parts)]
+
+    def best(v, p):
+        return min((sum((a - b) ** 2 for a, b in zip(cut(v, p), entry)), i) for i, entry in enumerate(books[p]))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            members = [[] for _ in books[p]]
+            for _, v, _ in kept:
+                members[best(v, p)[1]].append(cut(v, p))
+            books[p] = [[sum(x) // len(own) for x in zip(*own)] if own else entry for own, entry in zip(members, books[p])]
+    coded, totals = [], {}
+    for i, v, label in kept:
+        found = [best(v, p) for p in range(parts)]
+        error = sum(d for d, _ in found)
+        totals[label] = totals.get(label, 0) + error
+        coded.append((i, "".join(f"{k:02x}" for _, k in found), error, label))
+    most = 2 ** 63 - 1
+    return sorted(((i, c, min(e, most), min(totals[label], most)) for i, c, e, label in coded), key=repr), books
+
+
+def got(df, **options):
+    found = vectorcodes.compress(df, **options)
+    rows = vectorcodes.with_label_error(found.rows).select("id", "code", "error", "label_error").collect()
+    return sorted((tuple(r) for r in rows), key=repr), found.books
+
+
+def floats(rng, n, scale=1.0):
+    return [float(np.float32(rng.gauss(0, scale))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("broadcast", [200_000, 2])
+def test_against_brute_force(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast)
+    rng = random.Random(5)
+    rows = [(i, floats(rng, 16), rng.choice([None, 0, 0, 0, 0, 0, 1, 2, 3])) for i in range(150)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert got(df, block=17) == brute(rows)
+    assert got(df, parts=2, entries=3, rounds=1) == brute(rows, 2, 3, 1)
+
+
+def test_ties_repeats_nulls_and_other_lengths(spark):
+    rng = random.Random(6)
+    few = [[float(rng.choice((-1, 0, 1))) for _ in range(8)] for _ in range(6)]
+    rows = [(rng.choice([None, *range(9)]), rng.choice(few), rng.choice([None, 1])) for _ in range(80)]
+    bad = [(0, None, 1), (1, [], 1), (2, [0.5] * 7 + [None], 1), (3, [math.nan] + [0.0] * 7, 1), (4, [math.inf] * 8, None),
+           (5, [1.0] * 7, 1), (6, [1.0] * 16, 1), (-1, [-math.inf] * 8, 1), (0, [9.0] * 16, 2)]
+    rows += [(7, few[0], 1)] * 40 + bad
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert got(df, block=16) == brute(rows)
+    for own in (bad[:6], [(None, few[0], None)] * 3 + [(None, few[1], 4)], []):
+        assert got(spark.createDataFrame(own, SCHEMA)) == brute(own)
+
+
+def test_exact_for_any_size(spark):
+    """Components up to the largest doubles and down to the smallest; errors beyond 64 bits are given as the largest."""
+    rng = random.Random(7)
+    rows = [(i, [rng.choice([1e9, -3e4, 1e300, -1e300, 5e-324, -5e-324, 0.1, 2.0 ** 40]) * rng.choice([1, 0.5]) for _ in range(8)], i % 2)
+            for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(2)
+    assert got(df, entries=5, block=9) == brute(rows, entries=5)
+    small = [(i, [x / 1e298 if abs(x) > 1e200 else x for x in v], label) for i, v, label in rows]
+    assert got(spark.createDataFrame(small, df.schema), entries=5, block=9) == brute(small, entries=5)
+
+
+def test_limbs():
+    for value in (0, 1, -1, 2 ** 62, -(2 ** 62), 2 ** 200 + 12345, -(3 ** 150)):
+        assert sum(limb << 62 * i for i, limb in enumerate(vectorcodes.limbs(value))) == value
+
+
+def test_labels_of_other_types_and_clashing_names(spark):
+    rng = random.Random(8)
+    rows = [(i, floats(rng, 8), rng.choice([None, "", "a"])) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string")
+    df = df.withColumns({name: F.lit(1) for name in ("id", "vector", "code", "error", "n", "none", "value")})
+    assert got(df) == brute(rows)
+
+
+def test_query_on_given_embeddings(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("vec_id", "embedding", "label").collect()
+    want, books = brute([tuple(r) for r in rows])
+    found = queries.QUERIES["op13_vector_codes"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted((tuple(r)[:4] for r in found), key=repr) == want
+    text = ",".join(str(x) for part in books for entry in part for x in entry)
+    assert {r["codebooks_sha256"] for r in found} == {hashlib.sha256(text.encode()).hexdigest()}
