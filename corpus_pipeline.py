@@ -19,8 +19,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: texts with a Jaccard similarity of 0.8 or more by five-word shingles."""
-    return neardup.keep_one(docs, shingle=5, similarity=0.8)
+    """One document of each group that op10 links: fingerprints of three-word shingles with three or fewer differing bits."""
+    return neardup.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
