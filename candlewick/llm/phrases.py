@@ -56,29 +56,20 @@ def pieces_of(text: bytes) -> bytes:
 def runs(text: bytes, most: int) -> Iterator[tuple[bytes, int]]:
     """``text`` in runs of about ``most`` bytes, cut where pieces end. Where none does, the next run begins with the last words of the
     one before, and their number is given, as the phrases among them are counted already."""
-    carried = 0
-    while len(text) > most:
-        cut = text.rfind(_END, 0, most)
-        if cut > 0:
-            yield text[:cut], carried
-            text, carried = text[cut + 1:], 0
-            continue
-        cut = text.rfind(b" ", 0, most)
-        if cut <= 0 or not text[:cut].strip(b" "):
-            after = [at for at in (text.find(_END, most), text.find(b" ", most)) if at >= 0]
+    carried = begin = 0  # words carried over, and where the text after them begins
+    while len(text) - begin > most:
+        cut = text.rfind(_END, begin, begin + most)
+        if cut < 0:
+            cut = text.rfind(b" ", begin, begin + most)
+        if cut < 0:
+            after = [at for at in (text.find(_END, begin + most), text.find(b" ", begin + most)) if at >= 0]
             if not after:
                 break
             cut = min(after)
-        head = text[:cut]
-        yield head, carried
-        if text[cut:cut + 1] == _END:
-            text, carried = text[cut + 1:], 0
-        else:
-            words = head.replace(_END, b" " + _END + b" ").split()[-(LONGEST - 1):]
-            words = words[max((at + 1 for at, word in enumerate(words) if word == _END), default=0):]
-            carried = len(words)
-            most = max(most, 2 * sum(map(len, words)) + 2)
-            text = b" ".join([*words, text[cut + 1:]])
+        yield text[:cut], carried
+        words = [] if text[cut:cut + 1] == _END else text[text.rfind(_END, 0, cut) + 1:cut].split()[1 - LONGEST:]
+        carried, before = len(words), b"".join(word + b" " for word in words)
+        text, begin = before + text[cut + 1:], len(before)
     yield text, carried
 
 
