@@ -21,6 +21,7 @@ go by phrase; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -140,7 +141,7 @@ def _scan(scan: int, shared, shards: int, chunk: int):
                 yield batch_of(_COUNTS, [length, [lang] * len(length), phrase, own, n, last])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reached = [np.frombuffer(x, dtype=np.uint8) for x in shared.value]
+        reached = _unpacked(shared.value)
         waiting: dict[str, list[bytes]] = defaultdict(list)
         held: dict[str, int] = defaultdict(int)
         for batch in batches:
@@ -171,10 +172,10 @@ def count_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", least
     reached = [np.full(1 << slot_bits, _NEVER, dtype=np.uint8) for _ in range(LONGEST)]
     scans, open_, path, scan, final = [], None, None, 0, shards - 1
     while scan <= final:
-        shared = spark.sparkContext.broadcast([x.tobytes() for x in reached[:-1]])
+        shared = spark.sparkContext.broadcast(_packed(reached[:-1]))
         counts = staged(corpus.where(F.col("shard") == scan % shards).select("lang", "text").mapInArrow(
             _scan(scan, shared, shards, chunk), "length byte, lang string, phrase binary, hash long, n long, last short"), f"scan{scan}")
-        shared.unpersist()
+        shared.destroy()  # its counts are written
         scans.append(counts)
         # Running counts of the phrases that are still counted and have not reached the limit.
         now = counts.select("length", "hash", "n", "last")
@@ -199,17 +200,25 @@ def count_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", least
     for more in scans[1:]:
         counts = counts.unionByName(more)
     # Most rows are of rare phrases, and go before the phrases are shuffled by their text.
-    shared = spark.sparkContext.broadcast([x.tobytes() for x in reached])
+    shared = spark.sparkContext.broadcast(_packed(reached))
     frequent = counts.where(_in_slot(shared)("length", "hash")).groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n")) \
         .where(F.col("n") >= least).withColumn("phrase", F.col("phrase").cast("string"))
     words = counts.where(F.col("length") == 1).groupBy("lang").agg(F.sum("n").alias("n"))
     return staged(frequent, "frequent-phrases"), staged(words, "words")
 
 
+def _packed(reached: list[np.ndarray]) -> list[bytes]:
+    return [zlib.compress(x, 1) for x in reached]
+
+
+def _unpacked(packed: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(zlib.decompress(x), dtype=np.uint8) for x in packed]
+
+
 def _in_slot(shared):
     @F.pandas_udf("boolean")
     def passes(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        reached = np.array([np.frombuffer(x, dtype=np.uint8) for x in shared.value]) != _NEVER
+        reached = np.array(_unpacked(shared.value)) != _NEVER
         shift = np.uint64(64 - (reached.shape[1].bit_length() - 1))
         for length, hashed in batches:
             yield pd.Series(reached[length.to_numpy() - 1, hashed.to_numpy().view(np.uint64) >> shift])
