@@ -9,10 +9,10 @@ and all counts are exact.
 
 Which subphrases have reached the limit is known to the tasks as one array a length: the scan after which the first phrase of a hash
 slot has done so. The arrays have ``SLOTS`` bytes for any corpus. Phrases that share a slot only become active earlier than they
-would alone: the scan from which a phrase is active is a function of its slots, so it is still counted once in every shard, and what is
-not frequent is left out at the end. Tasks pack words as numbers of their own chunk, so what they count are the phrases themselves, and
-write one row for each phrase of a chunk. Running counts are kept by 64-bit hash (a collision again only makes active); the final
-counts are by text.
+would alone: the scan from which a phrase is active follows from its parts' slots, so it is still counted once in every shard, and what is
+not frequent is left out at the end. Tasks write one row for each phrase of a chunk, its words as 64-bit hashes with the language in
+the seed. The words are counted with their text, so two words of one hash would show, and then all is counted again with another seed.
+Running counts are kept by a 64-bit hash of the phrase (a collision again only makes active); the final counts are by all words.
 
 A frequent phrase of two to four words scores by its weakest cut, as in ``scored``; phrases that stand mostly within a longer one
 are dropped. Null and empty texts have no words; texts of any length are read in chunks, whole; repeated rows count each time; ties
@@ -46,7 +46,27 @@ COVERED = 80
 _END = b"\xff"  # never in UTF-8
 _MARKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", _END * 10 + b" ")
 _NEVER = 255
-_MIX = [np.uint64(pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64)) for k in range(LONGEST + 1)]
+_ROW = "length byte, w1 long, w2 long, w3 long, w4 long, lang string, word binary, n long, last short"
+_WORDS = [f"w{k}" for k in range(1, LONGEST + 1)]
+#: The primes of XXH64, and the seed of Spark's ``xxhash64``.
+_P1, _P2, _P3, _P4, _P5 = map(np.uint64, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+_SEED = 42
+
+
+def _rotated(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def chained(values: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """XXH64 of 8-byte values, seeded with the hashes before them: what Spark's ``xxhash64`` makes of several longs."""
+    h = before + (_P5 + np.uint64(8))
+    h ^= _rotated(values * _P2, 31) * _P1
+    h = _rotated(h, 27) * _P1 + _P4
+    h ^= h >> np.uint64(33)
+    h *= _P2
+    h ^= h >> np.uint64(29)
+    h *= _P3
+    return h ^ (h >> np.uint64(32))
 
 
 def pieces_of(text: bytes) -> bytes:
@@ -85,8 +105,13 @@ def _unique(words: np.ndarray, at: np.ndarray, length: int, size: int) -> tuple[
     return at[first], counts
 
 
-def phrase_counts(text: bytes, carried: int, salt: int, scan: int, reached: list[np.ndarray], shards: int) -> Iterator[tuple]:
-    """(length, phrase, hash, count, last scan) of the phrases active in ``scan``, for one run of pieces.
+_COUNTS = pa.schema([("length", pa.int8()), *[(w, pa.int64()) for w in _WORDS], ("lang", pa.string()), ("word", pa.binary()),
+                     ("n", pa.int64()), ("last", pa.int16())])
+
+
+def phrase_counts(text: bytes, carried: int, lang: str, seed: int, scan: int, reached: list[np.ndarray],
+                  shards: int) -> Iterator[pa.RecordBatch]:
+    """Counts of the phrases active in ``scan``, for one run of pieces: one batch for each length.
 
     ``reached``: for lengths 1 to 3 the scan after which a slot had a frequent phrase, or 255.
     """
@@ -95,50 +120,53 @@ def phrase_counts(text: bytes, carried: int, salt: int, scan: int, reached: list
     known.default_factory = known.__len__
     known[_END]
     words = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(word, salt) for word in known), np.uint64, len(known))
+    salt = xxhash.xxh3_64_intdigest(lang.encode(), seed)
+    keys = np.fromiter((xxhash.xxh3_64_intdigest(word, salt) for word in known), np.uint64, len(known))
+    signed = keys.view(np.int64)
+
+    def batch(length: int, columns: list, lang_, word, counts: np.ndarray, last) -> pa.RecordBatch:
+        n = len(counts)
+        columns = [*columns, *[pa.nulls(n, pa.int64())] * (LONGEST - length)]
+        return batch_of(_COUNTS, [np.full(n, length, dtype=np.int8), *columns, lang_, word, counts, last])
+
     if scan < shards:
         counts = np.bincount(words[carried:], minlength=len(known))
-        for word, own, count in zip(known, hashes.view(np.int64).tolist(), counts.tolist()):
-            if count and word != _END:
-                yield 1, word, own, count, shards - 1
+        counts[0] = 0
+        some = np.flatnonzero(counts)
+        if len(some):
+            every = pa.array(list(known), pa.binary())
+            yield batch(1, [signed[some]], [lang] * len(some), every.take(pa.array(some)), counts[some], np.full(len(some), shards - 1, np.int16))
     shift = np.uint64(64 - (len(reached[0]).bit_length() - 1))
+    hashes = chained(keys, np.uint64(_SEED))
     own = reached[0][hashes >> shift].copy()
     own[0] = _NEVER
-    at, since = np.arange(len(words)), own[words]
-    hashed = word_hashes = hashes[words]
+    at, since, hashed = np.arange(len(words)), own[words], hashes[words]
     for length in range(2, LONGEST + 1):
         # Phrases of this length at ``at``: both subphrases, at ``at`` and one further, are there and have reached the limit.
         after = np.full(len(words) + 1, _NEVER, dtype=np.uint8)
         after[at] = since
         both = (after[at] != _NEVER) & (after[at + 1] != _NEVER)
         at, hashed = at[both], hashed[both]
-        begun = np.maximum(after[at], after[at + 1]).astype(np.int64) + 1
-        hashed = hashed * _MIX[length] ^ (word_hashes[at + length - 1] + _MIX[length]) * _MIX[1]
-        hashed ^= hashed >> np.uint64(29)
-        hashed *= _MIX[2]
+        begun = np.maximum(after[at], after[at + 1]).astype(np.int16) + 1
         now = (begun <= scan) & (scan < begun + shards) & (at + length > carried)
         if now.any():
             first, counts = _unique(words, at[now], length, len(known))
-            place = np.searchsorted(at, first)
-            for p, own_hash, count, begin in zip(first.tolist(), hashed[place].view(np.int64).tolist(), counts.tolist(), begun[place].tolist()):
-                yield length, b" ".join(tokens[p:p + length]), own_hash, count, begin + shards - 1
+            last = begun[np.searchsorted(at, first)] + (shards - 1)
+            yield batch(length, [signed[words[first + k]] for k in range(length)], pa.nulls(len(first), pa.string()),
+                        pa.nulls(len(first), pa.binary()), counts, last.astype(np.int16))
         if length < LONGEST:
-            since = reached[length - 1][hashed >> shift]
-
+            hashed = chained(keys[words[at + length - 1]], hashed)
+            # Another phrase of the slot may have reached the limit before this one was counted at all.
+            since = np.maximum(reached[length - 1][hashed >> shift], begun.astype(np.uint8))
 
-_COUNTS = pa.schema([("length", pa.int8()), ("lang", pa.string()), ("phrase", pa.binary()), ("hash", pa.int64()), ("n", pa.int64()),
-                     ("last", pa.int16())])
 
-
-def _scan(scan: int, shared, shards: int, chunk: int):
+def _scan(scan: int, seed: int, shared, shards: int, chunk: int):
     """Arrow batches of (lang, text) to counts by chunk."""
     def rows(lang: str, texts: list[bytes], reached) -> Iterator[pa.RecordBatch]:
-        salt = xxhash.xxh3_64_intdigest(lang.encode())
         for run, carried in runs(_END.join(texts), chunk):
-            found = list(phrase_counts(run, carried, salt, scan, reached, shards))
-            for at in range(0, len(found), 50_000):
-                length, phrase, own, n, last = zip(*found[at:at + 50_000])
-                yield batch_of(_COUNTS, [length, [lang] * len(length), phrase, own, n, last])
+            for found in phrase_counts(run, carried, lang, seed, scan, reached, shards):
+                for begin in range(0, len(found), 1 << 17):
+                    yield found.slice(begin, 1 << 17)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reached = _unpacked(shared.value)
@@ -169,42 +197,62 @@ def count_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", least
     corpus = staged(docs.select(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.coalesce(utf8(f"`{text}`"), F.lit(b"")).alias("text"),
         (F.monotonically_increasing_id() % shards).cast("int").alias("shard")).where(F.octet_length("text") > 0), "shards", "shard")
+    seed = 0
+    while True:
+        totals, reached = _scanned(corpus, least, shards, slot_bits, chunk, seed)
+        words = staged(totals.where("length = 1").groupBy("w1").agg(
+            F.min(F.struct("lang", "word")).alias("one"), F.max(F.struct("lang", "word")).alias("other"), F.sum("n").alias("n")), "words")
+        if words.where(F.col("one") != F.col("other")).isEmpty():
+            break
+        seed += 1
+    named = words.select(F.col("w1").alias("w"), "one.lang", F.col("one.word").cast("string").alias("word"), "n")
+    # Most rows are of rare phrases, and go before the phrases are shuffled.
+    shared = spark.sparkContext.broadcast(_packed(reached))
+    longer = totals.where("length > 1").where(_in_slot(shared)("length", F.xxhash64(*_WORDS))) \
+        .groupBy("length", *_WORDS).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    longer = staged(longer.withColumn("id", F.monotonically_increasing_id()), "frequent-keys")
+    spelled = longer.select("id", F.posexplode(F.array_compact(F.array(*_WORDS))).alias("at", "w")).join(
+        named.where(F.col("n") >= least).select("w", "lang", "word"), "w") \
+        .groupBy("id").agg(F.first("lang").alias("lang"), F.array_sort(F.collect_list(F.struct("at", "word"))).alias("words"))
+    phrases = longer.join(spelled, "id").select(
+        "lang", "length", F.array_join(F.transform("words", lambda w: w["word"]), " ").alias("phrase"), "n")
+    single = named.where(F.col("n") >= least).select("lang", F.lit(1).cast("byte").alias("length"), F.col("word").alias("phrase"), "n")
+    return staged(single.unionByName(phrases), "frequent-phrases"), named.groupBy("lang").agg(F.sum("n").alias("n"))
+
+
+def _scanned(corpus: DataFrame, least: int, shards: int, slot_bits: int, chunk: int, seed: int) -> tuple[DataFrame, list[np.ndarray]]:
+    """All scans until every phrase that became active has met every shard: the counts they wrote, and for each length the scans after
+    which the slots reached the limit."""
+    spark = corpus.sparkSession
     reached = [np.full(1 << slot_bits, _NEVER, dtype=np.uint8) for _ in range(LONGEST)]
-    scans, open_, path, scan, final = [], None, None, 0, shards - 1
+    counts, open_, path, scan, final = None, None, None, 0, shards - 1
     while scan <= final:
         shared = spark.sparkContext.broadcast(_packed(reached[:-1]))
-        counts = staged(corpus.where(F.col("shard") == scan % shards).select("lang", "text").mapInArrow(
-            _scan(scan, shared, shards, chunk), "length byte, lang string, phrase binary, hash long, n long, last short"), f"scan{scan}")
+        here = staged(corpus.where(F.col("shard") == scan % shards).select("lang", "text").mapInArrow(
+            _scan(scan, seed, shared, shards, chunk), _ROW), f"scan{scan}")
         shared.destroy()  # its counts are written
-        scans.append(counts)
+        counts = here if counts is None else counts.unionByName(here)
         # Running counts of the phrases that are still counted and have not reached the limit.
-        now = counts.select("length", "hash", "n", "last")
-        running = now if open_ is None else now.unionByName(open_.where((F.col("n") < least) & (F.col("last") >= scan)))
+        running = here.select("length", F.xxhash64(*_WORDS).alias("hash"), "n", "last")
+        if open_ is not None:
+            running = running.unionByName(open_.where((F.col("n") < least) & (F.col("last") >= scan)))
         done = path
         open_, path = stage(running.groupBy("length", "hash").agg(F.sum("n").alias("n"), F.max("last").alias("last")), f"running{scan}")
         if done:
             release_path(spark, done)
         slots = open_.where(F.col("n") >= least).select(
             "length", F.shiftrightunsigned("hash", 64 - slot_bits).cast("int").alias("slot")).distinct().toArrow()
+        final = max(final, open_.agg(F.max("last")).first()[0] or 0)
         length, slot = (slots.column(c).to_numpy() for c in ("length", "slot"))
         for k, known in enumerate(reached, 1):
             new = slot[length == k]
             new = new[known[new] == _NEVER]
             known[new] = scan
             if len(new) and k < LONGEST:
-                final = scan + shards
+                final = max(final, scan + shards)
         scan += 1
-    if path:
-        release_path(spark, path)
-    counts = scans[0]
-    for more in scans[1:]:
-        counts = counts.unionByName(more)
-    # Most rows are of rare phrases, and go before the phrases are shuffled by their text.
-    shared = spark.sparkContext.broadcast(_packed(reached))
-    frequent = counts.where(_in_slot(shared)("length", "hash")).groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n")) \
-        .where(F.col("n") >= least).withColumn("phrase", F.col("phrase").cast("string"))
-    words = counts.where(F.col("length") == 1).groupBy("lang").agg(F.sum("n").alias("n"))
-    return staged(frequent, "frequent-phrases"), staged(words, "words")
+    release_path(spark, path)
+    return counts, reached
 
 
 def _packed(reached: list[np.ndarray]) -> list[bytes]:

@@ -90,6 +90,15 @@ def test_late_phrases_are_activated_in_later_cycles(spark):
     assert found == brute(rows, 7) == {("en", 1, "late riser here now", 7, 7, 7, 58, 1000000)}
 
 
+@pytest.mark.parametrize("slot_bits", [1, 3])
+def test_late_phrases_that_share_slots_with_early_ones(spark, slot_bits):
+    rng = random.Random(slot_bits)
+    rows = [("en", " ".join(rng.choice("abcd") for _ in range(9))) for _ in range(40)]
+    rows += [("en", f"late{i % 2} riser{i % 2} here now" + rng.choice([" a b", ""])) if rng.random() < i / 60 else ("en", "c d a") for i in range(60)]
+    found = got(spark.createDataFrame(rows, "lang string, text string").coalesce(1), least=12, shards=4, slot_bits=slot_bits)
+    assert found == brute(rows, 12) and any("late1 riser1 here now" in r for r in found)
+
+
 def test_runs_hold_every_word_once():
     rng = random.Random(3)
     for most in (1, 7, 20, 64):
