@@ -1,6 +1,8 @@
 from candlewick.sources.catalog import register_table
-from candlewick.sources.files import read_bars, read_bronze, with_year_month, write_bronze, write_layer
+from candlewick.sources.files import (
+    merged_rows, read_bars, read_bronze, rejected_bronze, with_year_month, write_bronze, write_layer,
+)
 from candlewick.sources.kafka import KafkaConfig
 
-__all__ = ["KafkaConfig", "read_bars", "read_bronze", "register_table", "with_year_month", "write_bronze",
-           "write_layer"]
+__all__ = ["KafkaConfig", "merged_rows", "read_bars", "read_bronze", "register_table", "rejected_bronze", "with_year_month",
+           "write_bronze", "write_layer"]

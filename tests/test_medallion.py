@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from pathlib import Path
 
 import brute
@@ -67,6 +68,97 @@ def test_replacing_months_keeps_the_others(spark, bars, tmp_path):
         sources.write_layer(march, path, replace="some")
 
 
+@pytest.mark.parametrize("layer", ["bronze", "silver"])
+def test_merging_rows_keeps_other_symbols_and_days(spark, bars, tmp_path, layer):
+    path = str(tmp_path / layer)
+
+    def load(part):
+        if layer == "bronze":
+            sources.write_bronze(part, path, replace="rows")
+        else:
+            sources.write_layer(sources.with_year_month(part), path, replace="rows")
+
+    def stored():
+        return (sources.read_bronze(spark, path) if layer == "bronze" else spark.read.parquet(path)).select(bars.columns)
+
+    load(bars.filter("symbol = 'A' AND day(datetime) <= 20"))  # no table yet
+    untouched = {f: f.stat().st_mtime_ns for f in Path(path).glob("year=2022/month=7/*")}
+    load(bars.filter("symbol = 'B' AND month(datetime) <> 7"))
+    again = bars.filter("symbol = 'A' AND datetime BETWEEN '2023-02-10' AND '2023-03-05'").withColumn("close", F.lit(-1.0))
+    load(again)
+    load(again)  # a repeated load changes nothing
+    want = bars.filter("(symbol = 'A' AND day(datetime) <= 20 AND NOT datetime BETWEEN '2023-02-10' AND '2023-03-05') "
+                       "OR (symbol = 'B' AND month(datetime) <> 7)").unionByName(again)
+    assert same_rows(stored(), want)
+    assert untouched and untouched == {f: f.stat().st_mtime_ns for f in Path(path).glob("year=2022/month=7/*")}
+    load(bars.limit(0))
+    assert same_rows(stored(), want)
+
+
+def test_merging_nulls_repeats_and_other_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "symbol string, datetime timestamp, close double, year int, month int"
+    at = dt.datetime(2024, 1, 1)
+    old = spark.createDataFrame([(None, at, 1.0, 2024, 1), ("A", None, 2.0, None, None), ("B", at, 3.0, 2024, 1), ("B", at, 4.0, 2024, 1)], schema)
+    sources.write_layer(old, path)
+    new = spark.createDataFrame([(None, at, 10.0, 2024, 1, "x"), ("B", at, 30.0, 2024, 1, "y"), ("B", at, 31.0, 2024, 1, "z")], schema + ", note string")
+    sources.write_layer(new, path, replace="rows")
+    got = sorted((r["symbol"] or "", r["close"], r["note"]) for r in spark.read.option("mergeSchema", True).parquet(path).collect())
+    assert got == [("", 10.0, "x"), ("A", 2.0, None), ("B", 30.0, "y"), ("B", 31.0, "z")]
+
+
+def test_merging_reads_only_the_months_in_question(spark, bars, tmp_path):
+    stored = sources.with_year_month(bars)
+    sources.write_layer(stored, str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t")).filter((F.col("year") * 12 + F.col("month")).isin([2023 * 12 + 3]))
+    merged = sources.merged_rows(table, stored.filter("symbol = 'A' AND datetime = '2023-03-05'"), ("symbol", "datetime"))
+    assert merged.count() == 62
+    assert re.search(r"PartitionFilters: \[[^\]]*24279", merged._jdf.queryExecution().executedPlan().toString())
+
+
+SPOILT = """symbol,datetime,open,high,low,close,volume
+A,2024-01-01 00:00:00,1,2,0.5,1.5,9
+A,2024-01-02 00:00:00,1,2,0.5,abc,9
+A,not a time,1,2,0.5,1.5,9
+A,2024-01-03 00:00:00,1,2,0.5,,9
+A,,1,2,0.5,1.5,9
+A,2024-01-04 00:00:00,1,2
+A,2024-01-05 00:00:00,1,2,0.5,1.5,9,10
+A,2024-01-06 00:00:00,1,2,0.5,NaN,9
+A,2024-01-07 00:00:00,,,,1.5,
+"""
+
+
+def test_lines_that_are_no_bars_are_kept_apart(spark, bars, tmp_path):
+    folder = tmp_path / "b" / "year=2024" / "month=1"
+    folder.mkdir(parents=True)
+    (folder / "x.csv").write_text(SPOILT)
+    path = str(tmp_path / "b")
+    rejected = sources.rejected_bronze(spark, path)
+    assert rejected.count() == 7 and rejected.columns == ["file", "text", "reason", "year", "month"]
+    got = {r["text"]: r["reason"] for r in rejected.collect()}
+    assert got["A,2024-01-02 00:00:00,1,2,0.5,abc,9"] == got["A,not a time,1,2,0.5,1.5,9"] == "malformed"
+    assert sorted(got.values()) == ["malformed"] * 4 + ["no price"] * 2 + ["no time"]
+    assert all(r["file"].endswith("/year=2024/month=1/x.csv") and (r["year"], r["month"]) == (2024, 1) for r in rejected.collect())
+    silver = plans.bronze_to_silver(spark, path, str(tmp_path / "silver"))
+    assert sorted(r["datetime"].day for r in silver.collect()) == [1, 7]
+    assert sources.read_bronze(spark, path).select("symbol").count() == 2  # whatever columns are asked for
+    assert sources.read_bronze(spark, path).count() == 2 and sources.read_bronze(spark, path).groupBy("year").count().first()["count"] == 2
+    # A merge would drop the lines it cannot read, so it stops; other months can be merged.
+    with pytest.raises(ValueError, match="rejected lines"):
+        sources.write_bronze(bars.limit(1).withColumn("datetime", F.lit(dt.datetime(2024, 1, 9))), path, replace="rows")
+    sources.write_bronze(bars.filter("symbol = 'B' AND datetime = '2022-05-01'"), path, replace="rows")
+    assert sources.read_bronze(spark, path).count() == 3 and sources.rejected_bronze(spark, path).count() == 7
+
+
+def test_rejected_lines_of_files_without_a_symbol(spark, tmp_path):
+    folder = tmp_path / "year=2024" / "month=1"
+    folder.mkdir(parents=True)
+    (folder / "x.csv").write_text("datetime,open,high,low,close,volume\n2024-01-01 01:00:00,1,2,3,4,5\n2024-01-02 01:00:00,1,2,3,x,5\n")
+    assert [r["text"] for r in sources.rejected_bronze(spark, str(tmp_path), symbol="A").collect()] == ["2024-01-02 01:00:00,1,2,3,x,5"]
+    assert sources.read_bronze(spark, str(tmp_path), symbol="A", source_tz=ZONE).first()["datetime"] == dt.datetime(2024, 1, 1)
+
+
 def test_reading_a_time_range_prunes_months(spark, bars, tmp_path):
     path = str(tmp_path / "t")
     sources.write_layer(sources.with_year_month(bars), path)

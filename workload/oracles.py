@@ -205,6 +205,14 @@ ORACLES: dict[str, str] = {
     "medallion_replace_months": f"""WITH {SHIPMENTS}
         SELECT * REPLACE (CASE WHEN year IN (1995, 1996) THEN volume * 2 ELSE volume END AS volume)
         FROM (SELECT {BAR_COLUMNS}, {YEAR_MONTH} FROM s)""",
+    "medallion_upsert": f"""WITH {SHIPMENTS},
+        m AS (SELECT * REPLACE (CASE WHEN symbol = 'R' AND year(bar_time) = 1995 AND day(bar_time) <= 15 THEN volume * 2
+                                ELSE volume END AS volume) FROM s)
+        SELECT layer, {BAR_COLUMNS}, {YEAR_MONTH} FROM m, (VALUES ('bronze'), ('silver')) AS l(layer)""",
+    "bronze_rejects": f"""WITH {SHIPMENTS}
+        SELECT CASE WHEN day(bar_time) IN (3, 5, 8) THEN 'malformed' WHEN day(bar_time) = 4 THEN 'no time'
+                    WHEN day(bar_time) IN (6, 7) THEN 'no price' ELSE 'bar' END AS reason, {YEAR_MONTH}, count(*) AS lines
+        FROM s GROUP BY ALL""",
     "medallion_gold": f"""WITH RECURSIVE {SHIPMENTS}, {SHIPMENT_TICKS}, {_numbered()}, {_frames()},
         e AS (SELECT symbol, bar_time, rn, close AS e50, close AS fast, close AS slow, 0.0::DOUBLE AS signal
               FROM n WHERE rn = 1

@@ -320,6 +320,39 @@ def medallion_replace_months(spark, sf_dir):
     return silver.select("symbol", _text("datetime").alias("datetime"), *PRICES, "year", "month")
 
 
+def medallion_upsert(spark, sf_dir):
+    """Three loads of one bronze and silver table: flag R, then A and N, then R again for the first half of each month of 1995, with
+    doubled volumes. Each load merges into what is there."""
+    base = scratch_path(spark, "upsert")
+    bars = views.shipment_bars(spark, sf_dir)
+    again = bars.filter("symbol = 'R' AND year(datetime) = 1995 AND day(datetime) <= 15").withColumn("volume", F.col("volume") * 2)
+    for load in (bars.filter("symbol = 'R'"), bars.filter("symbol <> 'R'"), again):
+        sources.write_bronze(load, f"{base}/bronze", replace="rows")
+        sources.write_layer(sources.with_year_month(load), f"{base}/silver", replace="rows")
+    bronze = sources.read_bronze(spark, f"{base}/bronze").withColumn("layer", F.lit("bronze"))
+    both = bronze.unionByName(spark.read.parquet(f"{base}/silver").withColumn("layer", F.lit("silver")))
+    return both.select("layer", "symbol", _text("datetime").alias("datetime"), *PRICES, "year", "month")
+
+
+def bronze_rejects(spark, sf_dir):
+    """Bronze files in which the shipping dates of three flags and prices are spoilt: what is left out, and the bars of what is left."""
+    base = scratch_path(spark, "spoilt")
+    bars = views.shipment_bars(spark, sf_dir)
+    day = F.day("datetime")
+    fields = [F.col("symbol"), F.when(day == 3, "not a time").when(day == 4, "").otherwise(_text("datetime")),
+              *[F.col(name).cast("string") for name in ("open", "high", "low")],
+              F.when(day == 5, "abc").when(day == 6, "").when(day == 7, "NaN").otherwise(F.col("close").cast("string")),
+              F.when(day == 8, "1,2,3").otherwise(F.col("volume").cast("string"))]
+    header = ",".join(schemas.BAR_COLUMNS)
+    lines = sources.with_year_month(bars.withColumn("text", F.concat_ws(",", *fields))).select("text", *sources.files.PARTITION)
+    files = lines.groupBy(*sources.files.PARTITION).agg(F.array_sort(F.collect_list("text")).alias("lines")).select(
+        F.concat(F.lit(header + "\n"), F.array_join("lines", "\n")).alias("text"), *sources.files.PARTITION)  # at most 93 lines each
+    files.write.partitionBy(*sources.files.PARTITION).text(base)
+    rejected = sources.rejected_bronze(spark, base).groupBy("reason", "year", "month").agg(F.count(F.lit(1)).alias("lines"))
+    bars_left = sources.read_bronze(spark, base).groupBy("year", "month").agg(F.count(F.lit(1)).alias("lines"))
+    return rejected.unionByName(bars_left.withColumn("reason", F.lit("bar")))
+
+
 def medallion_gold(spark, sf_dir):
     base = _staged_silver(spark, sf_dir)
     gold = plans.silver_to_gold(spark, f"{base}/silver", f"{base}/gold")
@@ -475,7 +508,7 @@ QUERIES: dict[str, Query] = {
         chart_parse, chart_messages, symbol_format, time_range,
         sma_200, sma_min_periods, gold_guard, ema_50, price_change, gain_loss, rsi_14, macd, gold, indicator_chain, one_series,
         resample_1h_to_1d, latest_bars_10, latest_bars_1516, history,
-        medallion_silver, bars_range, medallion_replace_months, medallion_gold, month_partitions, catalog_table, bronze_from_charts,
+        medallion_silver, bars_range, medallion_replace_months, medallion_upsert, bronze_rejects, medallion_gold, month_partitions, catalog_table, bronze_from_charts,
         wide_tick_records, wide_vwap_records, narrow_records, latest_version, topics_to_records, rejected_messages,
         records_stream, records_compacted, vwap_late_restart, scalar_functions,
     )
