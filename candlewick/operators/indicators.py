@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 
-from candlewick.operators.ordered import Indicator, Rows, ema_scan, ordered_scan, rolling_sum
+from candlewick.operators.ordered import Indicator, Rows, ema_scan, ordered_scan, resumed_scan, rolling_sum
 
 log = logging.getLogger(__name__)
 
@@ -97,8 +97,8 @@ class Ema(Indicator):
 
     def run(self, rows: Rows, carry: np.ndarray):
         known = rows.known[rows.skip:]
-        average = ema_scan(rows.new_x, known, rows.seed, 2 / (self.n + 1), carry[0])
-        return [(average[:, 0], ~rows.seeded | _early(rows, self.min_periods))], [average[-1]]
+        average = ema_scan(rows.new_x, known, rows.seed, 2 / (self.n + 1), carry[0], rows.given_average(0))
+        return [(average[:, 0], ~rows.seeded | _early(rows, self.min_periods))], [average]
 
 
 @dataclass(frozen=True)
@@ -147,15 +147,15 @@ class Macd(Indicator):
 
     def run(self, rows: Rows, carry: np.ndarray):
         known = rows.known[rows.skip:]
-        fast = ema_scan(rows.new_x, known, rows.seed, 2 / (self.fast + 1), carry[0])
-        slow = ema_scan(rows.new_x, known, rows.seed, 2 / (self.slow + 1), carry[1])
+        fast = ema_scan(rows.new_x, known, rows.seed, 2 / (self.fast + 1), carry[0], rows.given_average(0))
+        slow = ema_scan(rows.new_x, known, rows.seed, 2 / (self.slow + 1), carry[1], rows.given_average(1))
         line = fast - slow
         # The line goes on over null prices, so the signal moves at every row after the first price.
-        signal = ema_scan(line, rows.seeded, rows.seed, 2 / (self.signal + 1), carry[2])
+        signal = ema_scan(line, rows.seeded, rows.seed, 2 / (self.signal + 1), carry[2], rows.given_average(2))
         empty = ~rows.seeded
         histogram = line[:, 0] - signal[:, 0]
         return ([(line[:, 0], empty), (signal[:, 0], empty), (histogram, empty)],
-                [fast[-1], slow[-1], signal[-1]])
+                [fast, slow, signal])
 
 
 @dataclass(frozen=True)
@@ -213,6 +213,26 @@ def with_indicators(
     return ordered_scan(df, wanted, time_col=time_col, value_col=value_col, keys=tuple(keys), tie=tie)
 
 
+def resume_indicators(
+    df: DataFrame,
+    state: DataFrame | None,
+    *indicators,
+    time_col: str = "datetime",
+    value_col: str = "close",
+    keys: Sequence[str] = ("symbol",),
+    tie: str | Sequence[str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The indicators for the later rows ``df`` of series whose earlier rows are in ``state``, and the state after them.
+
+    ``state`` is what the last call gave for the same indicators (None: nothing came before) and has one row for each series: what
+    it costs does not depend on how long the series are. Columns of ``df`` must not bear the indicators' names.
+    """
+    taken = {name.lower() for name in df.columns} & {name.lower() for ind in indicators for name in ind.columns}
+    if taken or not indicators:
+        raise ValueError(f"columns there already: {', '.join(sorted(taken))}" if taken else "no indicators")
+    return resumed_scan(df, indicators, state, time_col=time_col, value_col=value_col, keys=tuple(keys), tie=tie)
+
+
 def sma(df: DataFrame, n: int = 200, min_periods: int = 1, **series) -> DataFrame:
     """``min_periods``, here and below: rows of the series from which on there is a value."""
     return with_indicators(df, Sma(n, min_periods), **series)

@@ -14,6 +14,9 @@ The carried moving averages are affine in the incoming state, so step 2 runs the
 
 A call on the result of another call for the same series starts from the rows sorted there.
 
+A scan can hand on its states and a later one go on from them (``resumed_scan``). The last values of a series are then sorted in front of
+its new rows as rows of their own, and the last of these gives the running averages, which is one more affine map: a constant.
+
 Both passes are iterator Arrow UDFs: only the keys and the value travel to Python, the other columns stay in the JVM.
 They are marked nondeterministic because a row's result depends on the rows before it: no filter may move below them.
 """
@@ -44,6 +47,9 @@ _PART = "__scan_part"
 _VALUE = "__scan_value"
 _TIE = "__scan_tie"
 _ORIGIN = "__scan_origin"
+_PLACE = "__scan_place"
+_GIVEN = "__scan_given"
+STATE = "__scan_state"
 
 
 def affine_scan(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,15 +87,20 @@ def rolling_sum(values: np.ndarray, position: np.ndarray, n: int) -> np.ndarray:
     return total
 
 
-def ema_scan(x: np.ndarray, known: np.ndarray, seed: np.ndarray, alpha: float, carry: np.ndarray) -> np.ndarray:
+def ema_scan(x: np.ndarray, known: np.ndarray, seed: np.ndarray, alpha: float, carry: np.ndarray,
+             given: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """E += alpha * (x - E) at known rows, E = x at seed rows, E unchanged elsewhere, starting from ``carry``.
 
-    ``carry`` has one number per coefficient; columns that ``x`` lacks are zero.
+    ``carry`` has one number per coefficient; columns that ``x`` lacks are zero. ``given``: rows, and what E is there whatever came before.
     """
     a = np.where(known, 1.0 - alpha, 1.0)
     a[seed] = 0.0
     b = np.where(known[:, None], alpha * x, 0.0)
     b[seed] = x[seed]
+    if given is not None:
+        at, values = given
+        a[at] = b[at] = 0.0
+        b[at, 0] = values
     a, b = affine_scan(a, b)
     averages = np.where(a[:, None] == 0, 0.0, a[:, None] * carry)
     averages[:, :b.shape[1]] += b
@@ -107,6 +118,10 @@ class Rows:
     seeded: np.ndarray       # new rows only: the series has had a value
     seed: np.ndarray         # new rows only: the series gets its first value here
     new_x: np.ndarray        # new rows only: the value as a column
+    given: tuple[np.ndarray, np.ndarray] | None = None  # new rows that bring averages to go on from, and those of the indicator at hand
+
+    def given_average(self, k: int) -> tuple[np.ndarray, np.ndarray] | None:
+        return None if self.given is None else (self.given[0], self.given[1][:, k])
 
 
 @dataclass
@@ -130,7 +145,7 @@ class Indicator:
         return []
 
     def run(self, rows: Rows, carry: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[np.ndarray]]:
-        """(values, is_null) per column for the new rows, and the running averages after the last row."""
+        """(values, is_null) per column and the running averages, both for the new rows."""
         raise NotImplementedError
 
 
@@ -147,8 +162,9 @@ class _Series:
         self.key: tuple | None = None
         self.state = state or State()
 
-    def feed(self, x: np.ndarray, known: np.ndarray, keys: list[pa.Array]):
-        """Columns for one batch: a list of (values, is_null) per output column."""
+    def feed(self, x: np.ndarray, known: np.ndarray, keys: list[pa.Array],
+             given: tuple[np.ndarray, np.ndarray] | None = None):
+        """Columns for one batch: a list of (values, is_null) per output column. ``given``: rows that bring averages, and these."""
         first_key = tuple(column[0].as_py() for column in keys)
         starts = _changes(keys, len(x))
         starts[0] = not self.continues if self.key is None else first_key != self.key
@@ -162,7 +178,10 @@ class _Series:
         position = np.arange(len(x)) - run
         position[:_run_end(starts)] += skip
         carried = self.state.averages is not None
-        counted = np.cumsum(known)
+        valued = known.copy()
+        if given is not None:
+            valued[given[0]] = True
+        counted = np.cumsum(valued)
         before = np.where(run > 0, counted[run - 1], 0)
         in_run = counted - before
         in_run[:_run_end(starts)] += carried
@@ -178,18 +197,32 @@ class _Series:
         carry = self.state.averages if carried else np.zeros((self.averages, self.width))
         outputs, averages, offset = [], [], 0
         for indicator in self.indicators:
-            columns, ends = indicator.run(rows, carry[offset:offset + indicator.averages])
+            rows.given = given and (given[0], given[1][:, offset:offset + indicator.averages])
+            columns, running = indicator.run(rows, carry[offset:offset + indicator.averages])
             outputs.extend(columns)
-            averages.extend(ends)
+            averages.extend(running)
             offset += indicator.averages
+        self.rows, self.running, self.starts = rows, averages, starts
         keep = min(self.history, int(rows.position[-1]) + 1)
         self.state = State(
             x=rows.x[len(rows.x) - keep:],
             known=rows.known[len(rows.known) - keep:],
-            averages=np.array(averages).reshape(self.averages, self.width) if rows.seeded[-1] else None,
+            averages=np.array([a[-1] for a in averages]).reshape(self.averages, self.width) if rows.seeded[-1] else None,
         )
         return outputs
 
+    def ends(self) -> list[tuple[int, list, list | None]]:
+        """Of the batch just fed, for the last row of each of its series: row, last values, averages (None before the first value)."""
+        rows, begins = self.rows, np.flatnonzero(self.starts)
+        runs = begins if self.starts[0] else np.concatenate([[0], begins])
+        out = []
+        for begin, end in zip(runs.tolist(), [*runs[1:].tolist(), len(self.starts)]):
+            low = 0 if begin == 0 and not self.starts[0] else rows.skip + begin
+            frame = slice(max(low, rows.skip + end - self.history), rows.skip + end)
+            out.append((end - 1, [v if k else None for v, k in zip(rows.x[frame].tolist(), rows.known[frame])],
+                        [float(a[end - 1, 0]) for a in self.running] if rows.seeded[end - 1] else None))
+        return out
+
 
 def _run_end(starts: np.ndarray) -> int:
     """Number of rows that belong to the run of the first row, 0 when that run is new."""
@@ -243,8 +276,19 @@ _ARROW_SUMMARY = pa.struct([
 ])
 
 
-def _summaries(indicators: Sequence[Indicator]):
-    """Pass one, over (value, part, keys...): null but for the first row (a mark) and the last row (the summary)."""
+def _given(columns: list[pa.Array], averages: int) -> tuple[tuple[np.ndarray, np.ndarray] | None, list[pa.Array]]:
+    """The rows where the first of ``columns``, lists of averages, is not null, and these averages; and the other columns."""
+    lists, *keys = columns
+    at = np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False))
+    if not len(at):
+        return None, keys
+    return (at, np.array(lists.take(pa.array(at)).to_pylist(), dtype="float64").reshape(len(at), averages)), keys
+
+
+def _summaries(indicators: Sequence[Indicator], resumed: bool = False):
+    """Pass one, over (value, part, keys...): null but for the first row (a mark) and the last row (the summary).
+
+    ``resumed``, here and in pass two: in front of the keys is a column of averages to go on from."""
     carrying = [ind for ind in indicators if ind.averages]
     averages = sum(ind.averages for ind in carrying)
     history = max(ind.history for ind in indicators)
@@ -256,6 +300,7 @@ def _summaries(indicators: Sequence[Indicator]):
         series = _Series(carrying, averages + 1, history, unknown, continues=True)
         one_series, seed, waiting, first = True, None, 0, True
         for value, _, *keys in _regroup(batches, batch_rows):
+            given, keys = _given(keys, averages) if resumed else (None, keys)
             x, known = _value_arrays(value)
             if waiting:
                 yield from _padded({"is_first": True} if first else None, waiting, None)
@@ -266,8 +311,10 @@ def _summaries(indicators: Sequence[Indicator]):
             if one_series and seed is None:
                 values = x[:head_rows][known[:head_rows]]
                 seed = float(values[0]) if len(values) else None
+                if seed is None and given is not None and (given[0] < head_rows).any():
+                    seed = 0.0  # of no effect, as the averages are given later on
             one_series = one_series and not crossed and not len(changes)
-            series.feed(x, known, keys)
+            series.feed(x, known, keys, given)
             waiting = len(x)
         if not waiting:
             return
@@ -323,20 +370,44 @@ def _chain(summaries: list, indicators: Sequence[Indicator], key_count: int) ->
     return starts
 
 
-def _outputs(indicators: Sequence[Indicator], starts: Broadcast):
-    """Pass two, over (value, part, keys...): a struct of the indicators' columns for every row."""
+_STATE = pa.struct([("tail", pa.list_(pa.float64())), ("averages", pa.list_(pa.float64()))])
+
+
+def _outputs(indicators: Sequence[Indicator], starts: Broadcast, resumed: bool = False, states: bool = False):
+    """Pass two, over (value, part, keys...): a struct of the indicators' columns for every row.
+
+    ``states``: and the state of the series at the last row that it has in the partition, null at all other rows."""
     history = max(ind.history for ind in indicators)
     batch_rows = max(BATCH_ROWS, history)
+    averages = sum(ind.averages for ind in indicators)
     names = [name for ind in indicators for name in ind.columns]
 
+    def built(columns: list, ends: list | None) -> pa.Array:
+        arrays = [pa.array(values, mask=is_null) for values, is_null in columns]
+        if ends is None:
+            return pa.StructArray.from_arrays(arrays, names)
+        column = np.full(len(columns[0][0]), None, dtype=object)
+        for row, tail, own in ends:
+            column[row] = {"tail": tail, "averages": own}
+        return pa.StructArray.from_arrays([*arrays, pa.array(column, _STATE)], [*names, STATE])
+
     def compute(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        series = None
+        series, waiting = None, None
         for value, part, *keys in _regroup(batches, batch_rows):
+            given, keys = _given(keys, averages) if resumed else (None, keys)
             if series is None:
                 start = starts.value.get(part[0].as_py())
                 series = _Series(indicators, 1, history, start and State(*start), continues=start is not None)
-            columns = series.feed(*_value_arrays(value), keys)
-            yield pa.StructArray.from_arrays([pa.array(values, mask=is_null) for values, is_null in columns], names)
+            columns = series.feed(*_value_arrays(value), keys, given)
+            if not states:
+                yield built(columns, None)
+                continue
+            # Whether a batch's last row ends its series shows in the first row of the next.
+            if waiting:
+                yield built(waiting[0], waiting[1] if series.starts[0] else waiting[1][:-1])
+            waiting = columns, series.ends()
+        if waiting:
+            yield built(*waiting)
 
     return compute
 
@@ -454,3 +525,62 @@ def ordered_scan(
         *_names(kept), *[F.col(_VALUE)[name].alias(name, metadata=APPENDED) for name in columns])
     _SORTED[result] = _Sorted(rows, kept, most_partitions, series, tuple(indicators), states)
     return result
+
+
+def resumed_scan(
+    df: DataFrame,
+    indicators: Sequence[Indicator],
+    state: DataFrame | None = None,
+    *,
+    time_col: str,
+    value_col: str,
+    keys: Sequence[str],
+    tie: str | Sequence[str] | None,
+) -> tuple[DataFrame, DataFrame]:
+    """``ordered_scan`` over the later rows of series whose earlier rows went through scans of the same indicators before.
+
+    ``state`` is what the scan of the earlier rows gave: one row for each series with the keys, the last values (as many as the
+    longest frame needs) and the running averages. Series that it lacks begin here. Gives the rows with the indicators'
+    columns, and the state after them for all series, those without new rows too. The caller sees to it that ``df``
+    holds later rows only.
+    """
+    spark, indicators = df.sparkSession, list(indicators)
+    ties = [tie] if isinstance(tie, str) else list(tie or [])
+    if not ties:
+        hashed = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+        df_, ties = df.withColumn(_TIE, F.xxhash64(*_names(hashed))), [_TIE]
+    else:
+        df_ = df
+    key_columns, averages = _names(keys), T.ArrayType(T.DoubleType())
+    rows = df_.withColumns({_PLACE: F.lit(0), _GIVEN: F.lit(None).cast(averages)})
+    if state is not None:
+        size = F.size("tail")
+        # A series without frames to fill still hands on its averages, with a row of no value.
+        tail = F.when(size > 0, F.col("tail")).otherwise(F.array(F.lit(None).cast("double")))
+        before = state.select(*key_columns, "averages", tail.alias("tail")).select(
+            *key_columns, "averages", F.size("tail").alias("size"), F.posexplode("tail").alias("at", "value")).select(
+            *key_columns, F.col("value").cast(df.schema[value_col].dataType).alias(value_col), (F.col("at") - F.col("size")).alias(_PLACE),
+            F.when(F.col("at") == F.col("size") - 1, F.col("averages")).alias(_GIVEN))
+        rows = rows.unionByName(before, allowMissingColumns=True)
+    most = min(int(spark.conf.get("spark.sql.shuffle.partitions")), _partition_limit(indicators))
+    # The place comes before the time: the rows of a state are in front of all others of their series.
+    rows = _sort(rows, most, keys, _PLACE, [time_col, *ties])
+    inputs = [F.col(f"`{value_col}`").cast("double"), F.col(_PART), F.col(_GIVEN), *key_columns]
+    summarize = F.arrow_udf(_summaries(indicators, True), SUMMARY).asNondeterministic()
+    summaries = (
+        rows.select(*[column.alias(f"key{i}") for i, column in enumerate(key_columns)], F.col(_PART).alias("part"),
+                    summarize(*inputs).alias("summary"))
+        .filter("summary IS NOT NULL")
+        .select(*[f"key{i}" for i in range(len(keys))], "part", "summary.*")
+        .collect()  # two rows per partition, bounded by STATE_BYTES
+    )
+    starts = spark.sparkContext.broadcast(_chain(summaries, indicators, len(keys)))
+    columns = [name for ind in indicators for name in ind.columns]
+    handed = T.StructField(STATE, T.StructType([T.StructField("tail", averages), T.StructField("averages", averages)]))
+    schema = T.StructType([*[T.StructField(name, T.DoubleType()) for name in columns], handed])
+    compute = F.arrow_udf(_outputs(indicators, starts, True, True), schema).asNondeterministic()
+    computed = rows.withColumn(_VALUE, compute(*inputs))
+    result = computed.filter(F.col(_PLACE) == 0).select(*_names(df.columns), *[F.col(_VALUE)[name].alias(name) for name in columns])
+    ends = computed.filter(F.col(_VALUE)[STATE].isNotNull()).select(*key_columns, _PART, F.col(_VALUE)[STATE].alias(STATE))
+    after = ends.groupBy(*key_columns).agg(F.max_by(STATE, _PART).alias(STATE)).select(*key_columns, f"{STATE}.tail", f"{STATE}.averages")
+    return result, after

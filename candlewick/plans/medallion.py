@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candlewick.functions import format_symbol
 from candlewick.operators.decode import chart_bars
-from candlewick.operators.indicators import GOLD, with_indicators
+from candlewick.operators.indicators import GOLD, resume_indicators, with_indicators
 from candlewick.sources.files import PARTITION, read_bars, read_bronze, write_bronze, write_layer
+from candlewick.sources.states import StateTable
 
 
 def build_bronze(captures: DataFrame, path: str, text_col: str = "text", replace: str = "all") -> None:
@@ -23,13 +27,38 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, symbol: str
     return spark.read.parquet(silver)
 
 
+def _partitions_last(df: DataFrame) -> DataFrame:
+    tail = [name for name in PARTITION if name in df.columns]
+    return df.select(*[name for name in df.columns if name not in tail], *tail)
+
+
 def add_gold_columns(bars: DataFrame, **series) -> DataFrame:
     """All gold indicators in one pass, with the partition columns last."""
-    gold = with_indicators(bars, *GOLD, **series)
-    tail = [name for name in PARTITION if name in gold.columns]
-    return gold.select(*[name for name in gold.columns if name not in tail], *tail)
+    return _partitions_last(with_indicators(bars, *GOLD, **series))
 
 
 def silver_to_gold(spark: SparkSession, silver: str, gold: str, replace: str = "all", **series) -> DataFrame:
     write_layer(add_gold_columns(read_bars(spark, silver), **series), gold, replace=replace)
     return spark.read.parquet(gold)
+
+
+def extend_gold(spark: SparkSession, silver: str, gold: str, state: str, until: dt.datetime | None = None) -> DataFrame:
+    """Gold for the bars that came since the last call, from the state that it left: earlier bars are not read again.
+
+    ``state`` is a folder with a row for each series as of a time, below which all bars are in gold. The first call starts with
+    the whole of silver. A call takes the bars from that time on and before ``until`` (None: all), merges their gold rows into
+    the months they belong to and leaves a new state. A call that died half-way can be repeated: gold rows are merged by symbol
+    and time, and a state counts only when it is complete. Bars that arrive late, for times that are in gold already, need
+    ``silver_to_gold``; it leaves no state, so start again with another folder then.
+    """
+    states = StateTable(spark, state, "; ".join(map(repr, GOLD)))
+    since, before = states.latest()
+    bars = read_bars(spark, silver, since, until).filter(F.col("datetime").isNotNull())
+    last = bars.agg(F.max("datetime").alias("last")).select(F.unix_micros("last")).first()[0]
+    if last is None:
+        return spark.read.parquet(gold) if before is not None else add_gold_columns(bars)
+    through = (dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=last + 1)) if until is None else until
+    rows, after = resume_indicators(bars, before, *GOLD)
+    write_layer(_partitions_last(rows), gold, replace="rows")
+    states.put(after, through)
+    return spark.read.parquet(gold)

@@ -268,3 +268,6 @@ ORACLES.update({
     f"ohlcv_{interval.lower() if interval != '1M' else '1mo'}": _with(f"SELECT {BAR_COLUMNS} FROM b", _bars(interval))
     for interval in (*WINDOW_INTERVALS, *CALENDAR_INTERVALS)
 })
+
+# Gold in several runs is gold.
+ORACLES["gold_incremental"] = ORACLES["medallion_gold"]

@@ -360,6 +360,16 @@ def medallion_gold(spark, sf_dir):
                        *_round("macd_line", "signal_line", "macd_histogram", digits=4), "year", "month")
 
 
+def gold_incremental(spark, sf_dir):
+    """Gold in four runs, cut within months: each reads the silver since the last one and the state it left."""
+    base = _staged_silver(spark, sf_dir)
+    for until in ((1992, 9, 3, 12), (1995, 6, 17), (1995, 6, 18), None):
+        gold = plans.extend_gold(spark, f"{base}/silver", f"{base}/gold", f"{base}/state",
+                                 until and dt.datetime(*until, tzinfo=dt.timezone.utc))
+    return gold.select("symbol", _text("datetime").alias("datetime"), "close", *_single("sma200", "ema50", "rsi14"),
+                       *_round("macd_line", "signal_line", "macd_histogram", digits=4), "year", "month")
+
+
 def month_partitions(spark, sf_dir):
     base = scratch_path(spark, "months")
     sources.write_bronze(views.shipment_bars(spark, sf_dir), base)
@@ -508,7 +518,7 @@ QUERIES: dict[str, Query] = {
         chart_parse, chart_messages, symbol_format, time_range,
         sma_200, sma_min_periods, gold_guard, ema_50, price_change, gain_loss, rsi_14, macd, gold, indicator_chain, one_series,
         resample_1h_to_1d, latest_bars_10, latest_bars_1516, history,
-        medallion_silver, bars_range, medallion_replace_months, medallion_upsert, bronze_rejects, medallion_gold, month_partitions, catalog_table, bronze_from_charts,
+        medallion_silver, bars_range, medallion_replace_months, medallion_upsert, bronze_rejects, medallion_gold, gold_incremental, month_partitions, catalog_table, bronze_from_charts,
         wide_tick_records, wide_vwap_records, narrow_records, latest_version, topics_to_records, rejected_messages,
         records_stream, records_compacted, vwap_late_restart, scalar_functions,
     )
