@@ -14,6 +14,11 @@ The carried moving averages are affine in the incoming state, so step 2 runs the
 
 A call on the result of another call for the same series starts from the rows sorted there.
 
+The last values that a partition's frames need go through the driver with the summaries while all of them fit into ``STATE_BYTES``. For
+longer frames they are exchanged as rows (``_with_halo``): the driver gets counts only, every row that stands within a frame's length
+before the begin of a partition is copied there, and pass two meets these copies first. The number of partitions does not depend on
+the frames; what is copied is, for each partition, as many rows as the longest frame has.
+
 A scan can hand on its states and a later one go on from them (``resumed_scan``). The last values of a series are then sorted in front of
 its new rows as rows of their own, and the last of these gives the running averages, which is one more affine map: a constant.
 
@@ -23,6 +28,7 @@ They are marked nondeterministic because a row's result depends on the rows befo
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from weakref import WeakKeyDictionary
@@ -47,6 +53,7 @@ _PART = "__scan_part"
 _VALUE = "__scan_value"
 _TIE = "__scan_tie"
 _ORIGIN = "__scan_origin"
+_ROW = "__scan_row"
 _PLACE = "__scan_place"
 _GIVEN = "__scan_given"
 STATE = "__scan_state"
@@ -269,10 +276,12 @@ SUMMARY = T.StructType([
     T.StructField("seed", T.DoubleType()),
     T.StructField("tail", T.ArrayType(T.DoubleType())),
     T.StructField("averages", T.ArrayType(T.DoubleType())),
+    T.StructField("rows", T.LongType()),
+    T.StructField("run", T.LongType()),
 ])
 _ARROW_SUMMARY = pa.struct([
     ("is_first", pa.bool_()), ("is_last", pa.bool_()), ("one_series", pa.bool_()), ("seed", pa.float64()),
-    ("tail", pa.list_(pa.float64())), ("averages", pa.list_(pa.float64())),
+    ("tail", pa.list_(pa.float64())), ("averages", pa.list_(pa.float64())), ("rows", pa.int64()), ("run", pa.int64()),
 ])
 
 
@@ -285,20 +294,21 @@ def _given(columns: list[pa.Array], averages: int) -> tuple[tuple[np.ndarray, np
     return (at, np.array(lists.take(pa.array(at)).to_pylist(), dtype="float64").reshape(len(at), averages)), keys
 
 
-def _summaries(indicators: Sequence[Indicator], resumed: bool = False):
+def _summaries(indicators: Sequence[Indicator], resumed: bool = False, tails: bool = True):
     """Pass one, over (value, part, keys...): null but for the first row (a mark) and the last row (the summary).
 
-    ``resumed``, here and in pass two: in front of the keys is a column of averages to go on from."""
+    ``resumed``, here and in pass two: in front of the keys is a column of averages to go on from. Without ``tails`` the last
+    values are left out. ``rows`` counts the partition's rows, ``run`` those of its last series."""
     carrying = [ind for ind in indicators if ind.averages]
     averages = sum(ind.averages for ind in carrying)
-    history = max(ind.history for ind in indicators)
+    history = max(ind.history for ind in indicators) if tails else 0
     batch_rows = max(BATCH_ROWS, history)
 
     def summarize(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         # The first series may go on from an earlier partition: its averages start as the unknowns themselves.
         unknown = State(averages=np.eye(averages, averages + 1, k=1))
         series = _Series(carrying, averages + 1, history, unknown, continues=True)
-        one_series, seed, waiting, first = True, None, 0, True
+        one_series, seed, waiting, first, rows, run = True, None, 0, True, 0, 0
         for value, _, *keys in _regroup(batches, batch_rows):
             given, keys = _given(keys, averages) if resumed else (None, keys)
             x, known = _value_arrays(value)
@@ -314,6 +324,8 @@ def _summaries(indicators: Sequence[Indicator], resumed: bool = False):
                 if seed is None and given is not None and (given[0] < head_rows).any():
                     seed = 0.0  # of no effect, as the averages are given later on
             one_series = one_series and not crossed and not len(changes)
+            rows += len(x)
+            run = len(x) - int(changes[-1]) if len(changes) else len(x) if crossed else run + len(x)
             series.feed(x, known, keys, given)
             waiting = len(x)
         if not waiting:
@@ -323,6 +335,7 @@ def _summaries(indicators: Sequence[Indicator], resumed: bool = False):
             "is_last": True, "one_series": one_series, "seed": seed,
             "tail": [v if k else None for v, k in zip(state.x.tolist(), state.known)],
             "averages": None if state.averages is None else state.averages.reshape(-1).tolist(),
+            "rows": rows, "run": run,
         }
         yield from _padded({"is_first": True} if first else None, waiting, summary)
 
@@ -412,6 +425,72 @@ def _outputs(indicators: Sequence[Indicator], starts: Broadcast, resumed: bool =
     return compute
 
 
+def _halo_outputs(indicators: Sequence[Indicator], starts: Broadcast):
+    """Pass two over (value, part, row, keys...), in order of part and row, where the rows before row 0 are copies from parts before."""
+    history = max(ind.history for ind in indicators)
+    batch_rows = max(BATCH_ROWS, history)
+    names = [name for ind in indicators for name in ind.columns]
+
+    def compute(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        series, at, before = None, None, []
+        for value, part, row, *keys in _regroup(batches, batch_rows):
+            x, known = _value_arrays(value)
+            parts, copied = part.to_numpy(), row.to_numpy() < 0
+            edges = np.flatnonzero((parts[1:] != parts[:-1]) | (copied[1:] != copied[:-1])) + 1
+            out = []
+            for low, high in zip([0, *edges.tolist()], [*edges.tolist(), len(x)]):
+                if parts[low] != at:
+                    series, at, before = None, parts[low], []
+                if copied[low]:
+                    before.append((x[low:high], known[low:high]))
+                    out.append(pa.StructArray.from_arrays([pa.nulls(high - low, pa.float64())] * len(names), names))
+                    continue
+                if series is None:
+                    start = starts.value.get(int(at))
+                    state = State(*(np.concatenate(c) for c in zip(*before)) if before else (), averages=start[2]) if start else None
+                    series = _Series(indicators, 1, history, state, continues=start is not None)
+                columns = series.feed(x[low:high], known[low:high], [key.slice(low, high - low) for key in keys])
+                out.append(pa.StructArray.from_arrays([pa.array(values, mask=is_null) for values, is_null in columns], names))
+            yield pa.concat_arrays(out)
+
+    return compute
+
+
+def _with_halo(rows: DataFrame, columns: list[Column], summaries: list, starts: dict[int, tuple], history: int,
+               partitions: int) -> DataFrame:
+    """``rows`` with, in front of each part that goes on with a series, copies of the ``history`` rows of the series before it, of
+    which only ``columns`` are filled.
+
+    Rows are numbered through all parts. A part's copies are the rows from some number on up to its own first row, and both grow with
+    the part, so a row goes to the parts next to its own up to a last one, which is found by counting the begins at or below it.
+    """
+    counts = {row["part"]: row for row in sorted(summaries, key=lambda r: r["part"]) if row["is_last"]}
+    order, first, series, begins = list(counts), {}, {}, []
+    total = start_of_series = 0
+    for i, part in enumerate(order):
+        row, first[part] = counts[part], total
+        begin = max(total - history, start_of_series) if part in starts else total
+        begins.append(max(begin, begins[-1] if begins else 0))
+        total += row["rows"]
+        if not (row["one_series"] and part in starts):
+            start_of_series = total - row["run"]
+    table = []
+    for i, part in enumerate(order):
+        low, high = first[part], first[part] + counts[part]["rows"]
+        k = bisect_right(begins, low)
+        table.append((part, i, low, k - 1, begins[k:bisect_left(begins, high)]))
+    spark = rows.sparkSession
+    places = spark.createDataFrame(table, f"{_PART} int, __nth int, __low long, __base int, __inside array<long>")
+    parts = spark.createDataFrame([(i, part, first[part]) for i, part in enumerate(order)], "__to int, __to_part int, __begin long")
+    number = F.col("__low") + F.col(_ROW)
+    last = F.col("__base") + F.size(F.filter("__inside", lambda b: b <= number))
+    copies = rows.select(*columns, _PART, _ROW).join(F.broadcast(places), _PART).withColumn("__number", number).where(last > F.col("__nth")) \
+        .withColumn("__to", F.explode(F.sequence(F.col("__nth") + 1, last))).join(F.broadcast(parts), "__to") \
+        .select(
+            *columns, F.col("__to_part").alias(_PART), (F.col("__number") - F.col("__begin")).alias(_ROW))
+    return rows.unionByName(copies, allowMissingColumns=True).repartitionByRange(partitions, _PART).sortWithinPartitions(_PART, _ROW)
+
+
 def _partition_limit(indicators: Sequence[Indicator]) -> int:
     history = max(ind.history for ind in indicators)
     averages = sum(ind.averages for ind in indicators)
@@ -470,7 +549,9 @@ def _sort(df: DataFrame, most_partitions: int, keys: Sequence[str], time_col: st
         ranged = marked.repartitionByRange(*order)
     shared_dir(df.sparkSession)
     part = F.spark_partition_id().alias(_PART)
-    return ranged.sortWithinPartitions(*order).select(*_names(df.columns), part).checkpoint()
+    # The number of the row within its partition.
+    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias(_ROW)
+    return ranged.sortWithinPartitions(*order).select(*_names(df.columns), part, row).checkpoint()
 
 
 def ordered_scan(
@@ -499,19 +580,19 @@ def ordered_scan(
         rows, kept, most_partitions = before.rows, before.columns, before.most_partitions
     else:
         kept = df.columns
-        wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        most_partitions = min(wanted, _partition_limit(indicators))
+        most_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         rows = _sort(df, most_partitions, keys, time_col, ties)
 
+    halo = most_partitions > _partition_limit(indicators)
     key_columns = _names(keys)
     inputs = [F.col(f"`{value_col}`").cast("double"), F.col(_PART), *key_columns]
-    summarize = F.arrow_udf(_summaries(added), SUMMARY).asNondeterministic()
+    summarize = F.arrow_udf(_summaries(added, tails=False) if halo else _summaries(added), SUMMARY).asNondeterministic()
     summaries = (
         rows.select(*[column.alias(f"key{i}") for i, column in enumerate(key_columns)], F.col(_PART).alias("part"),
                     summarize(*inputs).alias("summary"))
         .filter("summary IS NOT NULL")
         .select(*[f"key{i}" for i in range(len(keys))], "part", "summary.*")
-        .collect()  # two rows per partition, bounded by STATE_BYTES
+        .collect()  # two rows per partition, of a fixed size with a halo, else bounded by STATE_BYTES
     )
     states = _chain(summaries, added, len(keys))
     if len(added) < len(indicators):
@@ -520,10 +601,16 @@ def ordered_scan(
 
     columns = [name for ind in indicators for name in ind.columns]
     schema = T.StructType([T.StructField(name, T.DoubleType()) for name in columns])
-    compute = F.arrow_udf(_outputs(indicators, starts), schema).asNondeterministic()
-    result = rows.withColumn(_VALUE, compute(*inputs)).select(
-        *_names(kept), *[F.col(_VALUE)[name].alias(name, metadata=APPENDED) for name in columns])
-    _SORTED[result] = _Sorted(rows, kept, most_partitions, series, tuple(indicators), states)
+    if halo:
+        around = _with_halo(rows, [*key_columns, F.col(f"`{value_col}`")], summaries, states, max(ind.history for ind in indicators), most_partitions)
+        compute = F.arrow_udf(_halo_outputs(indicators, starts), schema).asNondeterministic()
+        computed = around.withColumn(_VALUE, compute(*inputs[:2], F.col(_ROW), *key_columns)).filter(F.col(_ROW) >= 0)
+    else:
+        compute = F.arrow_udf(_outputs(indicators, starts), schema).asNondeterministic()
+        computed = rows.withColumn(_VALUE, compute(*inputs))
+    result = computed.select(*_names(kept), *[F.col(_VALUE)[name].alias(name, metadata=APPENDED) for name in columns])
+    if not halo:
+        _SORTED[result] = _Sorted(rows, kept, most_partitions, series, tuple(indicators), states)
     return result
 
 
