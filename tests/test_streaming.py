@@ -82,6 +82,24 @@ def test_append_sends_each_window_once_after_the_watermark(spark, topic):
     assert len(sent) == len(want) == 3 and {r["key"] for r in got} == {"A", "B"}
 
 
+def test_sent_and_open_windows_are_the_batch_result(spark, topic):
+    """At the end of every run, and between runs, what is sent and what is open are together all windows so far."""
+    windows = plans.tick_topic_to_windows(source(spark, topic / "topic"))
+    streaming.run(streaming.parquet_writer(windows, str(topic / "out"), str(topic / "cp"), files=1), available_now=True)
+    sent = flat(spark.read.schema(schemas.VWAP).parquet(str(topic / "out")))
+    held = flat(streaming.open_windows(spark, str(topic / "cp")))
+    assert not set(sent) & set(held) and {**sent, **held} == flat(batch_result(spark, in_time()))
+    assert held["B", "2024-01-01 00:20:00"] is None and len(held) > 1
+
+
+def test_state_of_another_query(spark, tmp_path):
+    put(spark, tmp_path / "topic", 0, BATCHES[0])
+    counts = source(spark, tmp_path / "topic").groupBy("topic").count()
+    streaming.run(streaming.versioned_writer(counts, str(tmp_path / "out"), str(tmp_path / "cp")), available_now=True)
+    with pytest.raises(ValueError, match="VWAP"):
+        streaming.open_windows(spark, str(tmp_path / "cp"))
+
+
 def test_restart_goes_on_from_the_checkpoint(spark, tmp_path):
     def run_once():
         windows = plans.tick_topic_to_windows(source(spark, tmp_path / "topic"))

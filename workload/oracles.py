@@ -124,6 +124,8 @@ ORACLES: dict[str, str] = {
     "vwap_5m_stream_update": _vwap(),
     "vwap_5m_stream_append": _vwap(
         "WHERE start + INTERVAL '5 minutes' <= (SELECT max(date_trunc('second', ts)) FROM t) - INTERVAL '5 minutes'"),
+    "vwap_open_windows": _vwap(first="""CASE WHEN start + INTERVAL '5 minutes' <= (SELECT max(date_trunc('second', ts)) FROM t)
+        - INTERVAL '5 minutes' THEN 'sent' ELSE 'open' END AS state,"""),
     "vwap_encode": _vwap("WHERE vwap IS NOT NULL", "symbol AS key,"),
     "empty_windows": _with(f"SELECT strftime(start, {STAMP}) AS window_start, symbol FROM w WHERE vwap IS NULL", WINDOWS),
     "tick_decode": _with(f"""

@@ -73,6 +73,16 @@ def vwap_5m_stream_append(spark, sf_dir):
     return rows.select("window_start", "window_end", "symbol", *_single("vwap"))
 
 
+def vwap_open_windows(spark, sf_dir):
+    """What a query in append mode has sent, and the windows that it still holds in its state."""
+    base = scratch_path(spark, "vwap-open")
+    streaming.run(streaming.parquet_writer(_window_stream(spark, sf_dir), f"{base}/table", f"{base}/checkpoint"),
+                  available_now=True)
+    sent = spark.read.schema(schemas.VWAP).parquet(f"{base}/table").withColumn("state", F.lit("sent"))
+    open_ = streaming.open_windows(spark, f"{base}/checkpoint").withColumn("state", F.lit("open"))
+    return sent.unionByName(open_).select("state", "window_start", "window_end", "symbol", *_single("vwap"))
+
+
 # Messages
 
 def _doubtful_messages(spark, sf_dir):
@@ -520,7 +530,7 @@ QUERIES: dict[str, Query] = {
         resample_1h_to_1d, latest_bars_10, latest_bars_1516, history,
         medallion_silver, bars_range, medallion_replace_months, medallion_upsert, bronze_rejects, medallion_gold, gold_incremental, month_partitions, catalog_table, bronze_from_charts,
         wide_tick_records, wide_vwap_records, narrow_records, latest_version, topics_to_records, rejected_messages,
-        records_stream, records_compacted, vwap_late_restart, scalar_functions,
+        records_stream, records_compacted, vwap_late_restart, vwap_open_windows, scalar_functions,
     )
 }
 QUERIES.update({f"ohlcv_{interval.lower() if interval != '1M' else '1mo'}": _ohlcv(interval)
