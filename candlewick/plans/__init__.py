@@ -1,4 +1,4 @@
-from candlewick.plans.medallion import add_gold_columns, bronze_to_silver, build_bronze, extend_gold, silver_to_gold
+from candlewick.plans.medallion import add_gold_columns, bronze_to_silver, build_bronze, extend_gold, latest_stored_bars, silver_to_gold
 from candlewick.plans.realtime import (
     candle_topic_to_ticks, compact_records, latest_records, rejected_messages, tick_topic_to_vwap_topic, tick_topic_to_windows,
     topics_to_records,
@@ -6,6 +6,6 @@ from candlewick.plans.realtime import (
 
 __all__ = [
     "add_gold_columns", "bronze_to_silver", "build_bronze", "candle_topic_to_ticks", "compact_records",
-    "extend_gold", "latest_records", "rejected_messages", "silver_to_gold",
+    "extend_gold", "latest_records", "latest_stored_bars", "rejected_messages", "silver_to_gold",
     "tick_topic_to_vwap_topic", "tick_topic_to_windows", "topics_to_records",
 ]

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions import format_symbol
+from candlewick.operators.bars import latest_bars
 from candlewick.operators.decode import chart_bars
 from candlewick.operators.indicators import GOLD, resume_indicators, with_indicators
 from candlewick.sources.files import PARTITION, read_bars, read_bronze, write_bronze, write_layer
@@ -42,6 +44,29 @@ def silver_to_gold(spark: SparkSession, silver: str, gold: str, replace: str = "
     return spark.read.parquet(gold)
 
 
+def latest_stored_bars(spark: SparkSession, path: str, n_bars: int = 10, keys: Sequence[str] = ("symbol",), time_col: str = "datetime",
+                       tie: str | None = None) -> DataFrame:
+    """The latest ``n_bars`` rows of every key of a layer; of the months, newest first, only those are read that a key needs.
+
+    How many rows a key has in a month takes the key columns alone. From the newest month on, a key needs months until it has
+    ``n_bars`` rows; a key without bars for years needs the old months in which it has them, and only its rows there.
+    ``year`` and ``month`` are those of the time, as the layers here have them; rows without a time are left out.
+    """
+    table = spark.read.parquet(path)
+    number = F.col("year") * 12 + F.col("month")
+    counts = table.filter(number.isNotNull()).groupBy(*keys, number.alias("__month")).agg(F.count(F.lit(1)).alias("__n"))
+    newest = Window.partitionBy(*keys).orderBy(F.col("__month").desc())
+    needed = counts.withColumn("__newer", F.sum("__n").over(newest) - F.col("__n")).filter(F.col("__newer") < n_bars)
+    # The first month of every key: one row for each key.
+    first = needed.groupBy(*[F.col(f"`{key}`").alias(f"__{key}") for key in keys]).agg(F.min("__month").alias("__first"))
+    months = [row[0] for row in needed.select("__month").distinct().collect()]  # as many as the calendar has
+    same = F.lit(True)
+    for key in keys:
+        same &= F.col(f"`{key}`").eqNullSafe(F.col(f"__{key}"))
+    rows = table.filter(number.isin(months) & F.col(time_col).isNotNull()).join(first, same & (number >= F.col("__first")), "left_semi")
+    return latest_bars(rows, n_bars, time_col, keys, tie)
+
+
 def extend_gold(spark: SparkSession, silver: str, gold: str, state: str, until: dt.datetime | None = None) -> DataFrame:
     """Gold for the bars that came since the last call, from the state that it left: earlier bars are not read again.
 

@@ -95,6 +95,26 @@ def test_merging_rows_keeps_other_symbols_and_days(spark, bars, tmp_path, layer)
     assert same_rows(stored(), want)
 
 
+@pytest.mark.parametrize("n_bars", [1, 40, 500, 2000])
+def test_latest_bars_of_a_layer_read_the_months_they_need(spark, bars, tmp_path, n_bars):
+    path = str(tmp_path / "t")
+    gone = bars.filter("symbol = 'B' AND datetime < '2022-04-11'")
+    unnamed = bars.filter("symbol = 'B' AND datetime < '2022-02-04'").withColumn("symbol", F.lit(None).cast("string"))
+    stored = bars.filter("symbol = 'A'").unionByName(gone).unionByName(unnamed)
+    sources.write_layer(sources.with_year_month(stored), path)
+    latest = plans.latest_stored_bars(spark, path, n_bars)
+    days = {"A": 730, "B": 100, None: 34}
+    got = latest.collect()
+    assert {s: sum(r["symbol"] == s for r in got) for s in days} == {s: min(n, n_bars) for s, n in days.items()}
+    want = [r for s in days for r in sorted((x for x in stored.collect() if x["symbol"] == s), key=lambda r: r["datetime"])[-n_bars:]]
+    assert sorted(map(repr, latest.select(stored.columns).collect())) == sorted(map(repr, want))
+    months = {(r["year"], r["month"]) for r in got}
+    read = re.findall(r"PartitionFilters: \[([^\]]*)\]", latest._jdf.queryExecution().executedPlan().toString())
+    if n_bars == 40:  # two months of each symbol
+        assert months == {(2023, 12), (2023, 11), (2022, 4), (2022, 3), (2022, 2), (2022, 1)}
+        assert any(str(2023 * 12 + 12) in f and str(2023 * 12 + 5) not in f for f in read), read
+
+
 def test_merging_nulls_repeats_and_other_columns(spark, tmp_path):
     path = str(tmp_path / "t")
     schema = "symbol string, datetime timestamp, close double, year int, month int"

@@ -202,6 +202,9 @@ ORACLES: dict[str, str] = {
     "history": _with(f"""
         SELECT {BAR_COLUMNS} FROM b WHERE symbol = 'click' ORDER BY bar_time DESC LIMIT 20""", _bars("4H")),
     "medallion_silver": f"WITH {SHIPMENTS} SELECT {BAR_COLUMNS}, {YEAR_MONTH} FROM s",
+    "latest_silver_bars": f"""WITH {SHIPMENTS}
+        SELECT {BAR_COLUMNS}, {YEAR_MONTH} FROM s WHERE symbol <> 'N' OR year(bar_time) < 1996
+        QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY bar_time DESC) <= 40""",
     "bars_range": f"""WITH {SHIPMENTS} SELECT {BAR_COLUMNS}, {YEAR_MONTH} FROM s
         WHERE bar_time >= TIMESTAMP '1995-01-31 22:00:00' AND bar_time < TIMESTAMP '1996-04-01 03:30:00'""",
     "medallion_replace_months": f"""WITH {SHIPMENTS}

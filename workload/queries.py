@@ -311,6 +311,15 @@ def medallion_silver(spark, sf_dir):
     return silver.select("symbol", _text("datetime").alias("datetime"), *PRICES, "year", "month")
 
 
+def latest_silver_bars(spark, sf_dir):
+    """The last 40 bars of every symbol in silver; N has none in the last years, so older months are needed for it alone."""
+    base = scratch_path(spark, "latest")
+    bars = views.shipment_bars(spark, sf_dir).filter("symbol <> 'N' OR year(datetime) < 1996")
+    sources.write_layer(sources.with_year_month(bars), f"{base}/silver")
+    latest = plans.latest_stored_bars(spark, f"{base}/silver", 40)
+    return latest.select("symbol", _text("datetime").alias("datetime"), *PRICES, "year", "month")
+
+
 def bars_range(spark, sf_dir):
     """Silver bars between two bounds with zones, which fall into other months than they are written in."""
     base = _staged_silver(spark, sf_dir)
@@ -527,7 +536,7 @@ QUERIES: dict[str, Query] = {
         tick_decode, tick_filter, tick_rejects, candle_rejects, candles_many_symbols, chart_rejects, kafka_preview, candle_to_tick, candle_topic_to_ticks, candle_preview,
         chart_parse, chart_messages, symbol_format, time_range,
         sma_200, sma_min_periods, gold_guard, ema_50, price_change, gain_loss, rsi_14, macd, gold, indicator_chain, one_series,
-        resample_1h_to_1d, latest_bars_10, latest_bars_1516, history,
+        resample_1h_to_1d, latest_bars_10, latest_bars_1516, latest_silver_bars, history,
         medallion_silver, bars_range, medallion_replace_months, medallion_upsert, bronze_rejects, medallion_gold, gold_incremental, month_partitions, catalog_table, bronze_from_charts,
         wide_tick_records, wide_vwap_records, narrow_records, latest_version, topics_to_records, rejected_messages,
         records_stream, records_compacted, vwap_late_restart, vwap_open_windows, scalar_functions,
