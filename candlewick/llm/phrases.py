@@ -120,6 +120,7 @@ def phrase_counts(text: bytes, carried: int, lang: str, seed: int, scan: int, re
     known.default_factory = known.__len__
     known[_END]
     words = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
+    del tokens
     salt = xxhash.xxh3_64_intdigest(lang.encode(), seed)
     keys = np.fromiter((xxhash.xxh3_64_intdigest(word, salt) for word in known), np.uint64, len(known))
     signed = keys.view(np.int64)
@@ -165,8 +166,8 @@ def _scan(scan: int, seed: int, shared, shards: int, chunk: int):
     def rows(lang: str, texts: list[bytes], reached) -> Iterator[pa.RecordBatch]:
         for run, carried in runs(_END.join(texts), chunk):
             for found in phrase_counts(run, carried, lang, seed, scan, reached, shards):
-                for begin in range(0, len(found), 1 << 17):
-                    yield found.slice(begin, 1 << 17)
+                for begin in range(0, len(found), 1 << 15):
+                    yield found.slice(begin, 1 << 15)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reached = _unpacked(shared.value)
