@@ -27,6 +27,7 @@ def vwap(
         F.try_divide(F.sum(F.col("close") * F.col("volume")), F.sum("volume")).alias("vwap"))
 
 
+# The names of the message fields.
 def vwap_rows(windows: DataFrame) -> DataFrame:
     """Message form: window bounds as text in the session zone."""
     return windows.select(
