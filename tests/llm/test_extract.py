@@ -88,3 +88,74 @@ def test_articles_of_the_tables(spark):
     ("<article><p>a</p><svg href=x/>no</svg><p>b</p></article>", "a b"), ("<article><p>a</p><script src='x'/>no</script><p>b</p>", "a b")])
 def test_self_closed_svg_and_math_swallow_no_text(page, text):
     assert X.main_text(page.encode())[0] == text
+
+
+LONG = "A paragraph of plain prose with enough words in it to look like the text of an article to any reader at all."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f'<p title="the hidden truth">{LONG}</p>', LONG), (f'<article data-state="not hidden here"><p>{LONG}</article>', LONG),
+    (f"<article><p hidden>no</p><p hidden=''>no</p><p HIDDEN>no</p><p>{LONG}</article>", LONG)])
+def test_only_the_attribute_hides(page, text):
+    assert X.main_text(page.encode())[0] == text
+
+
+@pytest.mark.parametrize("around", [
+    '<div class="layout has-sidebar"><article>', '<div class="content-sidebar-wrap"><main>', '<div class="site no-sidebar"><article>',
+    '<div class="ad-free"><article>', '<div class="left side"><article>', '<div class="site no-sidebar">', '<div class="ad-free">',
+    '<form id="aspnetForm"><article>', '<div id="page" class="social popular"><div><main>', '<body class="sidebar"><div class="page">'])
+def test_words_of_the_layout_do_not_count_inside(around):
+    page = f"<nav><a href=a>Menu</a></nav>{around}<h1>Title</h1><p>{LONG}</p><p>Short.</p>"
+    assert X.main_text(page.encode())[0] == f"Title {LONG} Short."
+
+
+@pytest.mark.parametrize("inner, text", [
+    ('<section class="legal"><p>The law says that.</section>', " The law says that."), (f'<p class="share">{LONG}', f" {LONG}"),
+    ('<h2 id="related-work">Related work</h2>', " Related work"), ('<section id="discussion"><p>Talk</section>', " Talk"),
+    ('<div class="share"><a href=x>Tell</a> <a href=y>a friend</a></div>', ""), (f'<div class="advert"><p>{LONG}</div>', ""),
+    (f'<div class="newsletter-box"><p>{LONG}</div>', ""), (f'<div id="comments"><p>{LONG}</div>', "")])
+def test_parts_of_an_article(inner, text):
+    assert X.main_text(f"<article><p>{LONG}</p>{inner}</article>".encode())[0] == LONG + text
+
+
+@pytest.mark.parametrize("page", [
+    f'<div class="comments"><article><p>{LONG}</article></div>', f'<aside><article><p>{LONG}</article></aside>',
+    f'<div class="sidebar"><p>{LONG}</div>', f'<article class="comment"><p>{LONG}</article>', f'<form><p>{LONG}</form>'])
+def test_articles_that_are_none(page):
+    assert X.main_text(f"<article><p>yes</article>{page}".encode())[0] == "yes"
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<body><p>Hello world.</p></body>", "Hello world."), (f"<div>{LONG}</div><div>Short one.</div>", f"{LONG} Short one."),
+    (f"<p>{LONG}</p><nav><a href=x>One</a></nav>", LONG), ("plain text", "plain text")])
+def test_plain_pages(page, text):
+    assert X.main_text(page.encode())[0] == text
+
+
+@pytest.mark.parametrize("k", [2, 3, 5, 20, 8000])
+def test_link_paragraphs_do_not_draw_text_away(k):
+    page = '<div class="content">' + f"<p>{LONG}</p><p><a href=x>Another story here</a></p>" * k
+    assert X.main_text(page.encode())[1:] == (2 * k, k)
+
+
+@pytest.mark.parametrize("page", [
+    "<div>word" * 8000, "<div>" * 8000 + "a</div>" * 8000, "<div>word" * 8000 + "a</div>" * 8000, "<div>" * 8000 + "</i>x" * 8000,
+    "<div><b>" * 8000 + "</i>x</span>" * 8000, "<b>" * 8000 + "<li>x" * 8000, "<!" * 100_000, "<body><head>" * 8000])
+def test_broken_and_deep_pages_take_linear_time(page):
+    import time
+    start = time.process_time()
+    X.main_text(page.encode())
+    assert time.process_time() - start < 2
+
+
+def test_lowest_common_elements():
+    rng = random.Random(3)
+    _, elements = X.blocks_of("".join(rng.choice(["<div>", "<div>", "</div>"]) for _ in range(600)))
+
+    def path(a):
+        return [a] + path(elements[a].parent) if a else [0]
+
+    for _ in range(500):
+        a, b = rng.randrange(len(elements)), rng.randrange(len(elements))
+        common = max(elements[e].depth for e in set(path(a)) & set(path(b)))
+        assert X._near(a, b, elements) == max(elements[a].depth, elements[b].depth) - common
