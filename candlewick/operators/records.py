@@ -11,6 +11,8 @@ from candlewick.functions import double_text, is_finite, iso_to_epoch_ms, now_ep
 from candlewick.operators.decode import usable_tick
 
 IDENTITY = ("Dimensions", "Time", "MeasureName")
+#: Column by which tables of versions are bucketed: a hash of the identity.
+BUCKET_KEY = "identity_hash"
 
 # Names and units of the record format.
 TICK_MEASURE = "market_metrics"

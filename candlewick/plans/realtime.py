@@ -16,10 +16,11 @@ from candlewick.operators.decode import (
     usable_tick, valid_candles, valid_ticks,
 )
 from candlewick.operators.records import (
-    IDENTITY, latest_version, tick_record, usable_vwap, vwap_record,
+    BUCKET_KEY, IDENTITY, latest_version, tick_record, usable_vwap, vwap_record,
 )
 from candlewick.operators.vwap import encode_vwap, vwap, vwap_rows
 from candlewick.sources.files import replace_parts
+from candlewick.sources.versions import compact_versions, create_versions
 
 QUOTES = "quotes"
 VWAPS = "vwap"
@@ -81,9 +82,9 @@ def latest_records(stored: DataFrame) -> DataFrame:
     """The last version of each record of ``topics_to_records``. A filter on ``table`` or ``date`` prunes the files.
 
     Within a partition of the topic the later offset wins, whatever the clocks say; only between partitions (after a topic
-    got more of them) does the version decide.
+    got more of them) does the version decide. Rows of a bucketed table (``sources.create_versions``) are not shuffled.
     """
-    identity = ["table", "date", *IDENTITY]
+    identity = ["table", "date", *IDENTITY, *[c for c in stored.columns if c == BUCKET_KEY]]
     return latest_version(latest_version(stored, [*identity, "partition"], ["offset", "Version"]), identity, ["Version", "partition"])
 
 
@@ -92,6 +93,18 @@ def compact_records(spark: SparkSession, path: str, closed: Column) -> None:
     replace_parts(spark, latest_records(spark.read.parquet(path).filter(closed)), path, ["table", "date"], "records")
 
 
+def create_record_table(spark: SparkSession, name: str, path: str, buckets: int = 64) -> None:
+    """Bucketed catalog table for the rows of ``topics_to_records``: fill it with ``sources.versions_writer`` (or
+    ``append_versions``), read it through ``latest_records(spark.table(name))``."""
+    empty = spark.createDataFrame([], schemas.KAFKA_RECORD)
+    create_versions(spark, name, path, topics_to_records(empty, "", "").schema, ["table", "date", *IDENTITY], ["table", "date"], buckets)
+
+
+def compact_record_table(spark: SparkSession, name: str, closed: str) -> None:
+    """Leave one row per record in the days for which ``closed``, a condition on ``table`` and ``date``, holds; see ``compact_versions``."""
+    compact_versions(spark, name, closed, latest_records)
+
+
 def rejected_messages(records: DataFrame, tick_topic: str, vwap_topic: str) -> DataFrame:
     """Topic and text of the messages that give no record."""
     return _messages(records, tick_topic, vwap_topic).filter(F.col("table").isNull()).select("topic", "json")

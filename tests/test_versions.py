@@ -1,0 +1,155 @@
+import pytest
+from pyspark.sql import functions as F
+
+from candlewick import sources
+from candlewick.operators import records
+from candlewick.sources import versions
+
+SCHEMA = "k string, v long, day date, batch long"
+
+
+def stored(spark, tmp_path, name, batches=3):
+    """Keys 0 to 19 over three days, each day again in every batch, and one day without a date."""
+    schema = spark.createDataFrame([], SCHEMA).schema
+    sources.create_versions(spark, name, str(tmp_path / name), schema, ["k", "day"], ["day"], buckets=4)
+    for batch in range(batches):
+        rows = spark.range(60).select(
+            (F.col("id") % 20).cast("string").alias("k"), (F.col("id") * 100 + batch).alias("v"),
+            F.when(F.col("id") < 58, F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") / 20).cast("int"))).alias("day"),
+            F.lit(batch).cast("long").alias("batch"))
+        sources.append_versions(rows, name)
+    return name
+
+
+def latest(df):
+    return records.latest_version(df, [records.BUCKET_KEY, "k", "day"], ["batch"])
+
+
+def rows(df):
+    return sorted((r["k"], str(r["day"]), r["v"]) for r in df.collect())
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture()
+def table(spark, tmp_path):
+    name = stored(spark, tmp_path, f"versions_{tmp_path.name.replace('-', '_')}")
+    yield name
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_the_last_version_without_a_shuffle(spark, table):
+    got = sources.latest_rows(spark, table, ["batch"])
+    assert got.columns == ["k", "v", "batch", "day"] and "Exchange" not in plan(got)
+    assert len(rows(got)) == 60 and all(v % 100 == 2 for _, _, v in rows(got))
+    one = got.filter("day = DATE '2024-01-02'")
+    assert "Exchange" not in plan(one) and "PartitionFilters: [isnotnull(day" in plan(one) and one.count() == 20
+
+
+def test_compaction_leaves_one_row_and_no_shuffle(spark, table):
+    before = rows(sources.latest_rows(spark, table, ["batch"]))
+    for _ in range(2):
+        sources.compact_versions(spark, table, "day < DATE '2024-01-03'", latest)
+        counts = dict(map(tuple, spark.table(table).groupBy(F.col("day").cast("string")).count().collect()))
+        assert counts == {"2024-01-01": 20, "2024-01-02": 20, "2024-01-03": 54, None: 6}
+        got = sources.latest_rows(spark, table, ["batch"])
+        assert rows(got) == before and "Exchange" not in plan(got)
+    assert all("_compacted_" not in t.name for t in spark.catalog.listTables())
+
+
+def test_rows_that_come_after_compaction(spark, table):
+    sources.compact_versions(spark, table, "day < DATE '2024-01-03'", latest)
+    late = spark.createDataFrame([("7", -1, 9), ("new", 5, 9)], "k string, v long, batch long").withColumn(
+        "day", F.lit("2024-01-01").cast("date"))
+    sources.append_versions(late, table)
+    got = {(k, d): v for k, d, v in rows(sources.latest_rows(spark, table, ["batch"]))}
+    assert got["7", "2024-01-01"] == -1 and got["new", "2024-01-01"] == 5 and len(got) == 61
+
+
+def test_readers_see_the_old_or_the_new_files(spark, table):
+    early = spark.table(table).filter("day IS NOT NULL")
+    early.collect()
+    sources.compact_versions(spark, table, "day < DATE '2024-01-03'", latest)
+    assert early.count() in (174, 94)
+    sources.drop_unused(spark, table)
+    assert spark.table(table).count() == 100
+    assert sources.drop_unused(spark, table, older_than_hours=-1) == 2
+    assert sources.drop_unused(spark, table, older_than_hours=-1) == 0
+    assert spark.table(table).count() == 100
+
+
+def test_a_reader_in_the_middle_of_its_work_finishes(spark, table):
+    running = spark.table(table).filter("day = DATE '2024-01-01'").toLocalIterator()
+    first = next(running)
+    sources.compact_versions(spark, table, "day < DATE '2024-01-03'", latest)
+    assert len([first, *running]) == 60
+
+
+def test_a_run_that_dies_leaves_each_partition_whole(spark, table, monkeypatch):
+    before = rows(sources.latest_rows(spark, table, ["batch"]))
+    switch, done = versions._switch, []
+
+    def dies(*args):
+        if done:
+            raise RuntimeError("driver lost")
+        done.append(switch(*args))
+
+    monkeypatch.setattr(versions, "_switch", dies)
+    with pytest.raises(RuntimeError):
+        sources.compact_versions(spark, table, "day < DATE '2024-01-03'", latest)
+    assert rows(sources.latest_rows(spark, table, ["batch"])) == before and spark.table(table).count() == 140
+    monkeypatch.setattr(versions, "_switch", switch)
+    sources.compact_versions(spark, table, "day < DATE '2024-01-03'", latest)
+    assert rows(sources.latest_rows(spark, table, ["batch"])) == before and spark.table(table).count() == 100
+
+
+def test_names_and_values(spark, tmp_path):
+    schema = spark.createDataFrame([], "`a b` string, part string, n int").schema
+    name = f"odd_{tmp_path.name.replace('-', '_')}"
+    for bad in (dict(identity=["a b"], partition_by=["part"]), dict(identity=["part"], partition_by=[])):
+        with pytest.raises(ValueError):
+            sources.create_versions(spark, name, str(tmp_path / "t"), schema, **bad)
+    sources.create_versions(spark, name, str(tmp_path / "t"), schema, ["a b", "part"], ["part"], 2)
+    with pytest.raises(ValueError, match="another"):
+        sources.create_versions(spark, name, str(tmp_path / "t"), schema, ["a b", "part"], ["part"], 3)
+    values = ["it's", "a/b", "x=y", "50%", ""]
+    data = spark.createDataFrame([(None if i else "x", p, n) for p in values for i in range(2) for n in range(3)], schema)
+    sources.append_versions(data, name)
+    keys = [records.BUCKET_KEY, "a b", "part"]
+    sources.compact_versions(spark, name, "part <> 'none'", lambda df: records.latest_version(df, keys, ["n"]))
+    got = sorted((r["a b"] or "", r["part"] or "", r["n"]) for r in sources.latest_rows(spark, name, ["n"]).collect())
+    assert got == sorted((a, p, 2) for p in values for a in ("", "x"))
+    assert spark.table(name).filter("part IS NOT NULL").count() == 8
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_stream_of_versions(spark, tmp_path):
+    name = f"streamed_{tmp_path.name.replace('-', '_')}"
+    data = spark.range(40).selectExpr("CAST(id % 10 AS STRING) AS k", "id AS v", "DATE '2024-01-01' AS day", "id AS batch")
+    data.write.parquet(str(tmp_path / "in"))
+    sources.create_versions(spark, name, str(tmp_path / "t"), data.schema, ["k", "day"], ["day"], 2)
+    for checkpoint in ("one", "two"):
+        stream = spark.readStream.schema(data.schema).parquet(str(tmp_path / "in"))
+        sources.versions_writer(stream, name, str(tmp_path / checkpoint)).trigger(availableNow=True).start().awaitTermination()
+    assert spark.table(name).count() == 80
+    assert rows(sources.latest_rows(spark, name, ["batch"])) == sorted((str(i % 10), "2024-01-01", i) for i in range(30, 40))
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_records_of_a_bucketed_table_are_not_shuffled(spark, tmp_path):
+    from candlewick import plans, schemas
+    texts = [f'{{"symbol":"{s}","@timestamp":"2024-01-0{d}T00:00:10Z","close":"{c}","volume":"2"}}'
+             for d in (1, 2) for s in "ABC" for c in (1, 2, 3)]
+    topic = spark.createDataFrame([(b"k", t.encode(), "ticks", 0, i, None) for i, t in enumerate(texts)], schemas.KAFKA_RECORD)
+    name = f"records_{tmp_path.name.replace('-', '_')}"
+    plans.create_record_table(spark, name, str(tmp_path / "t"), buckets=2)
+    sources.append_versions(plans.topics_to_records(topic, "ticks", "vwap"), name)
+    plans.compact_record_table(spark, name, "date = DATE '2024-01-01'")
+    assert dict(map(tuple, spark.table(name).groupBy(F.col("date").cast("string")).count().collect())) == {"2024-01-01": 3, "2024-01-02": 9}
+    got = plans.latest_records(spark.table(name))
+    assert "Exchange" not in plan(got)
+    assert [r["MeasureValues"][0]["Value"] for r in got.collect()] == ["3.0"] * 6
+    assert {c for r in got.collect() for c in [r["offset"] % 3]} == {2}
+    spark.sql(f"DROP TABLE {name}")

@@ -274,5 +274,7 @@ ORACLES.update({
     for interval in (*WINDOW_INTERVALS, *CALENDAR_INTERVALS)
 })
 
+ORACLES["records_bucketed"] = ORACLES["records_compacted"]
+
 # Gold in several runs is gold.
 ORACLES["gold_incremental"] = ORACLES["medallion_gold"]

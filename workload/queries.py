@@ -495,6 +495,18 @@ def records_compacted(spark, sf_dir):
     return _record_values(spark.read.parquet(base))
 
 
+def records_bucketed(spark, sf_dir):
+    """Quotes and windows stored twice in a bucketed table, all days but the last ones compacted by switching their partitions."""
+    base = scratch_path(spark, "bucketed")
+    name = f"records_{base.rsplit('-', 1)[1]}"
+    plans.create_record_table(spark, name, f"{base}/table", buckets=4)
+    records = plans.topics_to_records(spark.read.parquet(_staged_topics(spark, sf_dir)), TICK_TOPIC, VWAP_TOPIC)
+    for _ in range(2):
+        sources.append_versions(records, name)
+    plans.compact_record_table(spark, name, "date < DATE '2024-01-25'")
+    return _record_values(plans.latest_records(spark.table(name)))
+
+
 def vwap_late_restart(spark, sf_dir):
     """The stream stops after the first days and goes on from its checkpoint with the rest, which holds some of the first
     days' ticks once more: they are late and change nothing."""
@@ -539,7 +551,7 @@ QUERIES: dict[str, Query] = {
         resample_1h_to_1d, latest_bars_10, latest_bars_1516, latest_silver_bars, history,
         medallion_silver, bars_range, medallion_replace_months, medallion_upsert, bronze_rejects, medallion_gold, gold_incremental, month_partitions, catalog_table, bronze_from_charts,
         wide_tick_records, wide_vwap_records, narrow_records, latest_version, topics_to_records, rejected_messages,
-        records_stream, records_compacted, vwap_late_restart, vwap_open_windows, scalar_functions,
+        records_stream, records_compacted, records_bucketed, vwap_late_restart, vwap_open_windows, scalar_functions,
     )
 }
 QUERIES.update({f"ohlcv_{interval.lower() if interval != '1M' else '1mo'}": _ohlcv(interval)
