@@ -68,9 +68,20 @@ def rejected_ticks(ticks: DataFrame) -> DataFrame:
     return ticks.filter(~usable_tick())
 
 
-def count_rejected(ticks: DataFrame, name: str = "ticks") -> DataFrame:
-    """Counts all and rejected ticks on the way, as observed metrics (in a stream: part of each progress report)."""
-    return ticks.observe(name, F.count(F.lit(1)).alias("all"), F.count_if(~usable_tick()).alias("rejected"))
+def is_heartbeat() -> Column:
+    """A tick message with a time and nothing else: it says that all ticks before that time have been sent."""
+    return F.col("event_time").isNotNull() & F.coalesce("symbol", F.col("close").cast("string"), F.col("volume").cast("string")).isNull()
+
+
+def count_rejected(ticks: DataFrame, name: str = "ticks", heartbeat: bool = False) -> DataFrame:
+    """Counts all and rejected ticks on the way, as observed metrics (in a stream: part of each progress report).
+
+    ``heartbeat``: heartbeats are counted too, apart from the rejected.
+    """
+    if not heartbeat:
+        return ticks.observe(name, F.count(F.lit(1)).alias("all"), F.count_if(~usable_tick()).alias("rejected"))
+    return ticks.observe(name, F.count(F.lit(1)).alias("all"), F.count_if(~usable_tick() & ~is_heartbeat()).alias("rejected"),
+                         F.count_if(is_heartbeat()).alias("heartbeats"))
 
 
 def decode_candles(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

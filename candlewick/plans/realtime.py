@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick import schemas
-from candlewick.functions import epoch_seconds_to_time, parse_time, to_double
+from candlewick.functions import epoch_ms_to_iso, epoch_seconds_to_time, parse_time, to_double
 from candlewick.operators.decode import (
     candles_to_ticks, closed_candles, count_rejected, decode_candles, decode_json, decode_ticks, encode_json,
-    usable_tick, valid_candles, valid_ticks,
+    is_heartbeat, usable_tick, valid_candles, valid_ticks,
 )
 from candlewick.operators.records import (
     BUCKET_KEY, IDENTITY, latest_version, tick_record, usable_vwap, vwap_record,
@@ -37,18 +37,37 @@ def candle_topic_to_ticks(records: DataFrame, symbol: Column | str | None = None
     return encode_json(candles_to_ticks(closed_candles(valid_candles(decode_candles(records, keep))), symbol), "symbol")
 
 
-def tick_topic_to_windows(records: DataFrame, window: str = "5 minutes", watermark: str | None = "5 minutes") -> DataFrame:
-    """Tick messages as VWAP per window and symbol. ``watermark`` has no effect on batch frames."""
+def clock_to_heartbeats(clock: DataFrame, lag: str = "1 minute") -> DataFrame:
+    """Heartbeat messages for the tick topic from the ``timestamp`` of a rate source: each carries that time less ``lag``.
+
+    ``lag``: how long a tick may take to reach the topic.
+    """
+    at = epoch_ms_to_iso(F.unix_millis(F.col("timestamp") - F.expr(f"INTERVAL {lag}")))
+    return encode_json(clock.select(F.lit("heartbeat").alias("key"), at.alias("@timestamp")), "key", ["@timestamp"])
+
+
+def tick_topic_to_windows(records: DataFrame, window: str = "5 minutes", watermark: str | None = "5 minutes",
+                          heartbeat: bool = False) -> DataFrame:
+    """Tick messages as VWAP per window and symbol. ``watermark`` has no effect on batch frames.
+
+    ``heartbeat``: messages with a time and nothing else move the watermark, so the last windows of a topic without new ticks
+    are finished too. They come through the topic like the ticks: read from far back, they still follow the ticks that were
+    sent before them, which a clock in the query would overtake.
+    """
     ticks = decode_ticks(records)
     if records.isStreaming:
-        ticks = count_rejected(ticks)
+        ticks = count_rejected(ticks, heartbeat=heartbeat)
+        if heartbeat and watermark:
+            # The metric also keeps the filter of the next step above the watermark.
+            ticks = ticks.filter(usable_tick() | is_heartbeat()).withWatermark("event_time", watermark)
+            ticks, watermark = ticks.observe("watermarked", F.max("event_time").alias("last")), None
     return vwap_rows(vwap(valid_ticks(ticks), window, watermark=watermark))
 
 
 def tick_topic_to_vwap_topic(records: DataFrame, window: str = "5 minutes",
-                             watermark: str | None = "5 minutes") -> DataFrame:
+                             watermark: str | None = "5 minutes", heartbeat: bool = False) -> DataFrame:
     """Tick messages to VWAP messages, keyed by symbol."""
-    return encode_vwap(tick_topic_to_windows(records, window, watermark))
+    return encode_vwap(tick_topic_to_windows(records, window, watermark, heartbeat))
 
 
 def _messages(records: DataFrame, tick_topic: str, vwap_topic: str) -> DataFrame:
@@ -105,6 +124,9 @@ def compact_record_table(spark: SparkSession, name: str, closed: str) -> None:
     compact_versions(spark, name, closed, latest_records)
 
 
-def rejected_messages(records: DataFrame, tick_topic: str, vwap_topic: str) -> DataFrame:
-    """Topic and text of the messages that give no record."""
-    return _messages(records, tick_topic, vwap_topic).filter(F.col("table").isNull()).select("topic", "json")
+def rejected_messages(records: DataFrame, tick_topic: str, vwap_topic: str, heartbeat: bool = False) -> DataFrame:
+    """Topic and text of the messages that give no record, with ``heartbeat`` without the heartbeats of the tick topic."""
+    bad = F.col("table").isNull()
+    if heartbeat:
+        bad &= ~((F.col("topic").eqNullSafe(tick_topic)) & is_heartbeat())
+    return _messages(records, tick_topic, vwap_topic).filter(bad).select("topic", "json")

@@ -287,3 +287,50 @@ def test_jobs_pass_source_options_on(spark, monkeypatch):
         with pytest.raises(RuntimeError):
             start({"max_offsets_per_trigger": 9, "min_partitions": 4, "options": {"kafkaConsumer.pollTimeoutMs": 10}})
         assert seen["max_offsets_per_trigger"] == 9 and seen["min_partitions"] == 4 and seen["options"]
+
+
+def beat(minute):
+    return json.dumps({"@timestamp": (START + dt.timedelta(minutes=minute)).strftime("%Y-%m-%dT%H:%M:%SZ")})
+
+
+def test_heartbeats_finish_the_last_windows(spark, topic):
+    """Without a further tick all windows are sent; ticks that were sent before a heartbeat are not late."""
+    def run_once(heartbeat):
+        windows = plans.tick_topic_to_windows(source(spark, topic / "topic"), heartbeat=heartbeat)
+        name = f"heartbeat-{heartbeat}"
+        return streaming.run(streaming.parquet_writer(windows, str(topic / name), str(topic / f"{name}-cp")), available_now=True)
+
+    put(spark, topic / "topic", 5, [beat(40), json.dumps({"@timestamp": "soon"}), "{}"])
+    query = run_once(True)
+    got = spark.read.schema(schemas.VWAP).parquet(str(topic / "heartbeat-True"))
+    assert flat(got) == flat(batch_result(spark, in_time())) and got.count() == len(flat(got))
+    assert streaming.open_windows(spark, str(topic / "heartbeat-True-cp")).count() == 0 and streaming.late_rows(query) == 1
+    seen = [p["observedMetrics"]["ticks"] for p in query.recentProgress if "ticks" in p["observedMetrics"]]
+    assert sum(m["heartbeats"] for m in seen) == 1 and sum(m["rejected"] for m in seen) == 4
+    run_once(False)
+    assert flat(spark.read.schema(schemas.VWAP).parquet(str(topic / "heartbeat-False"))).keys() < flat(got).keys()
+
+
+def test_heartbeats_are_neither_ticks_nor_rejects(spark, broker):
+    put(spark, broker / "broker", 0, [tick(0), beat(1), "bad"])
+    put(spark, broker / "broker", 1, [beat(30), json.dumps({"symbol": "A", "@timestamp": "2024-01-01T00:00:00Z"})])
+    finish(streaming.start_vwap(spark, None, "ticks", "out", str(broker / "cp"), rejects=str(broker / "bad"), heartbeat=True, **ONCE))
+    assert [m["window_start"] for m in sent(spark, broker / "to-out")] == ["2024-01-01 00:00:00"]
+    assert spark.read.parquet(str(broker / "bad")).count() == 2
+    finish(streaming.start_records(spark, None, "ticks", "vwap", str(broker / "records"), str(broker / "cp2"),
+                                   rejects=str(broker / "bad2"), heartbeat=True, **ONCE))
+    assert spark.read.parquet(str(broker / "records")).count() == 1 and spark.read.parquet(str(broker / "bad2")).count() == 2
+
+
+def test_heartbeats_from_a_clock(spark, broker):
+    clock = spark.createDataFrame([(START,)], "timestamp timestamp")
+    assert [json.loads(r["value"]) for r in plans.clock_to_heartbeats(clock, "90 seconds").collect()] == [{"@timestamp": "2023-12-31T23:58:30Z"}]
+    queries = streaming.start_heartbeats(spark, None, "ticks", str(broker / "cp"), seconds=2, every="1 second")
+    try:
+        for _ in range(60):
+            if (broker / "to-ticks").exists() and sent(spark, broker / "to-ticks"):
+                break
+            queries[0].awaitTermination(1)
+    finally:
+        queries[0].stop()
+    assert set(sent(spark, broker / "to-ticks")[0]) == {"@timestamp"}

@@ -260,6 +260,7 @@ ORACLES: dict[str, str] = {
     "records_stream": _with(f"({QUOTE_ROWS} {LAST_QUOTE}) UNION ALL {VWAP_ROWS}", WINDOWS),
     "records_compacted": _with(f"({QUOTE_ROWS} {LAST_QUOTE}) UNION ALL {VWAP_ROWS}", WINDOWS),
     "vwap_late_restart": _vwap(),
+    "vwap_heartbeat": _vwap(),
     "rejected_messages": _with(f"""
         SELECT 'vwap' AS topic, symbol, strftime(start, {STAMP}) AS window_start FROM w WHERE vwap IS NULL""", WINDOWS),
     "scalar_functions": _with(f"""

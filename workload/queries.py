@@ -73,6 +73,19 @@ def vwap_5m_stream_append(spark, sf_dir):
     return rows.select("window_start", "window_end", "symbol", *_single("vwap"))
 
 
+def vwap_heartbeat(spark, sf_dir):
+    """A query in append mode over ticks and, at the end, a heartbeat of a time after the last one: every window is sent."""
+    base, ticks = scratch_path(spark, "vwap-heartbeat"), views.ticks(spark, sf_dir)
+    after = ticks.agg((F.max("event_time") + F.expr("INTERVAL 12 MINUTES")).alias("timestamp"))
+    beats = views.kafka_records(plans.clock_to_heartbeats(after), TICK_TOPIC, F.lit(-1).cast("long"), F.lit(None).cast("timestamp"))
+    views.tick_messages(ticks).unionByName(beats).write.parquet(f"{base}/topic")
+    stream = spark.readStream.schema(schemas.KAFKA_RECORD).parquet(f"{base}/topic")
+    streaming.run(streaming.parquet_writer(plans.tick_topic_to_windows(stream, heartbeat=True), f"{base}/table", f"{base}/checkpoint"),
+                  available_now=True)
+    rows = spark.read.schema(schemas.VWAP).parquet(f"{base}/table")
+    return rows.select("window_start", "window_end", "symbol", *_single("vwap"))
+
+
 def vwap_open_windows(spark, sf_dir):
     """What a query in append mode has sent, and the windows that it still holds in its state."""
     base = scratch_path(spark, "vwap-open")
@@ -551,7 +564,7 @@ QUERIES: dict[str, Query] = {
         resample_1h_to_1d, latest_bars_10, latest_bars_1516, latest_silver_bars, history,
         medallion_silver, bars_range, medallion_replace_months, medallion_upsert, bronze_rejects, medallion_gold, gold_incremental, month_partitions, catalog_table, bronze_from_charts,
         wide_tick_records, wide_vwap_records, narrow_records, latest_version, topics_to_records, rejected_messages,
-        records_stream, records_compacted, records_bucketed, vwap_late_restart, vwap_open_windows, scalar_functions,
+        records_stream, records_compacted, records_bucketed, vwap_late_restart, vwap_open_windows, vwap_heartbeat, scalar_functions,
     )
 }
 QUERIES.update({f"ohlcv_{interval.lower() if interval != '1M' else '1mo'}": _ohlcv(interval)
