@@ -23,6 +23,7 @@ from candlewick.sources.catalog import _location, _quoted
 #: Fixed value: the folder name of a null partition value.
 _NULL = "__HIVE_DEFAULT_PARTITION__"
 _IDENTITY, _BUCKETS = "versions.identity", "versions.buckets"
+_BUCKET = "__bucket"
 
 
 def _text(value: str) -> str:
@@ -72,11 +73,12 @@ def create_versions(spark: SparkSession, name: str, path: str, schema: T.StructT
 
 
 def append_versions(rows: DataFrame, name: str) -> None:
-    """Add rows to the table; each bucket of a partition gets one file."""
+    """Add rows to the table. Each bucket of a partition gets one file, a large one several: the rows are rebalanced by both."""
     spark = rows.sparkSession
     identity = _property(spark, name, _IDENTITY).split("\n")
-    # Bucket numbers come from the same hash as a repartition by the key, so a task holds one bucket.
-    keyed = rows.withColumn(BUCKET_KEY, F.xxhash64(*identity)).repartition(int(_property(spark, name, _BUCKETS)), BUCKET_KEY)
+    bucket = F.pmod(F.hash(BUCKET_KEY), F.lit(int(_property(spark, name, _BUCKETS))))  # as Spark numbers buckets
+    parts = [F.col(c.name) for c in spark.catalog.listColumns(name) if c.isPartition]
+    keyed = rows.withColumn(BUCKET_KEY, F.xxhash64(*identity)).withColumn(_BUCKET, bucket).hint("rebalance", *parts, F.col(_BUCKET))
     keyed.select(*spark.table(name).columns).write.insertInto(name)
 
 
