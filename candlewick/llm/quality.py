@@ -4,9 +4,10 @@ Base rules, on words (runs without ASCII white space): a document fails with few
 ``MAX_REPEATED`` percent of its words in 5-word windows that occur twice or more.
 
 Cross-document rule: lines are normalised (white space runs to one space, A-Z lower-cased, digits to 0) and hashed; a line is
-boilerplate of its host if the host's documents with it, counted by distinct text, are more than ``MIN_DOCUMENTS`` and more than
-``MAX_SHARE`` of the host's distinct texts. Exact copies count once: they are for deduplication to judge. Boilerplate lines are
-removed except from the document with the smallest id that has them (so no text is lost altogether), and a document is rejected
+boilerplate of its host if the host's documents with it, counted by distinct text, are more than ``MIN_DOCUMENTS``; lines of fewer
+than ``SHORT_LINE`` words, which also meet by chance, must be in more than ``MAX_SHARE`` of the host's distinct texts too. So for any
+longer line no other documents of the host change the verdict. Exact copies count once: they are for deduplication to judge.
+Boilerplate lines are removed except from the document with the smallest id that has them (so no text is lost altogether), and a document is rejected
 if fewer than ``MIN_WORDS`` words or less than ``MIN_LEFT`` of its words remain.
 
 One Python pass over the texts writes the statistics and each line's hash; the counting is grouped by line with partial sums, and
@@ -31,6 +32,7 @@ MAX_REPEATED = 20
 WINDOW = 5
 MIN_DOCUMENTS = 50
 MAX_SHARE = 0.05
+SHORT_LINE = 4
 MIN_LEFT = 0.2
 #: Most boilerplate lines that are broadcast; beyond, Spark chooses the join.
 BROADCAST_LINES = 200_000
@@ -105,11 +107,11 @@ def _judged(docs: DataFrame, id_column: str, host: str, text: str) -> tuple[Data
     lines = rows.select("row", "id", "host", "text_key", F.explode(F.arrays_zip("lines", "line_words", "line_at")).alias("l")) \
         .select("row", "id", "host", "text_key", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"),
                 F.col("l.line_at").alias("at"))
-    one_per_text = lines.groupBy("host", "line", "text_key").agg(F.min("id").alias("id"))
+    one_per_text = lines.groupBy("host", "line", "text_key").agg(F.min("id").alias("id"), F.max("words").alias("words"))
     frequent = one_per_text.groupBy("host", "line").agg(
-        F.count("*").alias("texts"), F.min(F.struct("id", "text_key")).alias("first")).where(F.col("texts") > MIN_DOCUMENTS)
+        F.count("*").alias("texts"), F.max("words").alias("words"), F.min(F.struct("id", "text_key")).alias("first")).where(F.col("texts") > MIN_DOCUMENTS)
     frequent = frequent.join(host_texts, frequent["host"].eqNullSafe(host_texts["host"])) \
-        .where(F.col("texts") > F.col("host_texts") * MAX_SHARE) \
+        .where((F.col("words") >= SHORT_LINE) | (F.col("texts") > F.col("host_texts") * MAX_SHARE)) \
         .select(frequent["host"], "line", F.col("first.text_key").alias("keeper"))
     frequent = staged(frequent, "boilerplate")
     side = F.broadcast(frequent) if frequent.count() <= BROADCAST_LINES else frequent
@@ -175,7 +177,8 @@ by_lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM
 hosts AS (SELECT source, count(DISTINCT text) AS texts FROM d GROUP BY 1),
 frequent AS (SELECT l.source, norm, arg_min(l.text, doc_id) AS keeper FROM lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
              GROUP BY l.source, norm, h.texts
-             HAVING count(DISTINCT l.text) > {MIN_DOCUMENTS} AND count(DISTINCT l.text) > {MAX_SHARE} * h.texts),
+             HAVING count(DISTINCT l.text) > {MIN_DOCUMENTS}
+                AND (max(n) >= {SHORT_LINE} OR count(DISTINCT l.text) > {MAX_SHARE} * h.texts)),
 lost AS (SELECT doc_id, sum(n) AS words_lost, count(*) AS lines_lost FROM lines l JOIN frequent f
          ON l.source IS NOT DISTINCT FROM f.source AND l.norm = f.norm AND l.text <> f.keeper GROUP BY 1),
 joined AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,

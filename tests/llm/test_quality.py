@@ -67,3 +67,17 @@ def test_cleaned_texts(boiled):
     assert set(got) == {r["doc_id"] for r in boiled.collect()} - {200}
     assert got[120]["text"].startswith("bcaa bcab") and "\n" not in got[120]["text"] and got[120]["n_chars"] == len(got[120]["text"])
     assert got[201]["n_chars"] == 1
+
+
+def test_other_documents_of_the_host_do_not_bring_a_line_back(spark):
+    """A footer of several words goes however large its host is; a short line only where a share of the host has it."""
+    footer, short = "all rights reserved by the owner of this page", "read more here"
+
+    def words(i):
+        return " ".join("w" + "".join(chr(97 + int(d)) for d in f"{i}x{j}".replace("x", "0")) for j in range(12))
+    rows = [(i, f"{footer}\n{footer} {i}\n{short}", "a") for i in range(60)] + [(1000 + i, words(i), "a") for i in range(2000)]
+    got = {r["doc_id"]: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    few = {r["doc_id"]: r for r in quality.quality(spark.createDataFrame(rows[:60], "doc_id long, text string, source string")).collect()}
+    assert [i for i in range(60) if got[i]["kept"]] == [i for i in range(60) if few[i]["kept"]]
+    assert sum(got[i]["kept"] for i in range(60)) < 60 and all(got[i]["lines_lost"] == few[i]["lines_lost"] - 1 for i in range(1, 60))
+    assert all(got[1000 + i]["kept"] for i in range(2000))
