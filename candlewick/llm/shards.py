@@ -1,12 +1,14 @@
 """Sharding along a Hilbert curve: documents that are alike in several metadata columns end up in the same files.
 
-Each dimension is quantised at its quantiles (texts by their first bytes, sizes by their logarithm), the cell gets its index on the
-Hilbert curve, rows are sorted by that index and the sorted run is cut into shards of equal row counts (law ``rows``: counts
-differ by one at most). Neighbouring cells of the curve are neighbours in every dimension, so a file's minimum and maximum are
-narrow in each of them and readers can skip files by any.
-
-Ties go by text, then id, so equal texts lie side by side. Null text has no bytes (size 1, crc32 0), null metadata is the lowest
-cell, an empty table gives no rows, repeated rows all get slots of their own. Only the named columns are read.
+Each dimension is quantised at its quantiles (texts by their whole values, weighted by rows; sizes by their logarithm), the cell
+gets its index on the Hilbert curve, rows are sorted by that index and the sorted run is cut into shards of equal row counts (law
+``rows``: counts differ by one at most). Neighbouring cells of the curve are neighbours in every dimension, so a file's minimum and
+maximum are narrow in each of them and readers can skip files by any.
+
+A text has one cell, that of its smallest id (null first, then the smallest index), and ties go by size, text, then id: equal texts
+lie side by side, and a group of them is in more than one shard only where a cut of the law falls into it. Null text has no bytes
+(size 1, crc32 0), null metadata is the lowest cell, an empty table gives no rows, repeated rows all get slots of their own. Only
+the named columns are read.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from candlewick.llm.common import staged, table
+from candlewick.llm.common import joined_by_weight, staged, table, text_key
 
 #: Bits for each dimension: 2 ** BITS cells, cut at quantiles.
 BITS = 5
@@ -53,11 +55,29 @@ def hilbert_index(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return index
 
 
-def as_number(df: DataFrame, column: str) -> Column:
-    """A number in the order of the column; texts by their first six bytes."""
+def text_edges(df: DataFrame, column: str, bits: int = BITS) -> list[str]:
+    """At most 2 ** bits - 1 values of a text column that cut its rows into parts of about equal weight, ascending in byte order.
+
+    Values are counted, the distinct ones are sorted over ranges, and weights are summed within each range and over the ranges.
+    """
+    counted = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    values = staged(counted.repartitionByRange("value").withColumn("part", F.spark_partition_id()), "values")
+    sizes = values.groupBy("part").agg(F.sum("n").alias("n"))
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    begins = sizes.select("part", F.coalesce(F.sum("n").over(
+        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("begin"))
+    within = F.sum("n").over(Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    ends = values.withColumn("within", within).join(F.broadcast(begins), "part").withColumn("end", F.col("begin") + F.col("within"))
+    cells = lambda rows: F.floor(rows * F.lit(1 << bits) / F.lit(max(total, 1)))
+    return [r["value"] for r in ends.where(cells(F.col("end")) > cells(F.col("end") - F.col("n"))).select("value").orderBy("value").collect()
+            ][:(1 << bits) - 1]
+
+
+def as_number(df: DataFrame, column: str, bits: int = BITS) -> Column:
+    """A number in the order of the column: for texts the number of ``text_edges`` below the value, -1 for null."""
     if df.schema[column].dataType.typeName() == "string":
-        head = F.rpad(F.hex(F.substring(F.col(column).cast("binary"), 1, 6)), 12, "0")
-        return F.coalesce(F.conv(head, 16, 10).cast("double"), F.lit(-1.0))
+        below = [F.when(F.col(column) > F.lit(edge), 1).otherwise(0) for edge in text_edges(df, column, bits)]
+        return F.when(F.col(column).isNull(), -1.0).otherwise(sum(below, F.lit(0)).cast("double"))
     return F.coalesce(F.col(column).cast("double"), F.lit(-1.0))
 
 
@@ -109,10 +129,15 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, dimensions: tuple[str
                     id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Id, size, text_crc32, law, shard and slot of every document."""
     body = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
-    slim = docs.select(F.col(id_column).alias("id"), *(as_number(docs, d).alias(f"d{i}") for i, d in enumerate(dimensions)),
-                       (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
+    slim = docs.select(F.col(id_column).alias("id"), text_key(text).alias("text_key"), *(as_number(docs, d).alias(f"d{i}") for i, d in enumerate(dimensions)),
+                       (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32")).withColumn("row", F.monotonically_increasing_id())
     numbers = [F.col(f"d{i}") for i in range(len(dimensions))] + [F.log2("size")]
-    rows, total = ranked(hilbert_order(slim, numbers), "curve", "size", "text_crc32", "id")
+    placed = hilbert_order(staged(slim, "sizes"), numbers).select("id", "text_key", "size", "text_crc32", "row", "curve")
+    placed = staged(placed, "cells")
+    cells = placed.groupBy("text_key").agg(F.min(F.struct("id", "curve")).alias("first"), F.count("*").alias("copies")) \
+        .select("text_key", F.col("first.curve").alias("curve"), "copies")
+    at = joined_by_weight(placed.drop("curve"), staged(cells, "text-cells"), ["text_key"], "copies")
+    rows, total = ranked(at, "curve", "size", "text_key", "id", "row")
     shard, slot = cut(F.col("rank"), total, shards)
     return rows.select(F.col("id").alias(id_column), "size", "text_crc32", F.lit("rows").alias("law"), shard.alias("shard"),
                        slot.alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve")
