@@ -3,7 +3,7 @@
 1. Of toxic and other training documents the numbers that hold a token give log-odds with an informative Dirichlet prior (each
    token's prior weight is its share of all counts); tokens whose z-score stands out among all tokens of the vocabulary are
    evidence, every other token costs a little, so that a passage ends after about ``GAP`` neutral tokens. Near copies within the
-   training documents (same smallest window hash, same label) count once. Words and word beginnings (4 to 7 letters) are both
+   training documents (same smallest window hash, same label) count once, as their least text. Words and word beginnings (4 to 7 letters) are both
    counted; a token scores by itself if it is evidence, else by its longest beginning that is.
 2. A linear scan of a text finds all maximal-scoring segments. With the background distribution the highest score of a text of n
    tokens follows an extreme-value law, P(S >= s) = 1 - exp(-K n exp(-lambda s)); lambda solves sum p exp(lambda s) = 1.
@@ -179,7 +179,7 @@ def labelled(docs: DataFrame, labels: DataFrame, fold: Column, bound: int = TRAI
     known = labels.where(F.col("id").isNotNull() & F.col("toxic").isNotNull()).where(fold) \
         .groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(bound)
     joined = docs.join(F.broadcast(staged(known, "labels")), "id").select("text", F.col("toxic").cast("int"))
-    return joined.mapInArrow(_copy_keys, "key long, text string, toxic int").groupBy("key", "toxic").agg(F.first("text").alias("text"))
+    return joined.mapInArrow(_copy_keys, "key long, text string, toxic int").groupBy("key", "toxic").agg(F.min("text").alias("text"))
 
 
 def train(docs: DataFrame, labels: DataFrame, fold: Column, bound: int = TRAIN_LABELS) -> Model:
