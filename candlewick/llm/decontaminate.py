@@ -9,6 +9,10 @@ items' window hashes, of fixed size whatever the benchmark's, so only windows th
 item and document at one distance are an alignment; within it the same value of the item must always stand for the same value of the
 document (by slot type). A re-parameterised question passes, an accidental match of placeholders does not.
 
+Phrases that many items share ("what is the value of the") would pair every document that has one with all these items. So an item's
+rarest windows are its probes: as few as leave too little covered without them. A document without a probe of an item cannot
+hold it, and only the pairs that meet in a probe are matched in full. The filter is exact.
+
 A document is contaminated by an item if its consistent alignments cover at least ``COVERAGE`` of the item's tokens. Items of
 fewer than ``WINDOW`` tokens, or whose windows are nearly all slots (fewer than ``LITERALS`` literal words), cannot be found.
 Equal items count as one, named by the smallest item_id; different texts with one item_id are items of their own, and one without
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -199,14 +204,47 @@ def bitmap_of(items: DataFrame) -> np.ndarray:
     return bitmap
 
 
+_PLACES = pa.schema([("item_key", pa.binary()), ("hash", pa.int64()), ("template", pa.string())])
+
+
+def _probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows (item_key, hash, template) of which a text that covers ``COVERAGE`` of the item must have one: from the rarest on,
+    until those that are left cover less."""
+    for batch in batches:
+        keys, windows = columns_of(batch, "item_key", "windows")
+        out = []
+        for key, rows in zip(keys, windows):
+            rows.sort(key=lambda w: (w["items"], w["hash"], w["pos"]))
+            held = Counter(place for w in rows for place in range(w["pos"], w["pos"] + WINDOW))
+            size = left = len(held)
+            for w in rows:
+                if left < size * COVERAGE:
+                    break
+                out.append((key, w["hash"], w["template"]))
+                for place in range(w["pos"], w["pos"] + WINDOW):
+                    held[place] -= 1
+                    left -= not held[place]
+        yield batch_of(_PLACES, list(zip(*out)) if out else [[], [], []])
+
+
+def probes_of(items: DataFrame) -> DataFrame:
+    """The probes of all items (item_key, hash, template), staged. A window is rare if few items have it."""
+    shared = items.groupBy("hash", "template").agg(F.countDistinct("item_key").alias("items"))
+    listed = items.join(shared, ["hash", "template"]).groupBy("item_key").agg(
+        F.collect_list(F.struct("items", "hash", "pos", "template")).alias("windows"))
+    return staged(listed.mapInArrow(_probes, "item_key binary, hash long, template string").distinct(), "probes")
+
+
 def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """(key, item_key, item, covered): which items each distinct text holds; ``key`` is its ``text_key``."""
     items = item_windows(benchmark)
     shared = docs.sparkSession.sparkContext.broadcast(bitmap_of(items))
     slim = docs.select(text_key(text).alias("key"), utf8(text).alias("text"))
     near = slim.mapInArrow(lambda batches: _windows(batches, shared.value), _WINDOW_ROWS).dropDuplicates(["key", "pos"])
+    near = staged(near.drop("size"), "near")
     one = items.select("item_key", "hash", "template", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
-    met = near.drop("size").join(one, ["hash", "template"]).withColumn("distance", F.col("pos") - F.col("item_pos"))
+    pairs = near.join(probes_of(items), ["hash", "template"]).select("key", "item_key").distinct()
+    met = near.join(pairs.join(one, "item_key"), ["key", "hash", "template"]).withColumn("distance", F.col("pos") - F.col("item_pos"))
     met = staged(met.select("key", "item_key", "distance", "item_pos", "item_slots", "slots"), "matches")
     # Within an alignment each value of the item stands for one value of the document.
     pairs = met.select("key", "item_key", "distance", F.explode(F.arrays_zip("item_slots", "slots")).alias("p")) \

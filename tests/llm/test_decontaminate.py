@@ -140,3 +140,36 @@ def test_items_without_id_and_with_one_id_are_told_apart(spark):
     got = {r["doc_id"]: (r["contaminated"], r["items"], r["covered"]) for r in D.contaminated(df, bench).collect()}
     assert got == {1: (True, [], 1.0), 2: (True, [0], 1.0), 3: (True, [0], 1.0), 4: (False, [], 0.0)}
     assert [r["doc_id"] for r in D.drop_contaminated(df, bench).collect()] == [4]
+
+
+def test_a_phrase_of_many_items_makes_no_pairs(spark, monkeypatch):
+    """400 documents and 400 items share a phrase: only the one document that holds an item is matched with one."""
+    def letters(i, n):
+        return " ".join("".join(chr(97 + int(d)) for d in f"{i}{j}") for j in range(n))
+    items = [(i, f"what is the value of the {letters(1000 + i, 14)}") for i in range(400)]
+    docs = [(i, f"so what is the value of the {letters(5000 + i, 14)}") for i in range(400)] + [(999, "well , " + items[7][1])]
+    sizes, keep = {}, D.staged
+
+    def counted(df, name, *rest):
+        out = keep(df, name, *rest)
+        sizes[name] = out.count()
+        return out
+    monkeypatch.setattr(D, "staged", counted)
+    rows = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert [(r["doc_id"], r["items"]) for r in rows if r["contaminated"]] == [(999, [7])]
+    assert sizes["matches"] <= 20 and sizes["near"] >= 400
+
+
+def test_probes_leave_too_little_covered(spark):
+    import random
+    rng = random.Random(3)
+    items = [(i, " ".join(rng.choice("abcdefg") * 3 for _ in range(rng.randrange(5, 40)))) for i in range(60)]
+    found = D.item_windows(spark.createDataFrame(items, "item_id long, text string"))
+    probes = {(bytes(r["item_key"]), r["hash"], r["template"]) for r in D.probes_of(found).collect()}
+    places, left = {}, {}
+    for r in found.collect():
+        spot = set(range(r["pos"], r["pos"] + D.WINDOW))
+        places.setdefault(bytes(r["item_key"]), set()).update(spot)
+        if (bytes(r["item_key"]), r["hash"], r["template"]) not in probes:
+            left.setdefault(bytes(r["item_key"]), set()).update(spot)
+    assert places and all(len(left.get(k, ())) < len(p) * D.COVERAGE for k, p in places.items())
