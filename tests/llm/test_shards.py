@@ -46,3 +46,14 @@ def test_files_are_narrow_in_every_dimension(spark, documents, tmp_path):
     assert spread == 8
     per_shard = back.selectExpr("shard", "lang").distinct().groupBy("shard").count().agg({"count": "avg"}).first()[0]
     assert per_shard < documents.select("lang").distinct().count()
+
+
+def test_whole_values_and_one_cell_for_equal_texts(spark):
+    """Values that begin alike get cells of their own, and copies lie side by side whatever their source."""
+    rows = [(i, f"text {i % 40}", f"https://host{i % 8}", "en") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    edges = shards.text_edges(df, "source")
+    assert edges == [f"https://host{i}" for i in range(8)]
+    at = sorted((r["shard"], r["slot"], rows[r["doc_id"]][1]) for r in shards.shard_documents(df, 5).collect())
+    order = [text for _, _, text in at]
+    assert sum(a != b for a, b in zip(order, order[1:])) == 39
