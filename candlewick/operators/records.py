@@ -13,6 +13,8 @@ from candlewick.operators.decode import usable_tick
 IDENTITY = ("Dimensions", "Time", "MeasureName")
 #: Column by which tables of versions are bucketed: a hash of the identity.
 BUCKET_KEY = "identity_hash"
+#: Rows of a bucket that one task reduces without a shuffle; tables with more of them are shuffled, over as many tasks as they need.
+ROWS_OF_A_BUCKET = 1_000_000
 
 # Names and units of the record format.
 TICK_MEASURE = "market_metrics"
@@ -85,6 +87,15 @@ def narrow_records(df: DataFrame, dimensions: Sequence[str], measures: Sequence[
         F.lit("MILLISECONDS").alias("TimeUnit"), "Version")
 
 
+def bucketed(rows: DataFrame, identity: Sequence[str]) -> list[str]:
+    """``identity``, and the bucket key if the rows' buckets are small enough for a task each. The key's comment has their number."""
+    if BUCKET_KEY not in rows.columns:
+        return list(identity)
+    number = rows.schema[BUCKET_KEY].metadata.get("comment", "")
+    large = number.isdigit() and rows.count() > ROWS_OF_A_BUCKET * int(number)
+    return list(identity) if large else [BUCKET_KEY, *identity]
+
+
 def latest_version(records: DataFrame, identity: Sequence[str] = IDENTITY,
                    version: Sequence[str] = ("Version",)) -> DataFrame:
     """One row per identity: the one with the highest version. Rows are reduced before the shuffle."""

@@ -16,7 +16,7 @@ from candlewick.operators.decode import (
     is_heartbeat, usable_tick, valid_candles, valid_ticks,
 )
 from candlewick.operators.records import (
-    BUCKET_KEY, IDENTITY, latest_version, tick_record, usable_vwap, vwap_record,
+    IDENTITY, bucketed, latest_version, tick_record, usable_vwap, vwap_record,
 )
 from candlewick.operators.vwap import encode_vwap, vwap, vwap_rows
 from candlewick.sources.files import replace_parts
@@ -101,9 +101,9 @@ def latest_records(stored: DataFrame) -> DataFrame:
     """The last version of each record of ``topics_to_records``. A filter on ``table`` or ``date`` prunes the files.
 
     Within a partition of the topic the later offset wins, whatever the clocks say; only between partitions (after a topic
-    got more of them) does the version decide. Rows of a bucketed table (``sources.create_versions``) are not shuffled.
+    got more of them) does the version decide. Rows of a bucketed table (``sources.create_versions``) are not shuffled if its buckets are small.
     """
-    identity = ["table", "date", *IDENTITY, *[c for c in stored.columns if c == BUCKET_KEY]]
+    identity = bucketed(stored, ["table", "date", *IDENTITY])
     return latest_version(latest_version(stored, [*identity, "partition"], ["offset", "Version"]), identity, ["Version", "partition"])
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from candlewick.operators.records import BUCKET_KEY, latest_version
+from candlewick.operators.records import BUCKET_KEY, bucketed, latest_version
 from candlewick.sources.catalog import _location, _quoted
 
 #: Fixed value: the folder name of a null partition value.
@@ -32,7 +32,8 @@ def _text(value: str) -> str:
 
 def _create(spark: SparkSession, name: str, path: str, schema: T.StructType, identity: Sequence[str], partition_by: Sequence[str],
             buckets: int) -> None:
-    columns = ", ".join(f"{_quoted_column(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    number = f" COMMENT '{buckets}'"
+    columns = ", ".join(f"{_quoted_column(f.name)} {f.dataType.simpleString()}{number * (f.name == BUCKET_KEY)}" for f in schema.fields)
     spark.sql(f"""CREATE TABLE {_quoted(name)} ({columns}) USING parquet
         TBLPROPERTIES ({_text(_IDENTITY)} = {_text(chr(10).join(identity))}, {_text(_BUCKETS)} = {_text(str(buckets))})
         PARTITIONED BY ({', '.join(map(_quoted_column, partition_by))})
@@ -76,10 +77,15 @@ def append_versions(rows: DataFrame, name: str) -> None:
     """Add rows to the table. Each bucket of a partition gets one file, a large one several: the rows are rebalanced by both."""
     spark = rows.sparkSession
     identity = _property(spark, name, _IDENTITY).split("\n")
+    _insert(rows.withColumn(BUCKET_KEY, F.xxhash64(*identity)), name)
+
+
+def _insert(keyed: DataFrame, name: str) -> None:
+    spark = keyed.sparkSession
     bucket = F.pmod(F.hash(BUCKET_KEY), F.lit(int(_property(spark, name, _BUCKETS))))  # as Spark numbers buckets
     parts = [F.col(c.name) for c in spark.catalog.listColumns(name) if c.isPartition]
-    keyed = rows.withColumn(BUCKET_KEY, F.xxhash64(*identity)).withColumn(_BUCKET, bucket).hint("rebalance", *parts, F.col(_BUCKET))
-    keyed.select(*spark.table(name).columns).write.insertInto(name)
+    spread = keyed.withColumn(_BUCKET, bucket).hint("rebalance", *parts, F.col(_BUCKET))
+    spread.select(*spark.table(name).columns).write.insertInto(name)
 
 
 def versions_writer(df: DataFrame, name: str, checkpoint: str, output_mode: str = "append") -> DataStreamWriter:
@@ -89,9 +95,9 @@ def versions_writer(df: DataFrame, name: str, checkpoint: str, output_mode: str
 
 
 def latest_rows(spark: SparkSession, name: str, version: Sequence[str]) -> DataFrame:
-    """The last version of every row, without a shuffle. Filters on the partition columns prune the files."""
-    identity = _property(spark, name, _IDENTITY).split("\n")
-    return latest_version(spark.table(name), [BUCKET_KEY, *identity], version).drop(BUCKET_KEY)
+    """The last version of every row, without a shuffle if the buckets are small. Filters on the partition columns prune the files."""
+    identity, rows = _property(spark, name, _IDENTITY).split("\n"), spark.table(name)
+    return latest_version(rows, bucketed(rows, identity), version).drop(BUCKET_KEY)
 
 
 def _parts(spark: SparkSession, name: str) -> list[str]:
@@ -131,7 +137,7 @@ def compact_versions(spark: SparkSession, name: str, closed: str, latest: Callab
     _create(spark, aside, folder, T.StructType(list(fields.values())), _property(spark, name, _IDENTITY).split("\n"), parts,
             int(_property(spark, name, _BUCKETS)))
     try:
-        rows.write.insertInto(aside)
+        _insert(rows, aside)
         for part in _parts(spark, aside):  # as many as there are closed partitions
             _switch(spark, name, part, f"{folder}/{part}")
     finally:

@@ -153,3 +153,15 @@ def test_records_of_a_bucketed_table_are_not_shuffled(spark, tmp_path):
     assert [r["MeasureValues"][0]["Value"] for r in got.collect()] == ["3.0"] * 6
     assert {c for r in got.collect() for c in [r["offset"] % 3]} == {2}
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_large_buckets_are_reduced_by_more_tasks(spark, table, monkeypatch):
+    """One task for each bucket of all days would grow with the table."""
+    before = rows(sources.latest_rows(spark, table, ["batch"]))
+    monkeypatch.setattr(records, "ROWS_OF_A_BUCKET", 40)  # 180 rows in 4 buckets
+    got = sources.latest_rows(spark, table, ["batch"])
+    assert "Exchange" in plan(got) and rows(got) == before
+    by = lambda df: records.latest_version(df, records.bucketed(df, ["k", "day"]), ["batch"])
+    sources.compact_versions(spark, table, "day < DATE '2024-01-03'", by)
+    assert spark.table(table).count() == 100 and rows(sources.latest_rows(spark, table, ["batch"])) == before
+    assert "Exchange" not in plan(sources.latest_rows(spark, table, ["batch"]))
