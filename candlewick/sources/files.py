@@ -173,10 +173,8 @@ def write_bronze(bars: DataFrame, path: str, replace: str = "all") -> None:
 def replace_parts(spark: SparkSession, rows: DataFrame, path: str, partition_by: Sequence[str], name: str) -> None:
     """Put ``rows``, read from the table at ``path`` itself, in place of the partitions they belong to.
 
-    They are written aside in full first. For partitions that no stream writes to any more: readers of them may see a gap
-    while the files are exchanged. Repeating it changes nothing.
+    They are written aside in full first, to the folder from which Spark exchanges partitions, one file for each but large ones. For
+    partitions that no stream writes to any more: readers of them may see a gap while the files are exchanged. Repeating it changes nothing.
     """
-    aside = scratch_path(spark, name)
-    rows.write.partitionBy(*partition_by).parquet(aside)
-    kept = spark.read.schema(rows.schema).parquet(aside)
-    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    spread = rows.hint("rebalance", *[F.col(c) for c in partition_by])
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)

@@ -165,3 +165,16 @@ def test_large_buckets_are_reduced_by_more_tasks(spark, table, monkeypatch):
     sources.compact_versions(spark, table, "day < DATE '2024-01-03'", by)
     assert spark.table(table).count() == 100 and rows(sources.latest_rows(spark, table, ["batch"])) == before
     assert "Exchange" not in plan(sources.latest_rows(spark, table, ["batch"]))
+
+
+def test_replaced_parts_have_one_file_each(spark, tmp_path):
+    path = str(tmp_path / "parts")
+    for batch in range(3):
+        spark.range(400).select("id", (F.col("id") % 5).alias("day"), F.lit(batch).alias("batch")) \
+            .repartition(4).write.mode("append").partitionBy("day").parquet(path)
+    last = records.latest_version(spark.read.parquet(path).filter("day < 3"), ["id", "day"], ["batch"])
+    sources.files.replace_parts(spark, last.repartition(4, "id"), path, ["day"], "parts")
+    for day, files, n in ((0, 1, 80), (2, 1, 80), (4, 12, 240)):
+        got = spark.read.parquet(f"{path}/day={day}")
+        assert len(list((tmp_path / "parts" / f"day={day}").glob("*.parquet"))) == files and got.count() == n
+        assert files > 1 or {r["batch"] for r in got.collect()} == {2}
