@@ -1,8 +1,8 @@
 """Phrase collocation mining by dynamic itemset counting.
 
 Texts are lower-cased (A-Z), cut at ``[.,;:!?]`` and line ends into pieces, pieces into words. Per language (null: ``und``) phrases
-of up to ``LONGEST`` words are counted wherever they stand within a piece. The corpus is staged in ``SHARDS`` shards that are scanned in
-turn. Words are counted from the first scan on; a longer phrase becomes active after the scan in which both its subphrases (without
+of up to ``LONGEST`` words are counted wherever they stand within a piece. Texts are read in chunks, whose words are coded once, as places
+in the chunk's own list of words, and the coded corpus is staged in ``SHARDS`` shards that are scanned in turn. Words are counted from the first scan on; a longer phrase becomes active after the scan in which both its subphrases (without
 the last and without the first word) have reached ``LEAST``, is counted in the scans that follow, whatever its length, and is complete
 after one full cycle, in which it has met every shard once. As no phrase is more frequent than its parts, all frequent ones are found,
 and all counts are exact.
@@ -13,6 +13,9 @@ would alone: the scan from which a phrase is active follows from its parts' slot
 not frequent is left out at the end. Tasks write one row for each phrase of a chunk, its words as 64-bit hashes with the language in
 the seed. The words are counted with their text, so two words of one hash would show, and then all is counted again with another seed.
 Running counts are kept by a 64-bit hash of the phrase (a collision again only makes active); the final counts are by all words.
+A phrase found ``LEAST`` times in all shards is found ``LEAST / SHARDS`` times or more in one of them, so only counts of a shard that are
+this large are kept from scan to scan. What the others can add at most counts when a phrase is complete: it has then reached ``LEAST`` if it
+may have, which again only makes active. The rare phrases, nearly all, are shuffled once and not written again.
 
 A frequent phrase of two to four words scores by its weakest cut, as in ``scored``; phrases that stand mostly within a longer one
 are dropped. Null and empty texts have no words; texts of any length are read in chunks, whole; repeated rows count each time; ties
@@ -21,14 +24,15 @@ go by phrase; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from candlewick.llm.common import batch_of, columns_of, release_path, stage, staged, table, utf8
@@ -40,6 +44,8 @@ SHARDS = 4
 SLOT_BITS = 23
 #: Bytes of text that are counted together.
 CHUNK = 8 << 20
+#: Values that are hashed together, so that they stay in a core's cache.
+BLOCK = 1 << 14
 UNKNOWN = "und"
 COVERED = 80
 
@@ -59,6 +65,14 @@ def _rotated(x: np.ndarray, bits: int) -> np.ndarray:
 
 def chained(values: np.ndarray, before: np.ndarray) -> np.ndarray:
     """XXH64 of 8-byte values, seeded with the hashes before them: what Spark's ``xxhash64`` makes of several longs."""
+    out, before = np.empty_like(values), np.broadcast_to(before, values.shape)
+    for begin in range(0, len(values), BLOCK):
+        part = slice(begin, begin + BLOCK)
+        out[part] = _chained(values[part], before[part])
+    return out
+
+
+def _chained(values: np.ndarray, before: np.ndarray) -> np.ndarray:
     h = before + (_P5 + np.uint64(8))
     h ^= _rotated(values * _P2, 31) * _P1
     h = _rotated(h, 27) * _P1 + _P4
@@ -94,33 +108,43 @@ def runs(text: bytes, most: int) -> Iterator[tuple[bytes, int]]:
     yield text, carried
 
 
+def coded(text: bytes) -> tuple[list[bytes], np.ndarray]:
+    """The different words of a run of pieces, first of all the mark, and the place of each of its words among them."""
+    tokens = text.replace(_END, b" " + _END + b" ").split()
+    known: defaultdict = defaultdict()
+    known.default_factory = known.__len__
+    known[_END]
+    codes = np.fromiter(map(known.__getitem__, tokens), np.uint32, len(tokens))
+    return list(known), codes
+
+
 def _unique(words: np.ndarray, at: np.ndarray, length: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """A place and the number of each different phrase of ``length`` words among those that begin at ``at``."""
+    """The index in ``at`` of one place, and the number, of each different phrase of ``length`` words among those that begin at ``at``."""
     codes = words[at]
     for k in range(1, length):
         if k > 1 and int(codes.max()) * size >= 2 ** 62:
             codes = np.unique(codes, return_inverse=True)[1]
         codes = codes * size + words[at + k]
-    _, first, counts = np.unique(codes, return_index=True, return_counts=True)
-    return at[first], counts
+    order = np.argsort(codes)
+    codes = codes[order]
+    begins = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+    return order[begins], np.diff(begins, append=len(codes))
 
 
+_CODED = pa.schema([("shard", pa.int32()), ("lang", pa.string()), ("carried", pa.int32()), ("size", pa.int64()), ("known", pa.binary()),
+                    ("codes", pa.binary())])
+_CODED_ROW = "shard int, lang string, carried int, size long, known binary, codes binary"
 _COUNTS = pa.schema([("length", pa.int8()), *[(w, pa.int64()) for w in _WORDS], ("lang", pa.string()), ("word", pa.binary()),
                      ("n", pa.int64()), ("last", pa.int16())])
 
 
-def phrase_counts(text: bytes, carried: int, lang: str, seed: int, scan: int, reached: list[np.ndarray],
+def phrase_counts(known: list[bytes], codes: np.ndarray, carried: int, lang: str, seed: int, scan: int, reached: list[np.ndarray],
                   shards: int) -> Iterator[pa.RecordBatch]:
-    """Counts of the phrases active in ``scan``, for one run of pieces: one batch for each length.
+    """Counts of the phrases active in ``scan``, for one coded run of pieces: one batch for each length.
 
     ``reached``: for lengths 1 to 3 the scan after which a slot had a frequent phrase, or 255.
     """
-    tokens = text.replace(_END, b" " + _END + b" ").split()
-    known: defaultdict = defaultdict()
-    known.default_factory = known.__len__
-    known[_END]
-    words = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
-    del tokens
+    words = codes.astype(np.int64)
     salt = xxhash.xxh3_64_intdigest(lang.encode(), seed)
     keys = np.fromiter((xxhash.xxh3_64_intdigest(word, salt) for word in known), np.uint64, len(known))
     signed = keys.view(np.int64)
@@ -135,7 +159,7 @@ def phrase_counts(text: bytes, carried: int, lang: str, seed: int, scan: int, re
         counts[0] = 0
         some = np.flatnonzero(counts)
         if len(some):
-            every = pa.array(list(known), pa.binary())
+            every = pa.array(known, pa.binary())
             yield batch(1, [signed[some]], [lang] * len(some), every.take(pa.array(some)), counts[some], np.full(len(some), shards - 1, np.int16))
     shift = np.uint64(64 - (len(reached[0]).bit_length() - 1))
     hashes = chained(keys, np.uint64(_SEED))
@@ -151,8 +175,9 @@ def phrase_counts(text: bytes, carried: int, lang: str, seed: int, scan: int, re
         begun = np.maximum(after[at], after[at + 1]).astype(np.int16) + 1
         now = (begun <= scan) & (scan < begun + shards) & (at + length > carried)
         if now.any():
-            first, counts = _unique(words, at[now], length, len(known))
-            last = begun[np.searchsorted(at, first)] + (shards - 1)
+            chosen = np.flatnonzero(now)
+            one, counts = _unique(words, at[chosen], length, len(known))
+            first, last = at[chosen[one]], begun[chosen[one]] + (shards - 1)
             yield batch(length, [signed[words[first + k]] for k in range(length)], pa.nulls(len(first), pa.string()),
                         pa.nulls(len(first), pa.binary()), counts, last.astype(np.int16))
         if length < LONGEST:
@@ -161,18 +186,21 @@ def phrase_counts(text: bytes, carried: int, lang: str, seed: int, scan: int, re
             since = np.maximum(reached[length - 1][hashed >> shift], begun.astype(np.uint8))
 
 
-def _scan(scan: int, seed: int, shared, shards: int, chunk: int):
-    """Arrow batches of (lang, text) to counts by chunk."""
-    def rows(lang: str, texts: list[bytes], reached) -> Iterator[pa.RecordBatch]:
-        for run, carried in runs(_END.join(texts), chunk):
-            for found in phrase_counts(run, carried, lang, seed, scan, reached, shards):
-                for begin in range(0, len(found), 1 << 15):
-                    yield found.slice(begin, 1 << 15)
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reached = _unpacked(shared.value)
+def _coding(shards: int, chunk: int):
+    """Arrow batches of (lang, text) to coded chunks, dealt to the shards in turn."""
+    def coding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list[bytes]] = defaultdict(list)
         held: dict[str, int] = defaultdict(int)
+        made = TaskContext.get().partitionId()
+
+        def rows(lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+            nonlocal made
+            for run, carried in runs(_END.join(texts), chunk):
+                known, codes = coded(run)
+                yield batch_of(_CODED, [[made % shards], [lang], [carried], [len(codes)], [b" ".join(known)],
+                                        [pa.compress(codes.tobytes(), "zstd", asbytes=True)]])
+                made += 1
+
         for batch in batches:
             for begin in range(0, len(batch), 500):
                 for lang, text in zip(*columns_of(batch.slice(begin, 500), "lang", "text")):
@@ -180,11 +208,26 @@ def _scan(scan: int, seed: int, shared, shards: int, chunk: int):
                     held[lang] += len(text) + 1
                 if sum(held.values()) >= chunk:
                     for lang in sorted(held, key=held.get, reverse=True):
-                        yield from rows(lang, waiting.pop(lang), reached)
+                        yield from rows(lang, waiting.pop(lang))
                         if sum(held.values()) - held.pop(lang) < chunk // 2:
                             break
         for lang, texts in waiting.items():
-            yield from rows(lang, texts, reached)
+            yield from rows(lang, texts)
+
+    return coding
+
+
+def _scan(scan: int, seed: int, shared, shards: int):
+    """Arrow batches of coded chunks to counts by chunk."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reached = shared.value.arrays
+        for batch in batches:
+            for at in range(len(batch)):
+                lang, carried, size, known, codes = (batch.column(batch.schema.get_field_index(name))[at] for name in _CODED.names[1:])
+                codes = np.frombuffer(pa.decompress(codes.as_buffer(), 4 * size.as_py(), "zstd"), np.uint32)
+                for found in phrase_counts(known.as_py().split(), codes, carried.as_py(), lang.as_py(), seed, scan, reached, shards):
+                    for begin in range(0, len(found), 1 << 15):
+                        yield found.slice(begin, 1 << 15)
 
     return counted
 
@@ -196,19 +239,18 @@ def count_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", least
         raise ValueError("shards must be 1 to 60")
     spark = docs.sparkSession
     corpus = staged(docs.select(
-        F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.coalesce(utf8(f"`{text}`"), F.lit(b"")).alias("text"),
-        (F.monotonically_increasing_id() % shards).cast("int").alias("shard")).where(F.octet_length("text") > 0), "shards", "shard")
+        F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.coalesce(utf8(f"`{text}`"), F.lit(b"")).alias("text"))
+        .where(F.octet_length("text") > 0).mapInArrow(_coding(shards, chunk), _CODED_ROW), "shards", "shard")
     seed = 0
     while True:
-        totals, reached = _scanned(corpus, least, shards, slot_bits, chunk, seed)
-        words = staged(totals.where("length = 1").groupBy("w1").agg(
-            F.min(F.struct("lang", "word")).alias("one"), F.max(F.struct("lang", "word")).alias("other"), F.sum("n").alias("n")), "words")
-        if words.where(F.col("one") != F.col("other")).isEmpty():
+        totals, reached = _scanned(corpus, least, shards, slot_bits, seed)
+        words = staged(totals.where("length = 1").groupBy("w1", "lang", "word").agg(F.sum("n").alias("n")), "words")
+        if words.groupBy("w1").count().where("count > 1").isEmpty():
             break
         seed += 1
-    named = words.select(F.col("w1").alias("w"), "one.lang", F.col("one.word").cast("string").alias("word"), "n")
+    named = words.select(F.col("w1").alias("w"), "lang", F.col("word").cast("string").alias("word"), "n")
     # Most rows are of rare phrases, and go before the phrases are shuffled.
-    shared = spark.sparkContext.broadcast(_packed(reached))
+    shared = spark.sparkContext.broadcast(Slots(reached))
     longer = totals.where("length > 1").where(_in_slot(shared)("length", F.xxhash64(*_WORDS))) \
         .groupBy("length", *_WORDS).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     longer = staged(longer.withColumn("id", F.monotonically_increasing_id()), "frequent-keys")
@@ -221,29 +263,32 @@ def count_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", least
     return staged(single.unionByName(phrases), "frequent-phrases"), named.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
-def _scanned(corpus: DataFrame, least: int, shards: int, slot_bits: int, chunk: int, seed: int) -> tuple[DataFrame, list[np.ndarray]]:
+def _scanned(corpus: DataFrame, least: int, shards: int, slot_bits: int, seed: int) -> tuple[DataFrame, list[np.ndarray]]:
     """All scans until every phrase that became active has met every shard: the counts they wrote, and for each length the scans after
     which the slots reached the limit."""
     spark = corpus.sparkSession
     reached = [np.full(1 << slot_bits, _NEVER, dtype=np.uint8) for _ in range(LONGEST)]
+    local = -(-least // shards)  # a phrase with less in every shard has less than ``least`` in all
     counts, open_, path, scan, final = None, None, None, 0, shards - 1
     while scan <= final:
-        shared = spark.sparkContext.broadcast(_packed(reached[:-1]))
-        here = staged(corpus.where(F.col("shard") == scan % shards).select("lang", "text").mapInArrow(
-            _scan(scan, seed, shared, shards, chunk), _ROW), f"scan{scan}")
+        shared = spark.sparkContext.broadcast(Slots(reached[:-1]))
+        here = staged(corpus.where(F.col("shard") == scan % shards).drop("shard").mapInArrow(_scan(scan, seed, shared, shards), _ROW), f"scan{scan}")
         shared.destroy()  # its counts are written
         counts = here if counts is None else counts.unionByName(here)
-        # Running counts of the phrases that are still counted and have not reached the limit.
-        running = here.select("length", F.xxhash64(*_WORDS).alias("hash"), "n", "last")
+        # Running counts of the phrases that are still counted and have not reached the limit; ``met``: the scans that are in them.
+        running = here.groupBy("length", F.xxhash64(*_WORDS).alias("hash")).agg(F.sum("n").alias("n"), F.max("last").alias("last")) \
+            .where(F.col("n") >= local).withColumn("met", F.lit(1).cast("long"))
         if open_ is not None:
-            running = running.unionByName(open_.where((F.col("n") < least) & (F.col("last") >= scan)))
+            running = running.unionByName(open_.where((F.col("n") < least) & (F.col("last") >= scan))) \
+                .groupBy("length", "hash").agg(F.sum("n").alias("n"), F.max("last").alias("last"), F.sum("met").alias("met"))
         done = path
-        open_, path = stage(running.groupBy("length", "hash").agg(F.sum("n").alias("n"), F.max("last").alias("last")), f"running{scan}")
+        open_, path = stage(running, f"running{scan}")
         if done:
             release_path(spark, done)
-        slots = open_.where(F.col("n") >= least).select(
+        most = F.col("n") + (shards - F.col("met")) * (local - 1)
+        slots = open_.where((F.col("n") >= least) | (F.col("last") <= scan) & (most >= least)).select(
             "length", F.shiftrightunsigned("hash", 64 - slot_bits).cast("int").alias("slot")).distinct().toArrow()
-        final = max(final, open_.agg(F.max("last")).first()[0] or 0)
+        final = max(final, here.agg(F.max("last")).first()[0] or 0)
         length, slot = (slots.column(c).to_numpy() for c in ("length", "slot"))
         for k, known in enumerate(reached, 1):
             new = slot[length == k]
@@ -256,21 +301,28 @@ def _scanned(corpus: DataFrame, least: int, shards: int, slot_bits: int, chunk:
     return counts, reached
 
 
-def _packed(reached: list[np.ndarray]) -> list[bytes]:
-    return [zlib.compress(x, 1) for x in reached]
+class Slots:
+    """For each length the scan after which a slot reached the limit; sent compressed, unpacked once by each Python worker."""
 
+    def __init__(self, reached: list[np.ndarray]) -> None:
+        self.size, self.packed = len(reached[0]), [pa.compress(x.tobytes(), "zstd", asbytes=True) for x in reached]
 
-def _unpacked(packed: list[bytes]) -> list[np.ndarray]:
-    return [np.frombuffer(zlib.decompress(x), dtype=np.uint8) for x in packed]
+    @cached_property
+    def arrays(self) -> list[np.ndarray]:
+        return [np.frombuffer(pa.decompress(x, self.size, "zstd"), dtype=np.uint8) for x in self.packed]
 
 
 def _in_slot(shared):
     @F.pandas_udf("boolean")
     def passes(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        reached = np.array(_unpacked(shared.value)) != _NEVER
-        shift = np.uint64(64 - (reached.shape[1].bit_length() - 1))
+        reached, bits = shared.value.arrays, np.uint64(shared.value.size.bit_length() - 1)
         for length, hashed in batches:
-            yield pd.Series(reached[length.to_numpy() - 1, hashed.to_numpy().view(np.uint64) >> shift])
+            length, slot = length.to_numpy(), hashed.to_numpy().view(np.uint64) >> (np.uint64(64) - bits)
+            out = np.zeros(len(length), dtype=bool)
+            for k, known in enumerate(reached, 1):
+                own = np.flatnonzero(length == k)
+                out[own] = known[slot[own]] != _NEVER
+            yield pd.Series(out)
 
     return passes
 

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from candlewick.llm import phrases, queries
@@ -99,6 +100,49 @@ def test_late_phrases_that_share_slots_with_early_ones(spark, slot_bits):
     assert found == brute(rows, 12) and any("late1 riser1 here now" in r for r in found)
 
 
+@pytest.fixture
+def tables(monkeypatch):
+    """The rows of all tables that are staged, by name."""
+    stage, found = phrases.stage, {}
+    def kept(df, name, *parted_by):
+        out, path = stage(df, name, *parted_by)
+        found[name] = out.collect()
+        return out, path
+    monkeypatch.setattr(phrases, "stage", kept)
+    monkeypatch.setattr(phrases, "staged", lambda *a: kept(*a)[0])
+    return found
+
+
+@pytest.mark.parametrize("n", [9, 10])
+def test_phrases_of_the_limit_that_are_dealt_evenly(spark, tables, n):
+    """A phrase of ten is found three times in two shards and twice in two: only the first are kept, and tell that it may be frequent."""
+    rows = [("en", "red kite soars high")] * n + [("en", f"{i:05} {i:05} {i:07}") for i in range(30)]
+    found = got(spark.createDataFrame(rows, "lang string, text string").coalesce(1), least=10, shards=4, slot_bits=16, chunk=20)
+    assert found == brute(rows, 10) and len(found) == (n == 10)
+    assert [len([r for r in tables["shards"] if r["shard"] == k and b"kite" in r["known"]]) for k in range(4)] == [3, 2 + (n > 9), 2, 2]
+    assert ("scan15" in tables) == (n == 10)
+
+
+def test_rare_phrases_are_not_carried_from_scan_to_scan(spark, tables):
+    rows = corpus(4)
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    found = got(df, least=6, shards=3, slot_bits=20, chunk=60)
+    assert found == brute(rows, 6) and len(found) > 30
+    assert all(r["n"] >= 2 for name in tables if name.startswith("running") for r in tables[name])
+    assert any(r["n"] == 1 for name in tables if name.startswith("scan") for r in tables[name])
+
+
+def test_texts_are_split_into_words_once(spark, tables):
+    """The shards hold coded words, no text that every scan would split again."""
+    rows = corpus(5)
+    got(spark.createDataFrame(rows, "lang string, text string").repartition(2), least=5, shards=2, slot_bits=16, chunk=200)
+    coded = Counter()
+    for r in tables["shards"]:
+        known, codes = r["known"].split(), memoryview(pa.decompress(r["codes"], 4 * r["size"], "zstd", asbytes=True)).cast("I")
+        coded.update((r["lang"], known[k].decode()) for k in codes[r["carried"]:] if k)
+    assert coded == {k: n for k, n in counts(rows).items() if " " not in k[1]}
+
+
 def test_runs_hold_every_word_once():
     rng = random.Random(3)
     for most in (1, 7, 20, 64):
