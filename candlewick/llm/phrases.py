@@ -1,11 +1,11 @@
 """Phrase collocation mining by dynamic itemset counting.
 
-Texts are lower-cased (A-Z), cut at ``[.,;:!?]`` and line ends into pieces, pieces into words. Per language (null: ``und``) phrases
-of up to ``LONGEST`` words are counted wherever they stand within a piece. Texts are read in chunks, whose words are coded once, as places
-in the chunk's own list of words, and the coded corpus is staged in ``SHARDS`` shards that are scanned in turn. Words are counted from the first scan on; a longer phrase becomes active after the scan in which both its subphrases (without
-the last and without the first word) have reached ``LEAST``, is counted in the scans that follow, whatever its length, and is complete
-after one full cycle, in which it has met every shard once. As no phrase is more frequent than its parts, all frequent ones are found,
-and all counts are exact.
+Texts are lower-cased (A-Z), cut at ``[.,;:!?]`` and line ends into pieces, pieces into words. Per language (null: ``und``) phrases of up to
+``LONGEST`` words are counted wherever they stand within a piece. Texts are read in chunks, whose words are coded once, as places in the
+chunk's own list of words, and the coded corpus is staged in ``SHARDS`` shards that are scanned in turn. Words are counted from the first
+scan on; a longer phrase becomes active after the scan in which both its subphrases (without the last and without the first word) have
+reached ``LEAST``, is counted in the scans that follow, whatever its length, and is complete after one full cycle, in which it has met every
+shard once. As no phrase is more frequent than its parts, all frequent ones are found, and all counts are exact.
 
 Which subphrases have reached the limit is known to the tasks as one array a length: the scan after which the first phrase of a hash
 slot has done so. The arrays have ``SLOTS`` bytes for any corpus. Phrases that share a slot only become active earlier than they
@@ -15,7 +15,8 @@ the seed. The words are counted with their text, so two words of one hash would
 Running counts are kept by a 64-bit hash of the phrase (a collision again only makes active); the final counts are by all words.
 A phrase found ``LEAST`` times in all shards is found ``LEAST / SHARDS`` times or more in one of them, so only counts of a shard that are
 this large are kept from scan to scan. What the others can add at most counts when a phrase is complete: it has then reached ``LEAST`` if it
-may have, which again only makes active. The rare phrases, nearly all, are shuffled once and not written again.
+may have, which again only makes active. The rare phrases, nearly all, are shuffled once and not written again. Phrases whose slot has
+reached the limit are not counted there any more.
 
 A frequent phrase of two to four words scores by its weakest cut, as in ``scored``; phrases that stand mostly within a longer one
 are dropped. Null and empty texts have no words; texts of any length are read in chunks, whole; repeated rows count each time; ties
@@ -31,6 +32,7 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -52,7 +54,7 @@ COVERED = 80
 _END = b"\xff"  # never in UTF-8
 _MARKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", _END * 10 + b" ")
 _NEVER = 255
-_ROW = "length byte, w1 long, w2 long, w3 long, w4 long, lang string, word binary, n long, last short"
+_ROW = "length byte, w1 long, w2 long, w3 long, w4 long, lang string, word binary, n long, last short, open boolean"
 _WORDS = [f"w{k}" for k in range(1, LONGEST + 1)]
 #: The primes of XXH64, and the seed of Spark's ``xxhash64``.
 _P1, _P2, _P3, _P4, _P5 = map(np.uint64, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
@@ -108,14 +110,15 @@ def runs(text: bytes, most: int) -> Iterator[tuple[bytes, int]]:
     yield text, carried
 
 
-def coded(text: bytes) -> tuple[list[bytes], np.ndarray]:
-    """The different words of a run of pieces, first of all the mark, and the place of each of its words among them."""
-    tokens = text.replace(_END, b" " + _END + b" ").split()
-    known: defaultdict = defaultdict()
-    known.default_factory = known.__len__
-    known[_END]
-    codes = np.fromiter(map(known.__getitem__, tokens), np.uint32, len(tokens))
-    return list(known), codes
+def coded(text: bytes) -> tuple[pa.Scalar, np.ndarray]:
+    """The different words of a run of pieces, first of all the mark, with blanks between, and the place of each of its words among them."""
+    letters = np.frombuffer(_END + b" " + text.replace(_END, b" " + _END + b" "), np.uint8)
+    filled = letters != ord(" ")
+    edges = np.flatnonzero(np.diff(filled, prepend=False, append=False))
+    ends = np.cumsum(np.concatenate(([0], edges[1::2] - edges[::2])))
+    words = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(letters[filled])]).dictionary_encode()
+    known = words.dictionary.cast(pa.binary())
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(known)], known), b" ")[0], words.indices.to_numpy().view(np.uint32)[1:]
 
 
 def _unique(words: np.ndarray, at: np.ndarray, length: int, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,36 +138,37 @@ _CODED = pa.schema([("shard", pa.int32()), ("lang", pa.string()), ("carried", pa
                     ("codes", pa.binary())])
 _CODED_ROW = "shard int, lang string, carried int, size long, known binary, codes binary"
 _COUNTS = pa.schema([("length", pa.int8()), *[(w, pa.int64()) for w in _WORDS], ("lang", pa.string()), ("word", pa.binary()),
-                     ("n", pa.int64()), ("last", pa.int16())])
+                     ("n", pa.int64()), ("last", pa.int16()), ("open", pa.bool_())])
 
 
 def phrase_counts(known: list[bytes], codes: np.ndarray, carried: int, lang: str, seed: int, scan: int, reached: list[np.ndarray],
                   shards: int) -> Iterator[pa.RecordBatch]:
     """Counts of the phrases active in ``scan``, for one coded run of pieces: one batch for each length.
 
-    ``reached``: for lengths 1 to 3 the scan after which a slot had a frequent phrase, or 255.
+    ``reached``: for lengths 1 to 3 the scan after which a slot had a frequent phrase, or 255. ``open``: the phrase's slot had none so far.
     """
     words = codes.astype(np.int64)
     salt = xxhash.xxh3_64_intdigest(lang.encode(), seed)
     keys = np.fromiter((xxhash.xxh3_64_intdigest(word, salt) for word in known), np.uint64, len(known))
     signed = keys.view(np.int64)
 
-    def batch(length: int, columns: list, lang_, word, counts: np.ndarray, last) -> pa.RecordBatch:
+    def batch(length: int, columns: list, lang_, word, counts: np.ndarray, last, open_) -> pa.RecordBatch:
         n = len(counts)
         columns = [*columns, *[pa.nulls(n, pa.int64())] * (LONGEST - length)]
-        return batch_of(_COUNTS, [np.full(n, length, dtype=np.int8), *columns, lang_, word, counts, last])
+        return batch_of(_COUNTS, [np.full(n, length, dtype=np.int8), *columns, lang_, word, counts, last, open_])
 
+    shift = np.uint64(64 - (len(reached[0]).bit_length() - 1))
+    hashes = chained(keys, np.uint64(_SEED))
+    own = reached[0][hashes >> shift].copy()
+    own[0] = _NEVER
     if scan < shards:
         counts = np.bincount(words[carried:], minlength=len(known))
         counts[0] = 0
         some = np.flatnonzero(counts)
         if len(some):
             every = pa.array(known, pa.binary())
-            yield batch(1, [signed[some]], [lang] * len(some), every.take(pa.array(some)), counts[some], np.full(len(some), shards - 1, np.int16))
-    shift = np.uint64(64 - (len(reached[0]).bit_length() - 1))
-    hashes = chained(keys, np.uint64(_SEED))
-    own = reached[0][hashes >> shift].copy()
-    own[0] = _NEVER
+            yield batch(1, [signed[some]], [lang] * len(some), every.take(pa.array(some)), counts[some],
+                        np.full(len(some), shards - 1, np.int16), own[some] == _NEVER)
     at, since, hashed = np.arange(len(words)), own[words], hashes[words]
     for length in range(2, LONGEST + 1):
         # Phrases of this length at ``at``: both subphrases, at ``at`` and one further, are there and have reached the limit.
@@ -173,17 +177,21 @@ def phrase_counts(known: list[bytes], codes: np.ndarray, carried: int, lang: str
         both = (after[at] != _NEVER) & (after[at + 1] != _NEVER)
         at, hashed = at[both], hashed[both]
         begun = np.maximum(after[at], after[at + 1]).astype(np.int16) + 1
+        slots = None  # of the longest phrases they are not needed
+        if length < LONGEST:
+            hashed = chained(keys[words[at + length - 1]], hashed)
+            slots = reached[length - 1][hashed >> shift]
         now = (begun <= scan) & (scan < begun + shards) & (at + length > carried)
         if now.any():
             chosen = np.flatnonzero(now)
             one, counts = _unique(words, at[chosen], length, len(known))
-            first, last = at[chosen[one]], begun[chosen[one]] + (shards - 1)
-            yield batch(length, [signed[words[first + k]] for k in range(length)], pa.nulls(len(first), pa.string()),
-                        pa.nulls(len(first), pa.binary()), counts, last.astype(np.int16))
+            one = chosen[one]
+            yield batch(length, [signed[words[at[one] + k]] for k in range(length)], pa.nulls(len(one), pa.string()),
+                        pa.nulls(len(one), pa.binary()), counts, begun[one] + (shards - 1),
+                        np.ones(len(one), dtype=bool) if slots is None else slots[one] == _NEVER)
         if length < LONGEST:
-            hashed = chained(keys[words[at + length - 1]], hashed)
             # Another phrase of the slot may have reached the limit before this one was counted at all.
-            since = np.maximum(reached[length - 1][hashed >> shift], begun.astype(np.uint8))
+            since = np.maximum(slots, begun.astype(np.uint8))
 
 
 def _coding(shards: int, chunk: int):
@@ -197,7 +205,7 @@ def _coding(shards: int, chunk: int):
             nonlocal made
             for run, carried in runs(_END.join(texts), chunk):
                 known, codes = coded(run)
-                yield batch_of(_CODED, [[made % shards], [lang], [carried], [len(codes)], [b" ".join(known)],
+                yield batch_of(_CODED, [[made % shards], [lang], [carried], [len(codes)], [known],
                                         [pa.compress(codes.tobytes(), "zstd", asbytes=True)]])
                 made += 1
 
@@ -250,8 +258,9 @@ def count_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", least
         seed += 1
     named = words.select(F.col("w1").alias("w"), "lang", F.col("word").cast("string").alias("word"), "n")
     # Most rows are of rare phrases, and go before the phrases are shuffled.
-    shared = spark.sparkContext.broadcast(Slots(reached))
-    longer = totals.where("length > 1").where(_in_slot(shared)("length", F.xxhash64(*_WORDS))) \
+    shared = spark.sparkContext.broadcast(Slots([np.concatenate(reached)]))
+    slot = F.shiftleft((F.col("length") - 1).cast("long"), slot_bits) + F.shiftrightunsigned(F.xxhash64(*_WORDS), 64 - slot_bits)
+    longer = totals.where("length > 1").where(_in_slot(shared)(slot)) \
         .groupBy("length", *_WORDS).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     longer = staged(longer.withColumn("id", F.monotonically_increasing_id()), "frequent-keys")
     spelled = longer.select("id", F.posexplode(F.array_compact(F.array(*_WORDS))).alias("at", "w")).join(
@@ -276,7 +285,7 @@ def _scanned(corpus: DataFrame, least: int, shards: int, slot_bits: int, seed: i
         shared.destroy()  # its counts are written
         counts = here if counts is None else counts.unionByName(here)
         # Running counts of the phrases that are still counted and have not reached the limit; ``met``: the scans that are in them.
-        running = here.groupBy("length", F.xxhash64(*_WORDS).alias("hash")).agg(F.sum("n").alias("n"), F.max("last").alias("last")) \
+        running = here.where("open").groupBy("length", F.xxhash64(*_WORDS).alias("hash")).agg(F.sum("n").alias("n"), F.max("last").alias("last")) \
             .where(F.col("n") >= local).withColumn("met", F.lit(1).cast("long"))
         if open_ is not None:
             running = running.unionByName(open_.where((F.col("n") < least) & (F.col("last") >= scan))) \
@@ -314,15 +323,10 @@ class Slots:
 
 def _in_slot(shared):
     @F.pandas_udf("boolean")
-    def passes(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        reached, bits = shared.value.arrays, np.uint64(shared.value.size.bit_length() - 1)
-        for length, hashed in batches:
-            length, slot = length.to_numpy(), hashed.to_numpy().view(np.uint64) >> (np.uint64(64) - bits)
-            out = np.zeros(len(length), dtype=bool)
-            for k, known in enumerate(reached, 1):
-                own = np.flatnonzero(length == k)
-                out[own] = known[slot[own]] != _NEVER
-            yield pd.Series(out)
+    def passes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        (reached,) = shared.value.arrays
+        for slot in batches:
+            yield pd.Series(reached[slot.to_numpy()] != _NEVER)
 
     return passes
 

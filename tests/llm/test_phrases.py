@@ -130,6 +130,13 @@ def test_rare_phrases_are_not_carried_from_scan_to_scan(spark, tables):
     assert found == brute(rows, 6) and len(found) > 30
     assert all(r["n"] >= 2 for name in tables if name.startswith("running") for r in tables[name])
     assert any(r["n"] == 1 for name in tables if name.startswith("scan") for r in tables[name])
+    # Nor are those counted further there that have reached the limit.
+    done = set()
+    for scan in range(sum(name.startswith("running") for name in tables)):
+        running = [r for r in tables[f"running{scan}"] if r["length"] < 4]
+        assert not done & {r["hash"] for r in running}
+        done |= {r["hash"] for r in running if r["n"] >= 6}
+    assert len(done) > 30
 
 
 def test_texts_are_split_into_words_once(spark, tables):
