@@ -43,6 +43,9 @@ GAP = 20
 SIGNIFICANT = 0.01
 #: Tokens in fewer distinct training texts are no evidence.
 MIN_TEXTS = 3
+#: Most files of a staged table of the training texts, whose number is bounded. Without native libraries Hadoop starts a ``chmod`` for
+#: each file, which counts as all memory of the executor a second time until its program is loaded.
+FILES = 12
 
 _TOKEN = re.compile(r"[^\W_]+")
 
@@ -184,9 +187,9 @@ def labelled(docs: DataFrame, labels: DataFrame, fold: Column, bound: int = TRAI
 
 def train(docs: DataFrame, labels: DataFrame, fold: Column, bound: int = TRAIN_LABELS) -> Model:
     """Fit the model. ``docs``: id, text; ``labels``: id, toxic (0 or 1); ``fold``: condition on id to learn from."""
-    texts = staged(labelled(docs, labels, fold, bound), "toxic-texts").select(utf8().alias("text"), "toxic")
+    texts = staged(labelled(docs, labels, fold, bound).coalesce(FILES), "toxic-texts").select(utf8().alias("text"), "toxic")
     counts = staged(texts.mapInArrow(_counted, "token string, toxic long, other long")
-                    .groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), "token-counts")
+                    .groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).coalesce(FILES), "token-counts")
     vocabulary, n_toxic, n_other = counts.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0)),
                                               F.coalesce(F.sum("other"), F.lit(0))).first()
     n_all = n_toxic + n_other

@@ -99,3 +99,24 @@ def test_labels_with_nulls_and_doubles(fitted, spark):
     docs, labels, model = fitted
     odd = labels.unionByName(spark.createDataFrame([(None, 1, 1), (7, 1, None), (1, 1, 0)], labels.schema))
     assert T.train_on(docs, odd) == model
+
+
+def test_training_writes_few_files(fitted, spark):
+    """However many partitions the shuffles have: each file of a task starts processes in its executor."""
+    from pathlib import Path
+    from candlewick.llm import common
+    docs, labels, model = fitted
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    known = len(common._STAGED)
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        again = T.train_on(docs, labels)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert (again.scores, again.cost, again.lam, again.k) == (model.scores, model.cost, model.lam, model.k)
+    assert (again.slope, again.intercept) == pytest.approx((model.slope, model.intercept))
+    files = {Path(p).name.rsplit("-", 1)[0]: len(list(Path(p.removeprefix("file:")).glob("part-*"))) for p in common._STAGED[known:]}
+    assert {"labels", "toxic-texts", "token-counts"} == set(files) and all(1 <= n <= 12 for n in files.values()), files
